@@ -6,14 +6,20 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, token_files
+from . import byte_bpe, packing, substring_dedup, token_files
 from .common import load, shared_folder
 
 WORDS = "word_bpe_49k.json"
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.substring_dedup(load(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write_token_files(load(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS), end_id=1)
@@ -29,6 +35,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_token_files": op3_token_files,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
