@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, substring_dedup, token_files
+from . import byte_bpe, packing, simhash, substring_dedup, suffix_dedup, token_files
 from .common import load, shared_folder
 
 WORDS = "word_bpe_49k.json"
@@ -26,10 +26,19 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents_of(token_files.read_token_files(spark, path))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digest(load(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(load(spark, sf_dir, "documents"), words=4, bits=4)
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end_id=0, capacity=2048)
 
@@ -37,7 +46,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_simhash": op9_simhash,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
