@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, packing, simhash, substring_dedup, suffix_dedup, token_files
+from . import byte_bpe, exact_topk, packing, projection_forest, simhash, substring_dedup, suffix_dedup, token_files
 from .common import load, shared_folder
 
 WORDS = "word_bpe_49k.json"
@@ -26,6 +26,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents_of(token_files.read_token_files(spark, path))
 
 
+def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.nearest(load(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -35,6 +39,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digest(load(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_by_inner_product(load(spark, sf_dir, "embeddings"), k=10, every=100, scale=1024)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(load(spark, sf_dir, "documents"), words=4, bits=4)
 
@@ -46,10 +54,27 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op5_projection_forest": op5_projection_forest,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_exact_topk": op8_exact_topk,
     "op9_simhash": op9_simhash,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_exact_topk": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+          FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+          SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                 CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        ), ranked AS (
+          SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+}
