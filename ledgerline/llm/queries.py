@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_topk, packing, projection_forest, simhash, substring_dedup, suffix_dedup, token_files
+from . import byte_bpe, exact_topk, packing, projection_forest, simhash, substring_dedup, suffix_dedup, token_files, url_filter
 from .common import load, shared_folder
 
 WORDS = "word_bpe_49k.json"
+RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -26,6 +27,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.documents_of(token_files.read_token_files(spark, path))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(load(spark, sf_dir, "pages"), RULES)
+
+
 def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_forest.nearest(load(spark, sf_dir, "embeddings"), k=10, every=100)
 
@@ -54,6 +59,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_token_files": op3_token_files,
+    "op4_url_filter": op4_url_filter,
     "op5_projection_forest": op5_projection_forest,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_byte_bpe": op7_byte_bpe,
