@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_topk, packing, projection_forest, simhash, substring_dedup, suffix_dedup, token_files, url_filter
+from . import byte_bpe, exact_topk, packing, projection_forest, quality, simhash, substring_dedup, suffix_dedup, token_files, url_filter
 from .common import load, shared_folder
 
 WORDS = "word_bpe_49k.json"
@@ -21,6 +21,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write_token_files(load(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS), end_id=1)
@@ -58,6 +62,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_token_files": op3_token_files,
     "op4_url_filter": op4_url_filter,
     "op5_projection_forest": op5_projection_forest,
