@@ -37,10 +37,11 @@ LEAST = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("many", "u1")])
 FOUND = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8")])
 
 
-def in_batches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
-    """doc_id, text and batch of all rows, dealt out by batch, and the number of buckets."""
+def in_batches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> tuple[DataFrame, int]:
+    """doc_id, text and batch of all rows, dealt out by batch, and the number of buckets; columns to carry along are named carry_0, carry_1 ..."""
     width = shuffle_partitions(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    along = [docs[f"`{name}`"].alias(f"carry_{i}") for i, name in enumerate(carry or [])]
+    rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text"), *along)
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(width * BATCHES_PER_PARTITION)).cast("int")
     return rows.withColumn("batch", batch).repartition(width, "batch"), width
 

@@ -22,6 +22,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from . import lookups, suffix_sort
 from .common import BASE_2, RollingHash, flat_text
@@ -35,10 +36,8 @@ HOT = 4096
 SLICE = 1 << 19
 SORTED_AT_ONCE = 4096
 
-RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<first:bigint,stop:bigint>>, kept binary"
-RESULT_ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))), ("kept", pa.binary())]
-)
+RESULT_NAMES = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
+SPANS = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
 
 CLASSES, CONTESTED, STRETCHES, COUNTED = 1, 2, 3, 4
 
@@ -228,11 +227,11 @@ def _answer_stretches(kind: int, who: list[int], data: list[bytes]):
     yield from lookups.replies_of(kind, asker[hit], out)
 
 
-def _cut_with(hot_above: int):
-    return lambda batch, table, got: _cut(table, got, hot_above)
+def _cut_with(hot_above: int, as_text: bool):
+    return lambda batch, table, got: _cut(table, got, hot_above, as_text)
 
 
-def _cut(table: pa.Table, got: dict, hot_above: int):
+def _cut(table: pa.Table, got: dict, hot_above: int, as_text: bool):
     places = Places(table)
     n = len(places.raw)
     begins, ends = [], []
@@ -278,22 +277,30 @@ def _cut(table: pa.Table, got: dict, hot_above: int):
             kept.append(b"".join([raw[x:y] for x, y in zip(edges_of[::2], edges_of[1::2])]))
         else:
             kept.append(raw[a:b])
-    yield pa.RecordBatch.from_arrays(
-        [table.column("doc_id").combine_chunks(), pa.array(np.diff(places.offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, RESULT_ARROW.field("spans").type), pa.array(kept, pa.binary())],
-        schema=RESULT_ARROW,
-    )
+    own = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+    columns = [table.column("doc_id").combine_chunks(), pa.array(np.diff(places.offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, SPANS), own]
+    along = [name for name in table.column_names if name.startswith("carry_")]
+    yield pa.RecordBatch.from_arrays([*columns, *[table.column(name).combine_chunks() for name in along]], [*RESULT_NAMES, *along])
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_above: int = HOT) -> DataFrame:
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, as_text: bool = False, hot_above: int = HOT) -> DataFrame:
     """Remove every byte covered by a 400-byte string that also starts anywhere else.
 
     Texts are UTF-8 bytes (null: empty) and matches stay inside a document; both places of a match may lie
     in one document and may overlap. Strings are judged on the input. Per row: doc_id, n_bytes, n_removed,
     spans (maximal removed runs of bytes, from first up to stop) and kept (the other bytes, which may begin
-    or end inside a character). Every copy goes, so repeated rows of 400 bytes or more lose all their text.
+    or end inside a character; as_text: a string without such torn characters), then the columns named in
+    carry under their own names. Every copy goes, so repeated rows of 400 bytes or more lose all their text.
     Null ids and ties change nothing: ids are only carried. Other columns are not read.
     """
-    rows, buckets = lookups.in_batches(docs, id_col, text_col)
+    carry = carry or []
+    rows, buckets = lookups.in_batches(docs, id_col, text_col, carry)
     classes = lookups.answer(lookups.per_batch(rows, _ask_classes(buckets), lookups.REQUESTS), buckets, {CLASSES: _answer_counts, CONTESTED: lookups.answer_contested})
     repeats = lookups.answer(lookups.with_replies(rows, classes, _ask_repeats(buckets, hot_above), lookups.REQUESTS), buckets, {STRETCHES: _answer_stretches, COUNTED: _answer_counts})
-    return lookups.with_replies(rows, classes.unionByName(repeats), _cut_with(hot_above), RESULT)
+    kept = "string" if as_text else "binary"
+    result = rows.selectExpr("doc_id", "0L as n_bytes", "0L as n_removed", "cast(null as array<struct<first:bigint,stop:bigint>>) as spans", f"cast(null as {kept}) as kept").schema
+    for field in rows.schema:
+        if field.name.startswith("carry_"):
+            result = result.add(field)
+    cut = lookups.with_replies(rows, classes.unionByName(repeats), _cut_with(hot_above, as_text), T.StructType([T.StructField(f.name, f.dataType, True) for f in result]))
+    return cut.toDF(*RESULT_NAMES, *carry)
