@@ -234,7 +234,8 @@ LONG_PIVOTS = _DRAW.integers(0, 1 << 63, (16, LONG // 64), dtype=np.uint64) * np
 
 
 def long_fingerprint(text: bytes | None, words: int) -> bytes:
-    hashes = shingle_hashes(text, words)
+    """The SimHash of a text's distinct shingles, 256 bits from four mixes of their hashes."""
+    hashes = np.unique(shingle_hashes(text, words))
     bits = [majority_bits(mix(hashes + np.uint64(i * 0x9E3779B97F4A7C15 % 2**64))) for i in range(LONG // 64)]
     return np.packbits(np.concatenate(bits), bitorder="little").tobytes()
 
