@@ -25,8 +25,10 @@ REQUESTS_ARROW = pa.schema([("batch", pa.int32()), ("kind", pa.int32()), ("bucke
 REPLIES = "batch int, kind int, data binary"
 REPLIES_ARROW = pa.schema([("batch", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 
-#: Batches per shuffle partition: more make the partitions more even, fewer make larger records.
+#: Batches per shuffle partition, and shuffle partitions per bucket: more batches make the partitions more even,
+#: fewer buckets keep the records of a batch and bucket large.
 BATCHES_PER_PARTITION = 3
+PARTITIONS_PER_BUCKET = 3
 
 #: Doc ids in records; a null id counts as larger than any other.
 NO_ID = np.iinfo(np.int64).max
@@ -43,7 +45,7 @@ def in_batches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     along = [docs[f"`{name}`"].alias(f"carry_{i}") for i, name in enumerate(carry or [])]
     rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text"), *along)
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(width * BATCHES_PER_PARTITION)).cast("int")
-    return rows.withColumn("batch", batch).repartition(width, "batch"), width
+    return rows.withColumn("batch", batch).repartition(width, "batch"), -(-width // PARTITIONS_PER_BUCKET)
 
 
 def requests_of(batch: int, kind: int, records: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
