@@ -18,8 +18,8 @@ from .common import materialize
 #: Share of a score that a host passes on each round, and the number of rounds.
 DAMPING = 0.85
 ROUNDS = 8
-#: A host is blocked where its distrust is above its trust by more than this many times the mean score of a host.
-MARGIN = 1.0
+#: A host is blocked where its distrust is above its trust by more than this many times the mean distrust of a host.
+MARGIN = 1.5
 #: Weight of the edges between a host and the domain above it; a link has weight 1.
 SITE_WEIGHT = 0.1
 
@@ -93,7 +93,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
 
     rules: (rule, verdict) such as ("example.com/en/", "block"). A rule fits its host and all hosts below it where
     the path starts with the rule's; the longest wins and gives the verdict. Other pages get their host's: block
-    where distrust is above trust by more than the mean score, else allow (as hosts get that no seed reaches, and urls without a host).
+    where distrust is above trust by more than MARGIN times the mean, else allow (as hosts get that no seed reaches, and urls without a host).
     A null url has neither host nor path; a null html has no links. Repeated rows each get a row.
     """
     links = F.regexp_extract_all(F.col(html_col), F.lit(LINK), F.lit(1))
@@ -119,10 +119,11 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "pa
     everyone = sites.unionByName(known).distinct().join(counted, "host", "left")
     seeds = everyone.select("host", (F.col("allowed") * 2 > F.col("n")).cast("int").alias("trusted"), (F.col("denied") * 2 > F.col("n")).cast("int").alias("blocked")).na.fill(0)
     seeds = materialize(seeds, "hosts")
-    totals = seeds.agg(F.sum("trusted"), F.sum("blocked"), F.count("*")).first()
+    totals = seeds.agg(F.sum("trusted"), F.sum("blocked")).first()
     share = lambda name, total: (F.col(name) / F.lit(float(total or 1))).alias(name)
     hosts = seeds.select("host", share("trusted", totals[0]), share("blocked", totals[1]))
-    scores = propagate(hosts, edges, rounds)
-    distrusted = F.col("distrust") - F.col("trust") > MARGIN / max(1, totals[2])
+    scores = materialize(propagate(hosts, edges, rounds), "host-scores")
+    mean = scores.agg(F.avg("distrust")).first()[0] or 0.0
+    distrusted = F.col("distrust") - F.col("trust") > MARGIN * mean
     verdict = F.coalesce(F.col("by_rule"), F.when(distrusted, F.lit("block")).otherwise(F.lit("allow")))
     return judged.drop("links").join(scores, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), "trust", "distrust")
