@@ -152,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
 
     rows = texts.mapInArrow(featurize, "labelled bigint, bad int, words binary, shape array<double>").toPandas()
     rows = rows.sort_values("labelled", kind="stable").drop_duplicates("labelled")
-    return Classifier.fit([np.frombuffer(w, "<i4") for w in rows["words"]], np.array(rows["shape"].tolist()).reshape(len(rows), -1), rows["bad"].to_numpy())
+    return Classifier.fit([np.frombuffer(w, "<i4") for w in rows["words"]], np.array(rows["shape"].tolist()).reshape(len(rows), FEATURES - 3), rows["bad"].to_numpy())
 
 
 def document_scores(docs: DataFrame, model: Classifier, keep: list[str], text_col: str = "text") -> DataFrame:
