@@ -74,6 +74,37 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        windows AS (
+          SELECT doc_id, i, array_to_string(list_slice(words, i, i + 49), ' ') AS t
+          FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50)
+        ), least AS (SELECT t, MIN(doc_id) AS doc_id FROM windows GROUP BY t),
+        hits AS (SELECT windows.doc_id, i FROM windows JOIN least ON windows.t = least.t AND least.doc_id < windows.doc_id),
+        gone AS (SELECT DISTINCT doc_id, i + k AS i FROM hits, range(50) AS r(k)),
+        each_word AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w),
+        kept AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY e.i) AS kept FROM each_word e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.i = g.i GROUP BY 1),
+        removed AS (SELECT doc_id, COUNT(*) AS n FROM gone GROUP BY 1)
+        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, COALESCE(removed.n, 0) AS n_removed, sha256(COALESCE(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN kept ON w.doc_id = kept.doc_id LEFT JOIN removed ON w.doc_id = removed.doc_id
+    """,
+    "op6_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(COALESCE(text, '')) AS b FROM documents), n AS (SELECT *, octet_length(b) AS len FROM d),
+        windows AS (SELECT doc_id, i, md5(b[i:i + 399]) AS h FROM (SELECT doc_id, b, unnest(range(1, len - 398)) AS i FROM n WHERE len >= 400)),
+        twice AS (SELECT h FROM windows GROUP BY h HAVING COUNT(*) > 1),
+        hits AS (SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM twice)),
+        marked AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS opens FROM hits),
+        numbered AS (SELECT *, SUM(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+        spans AS (SELECT doc_id, span, MIN(i) AS a, MAX(i) + 400 AS z FROM numbered GROUP BY 1, 2),
+        sums AS (SELECT doc_id, COUNT(*) AS n_spans, SUM(z - a) AS n_removed, MAX(z) AS z FROM spans GROUP BY 1),
+        cuts AS (
+          SELECT doc_id, COALESCE(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1) AS f, a AS t FROM spans
+          UNION ALL SELECT n.doc_id, COALESCE(sums.z, 1), n.len + 1 FROM n LEFT JOIN sums ON n.doc_id = sums.doc_id
+        ), kept AS (SELECT c.doc_id, string_agg(hex(b[f:t - 1]), '' ORDER BY f) AS k FROM cuts c JOIN n ON c.doc_id = n.doc_id WHERE t > f GROUP BY 1)
+        SELECT n.doc_id, CAST(n.len AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, CAST(COALESCE(n_spans, 0) AS BIGINT) AS n_spans,
+               sha256(unhex(COALESCE(k, ''))) AS kept_sha256
+        FROM n LEFT JOIN sums ON n.doc_id = sums.doc_id LEFT JOIN kept ON n.doc_id = kept.doc_id
+    """,
     "op8_exact_topk": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
