@@ -27,37 +27,47 @@ def _complete(keys: list[str]) -> Column:
     return whole
 
 
-def snapshot_diff(previous: DataFrame, current: DataFrame, keys: list[str], columns: list[str], previous_order: list[Column], current_order: list[Column]) -> DataFrame:
-    """keys, op and ordinal: insert, update, delete or unchanged.
+def _consumed(previous: DataFrame, current: DataFrame, keys: list[str], columns: list[str], previous_order: list[Column], current_order: list[Column]) -> DataFrame:
+    """keys, ordinal, _new and _old: each previous row met once, by the first current row of its key.
 
-    Of the previous rows of a key the last one counts, and it is consumed once: the first current row of
-    the key meets it, later ones are inserts. Rows compare by all columns, nulls equal. Current rows without a
-    key are unkeyed, previous ones are left out. Skewed keys are no matter: a key's rows are numbered, and only
-    the first of them joins.
+    Both sides are dealt out by the key for their numbering, and the join is on the key alone (that only first rows
+    meet is a residual condition), so it moves nothing again.
     """
-    old = last_per_key(previous, keys, previous_order).select(*keys, F.struct(*columns).alias("_old"), F.lit(1).alias("_ordinal"))
-    keyed = current.where(_complete(keys))
+    old = last_per_key(previous, keys, previous_order).select(*[F.col(k).alias(f"_old_{k}") for k in keys], F.struct(*columns).alias("_old"))
     ordinal = F.row_number().over(Window.partitionBy(*keys).orderBy(*current_order))
-    new = keyed.select(*keys, F.struct(*columns).alias("_new"), ordinal.alias("_ordinal"))
-    both = new.join(old, [*keys, "_ordinal"], "full_outer")
-    op = (
+    new = current.where(_complete(keys)).select(*keys, F.struct(*columns).alias("_new"), ordinal.alias("_ordinal"))
+    meets = F.col("_ordinal") == 1
+    for k in keys:
+        meets = meets & (F.col(k) == F.col(f"_old_{k}"))
+    both = new.join(old, meets, "full_outer")
+    return both.select(*[F.coalesce(k, f"_old_{k}").alias(k) for k in keys], F.coalesce("_ordinal", F.lit(1)).alias("ordinal"), "_new", "_old")
+
+
+def _op() -> Column:
+    return (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
         .when(F.col("_old").eqNullSafe(F.col("_new")), "unchanged")
         .otherwise("update")
     )
+
+
+def snapshot_diff(previous: DataFrame, current: DataFrame, keys: list[str], columns: list[str], previous_order: list[Column], current_order: list[Column]) -> DataFrame:
+    """keys, op and ordinal: insert, update, delete or unchanged.
+
+    Of the previous rows of a key the last one counts, and it is consumed once: the first current row of
+    the key meets it, later ones are inserts. Rows compare by all columns, nulls equal. Current rows without a
+    key are unkeyed, previous ones are left out.
+    """
+    both = _consumed(previous, current, keys, columns, previous_order, current_order)
     unkeyed = current.where(~_complete(keys)).select(*keys, F.lit("unkeyed").alias("op"), F.lit(1).alias("ordinal"))
-    return both.select(*keys, op.alias("op"), F.col("_ordinal").alias("ordinal")).unionByName(unkeyed)
+    return both.select(*keys, _op().alias("op"), "ordinal").unionByName(unkeyed)
 
 
 def operations(previous: DataFrame, current: DataFrame, keys: list[str], columns: list[str], previous_order: list[Column], current_order: list[Column]) -> DataFrame:
     """The operation log of a snapshot diff: op, keys and, for inserts and updates, the full new state."""
-    old = last_per_key(previous, keys, previous_order).select(*keys, F.struct(*columns).alias("_old"), F.lit(1).alias("_ordinal"))
-    ordinal = F.row_number().over(Window.partitionBy(*keys).orderBy(*current_order))
-    new = current.where(_complete(keys)).select(*keys, F.struct(*columns).alias("_new"), ordinal.alias("_ordinal"))
-    both = new.join(old, [*keys, "_ordinal"], "full_outer").where(~F.col("_old").eqNullSafe(F.col("_new")))
-    op = F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").otherwise("update")
-    return both.select(op.alias("op"), *keys, F.col("_ordinal").alias("ordinal"), *[F.col(f"_new.{c}").alias(c) for c in columns])
+    both = _consumed(previous, current, keys, columns, previous_order, current_order).withColumn("op", _op()).where("op <> 'unchanged'")
+    return both.select("op", *keys, "ordinal", *[F.col(f"_new.{c}").alias(c) for c in columns])
 
 
 def apply_operations(base: DataFrame, ops: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -74,18 +84,14 @@ def change_feed_diff(previous: DataFrame, current: DataFrame, touched: DataFrame
     unchanged. Named deletes of keys that are there and not consumed are deletes; of others they are unknown
     (T10). A touched key without a row yields nothing. previous and current have one row per key.
     """
-    touched = touched.select(key).where(F.col(key).isNotNull()).distinct()
-    old = previous.select(key, F.struct(*columns).alias("_old"))
-    read = current.join(touched, key, "left_semi").select(key, F.struct(*columns).alias("_new"))
-    judged = read.join(old, key, "left").select(
-        key, F.when(F.col("_old").isNull(), "insert").when(F.col("_old").eqNullSafe(F.col("_new")), "unchanged").otherwise("update").alias("op")
-    )
-    named = deleted.select(key).where(F.col(key).isNotNull()).distinct()
-    there = old.select(key, F.lit(True).alias("_there"))
-    consumed = judged.where("op <> 'insert'").select(key, F.lit(True).alias("_consumed"))
-    gone = named.join(there, key, "left").join(consumed, key, "left")
-    op = F.when(F.col("_there").isNotNull() & F.col("_consumed").isNull(), "delete").otherwise("unknown")
-    return judged.unionByName(gone.select(key, op.alias("op")))
+    distinct = lambda df, flag: df.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    named = distinct(touched, "_touched").join(distinct(deleted, "_named"), key, "full_outer")
+    # every join is on the key: each side is moved once
+    both = named.join(current.select(key, F.struct(*columns).alias("_new")), key, "left").join(previous.select(key, F.struct(*columns).alias("_old")), key, "left")
+    read = F.coalesce(F.col("_touched"), F.lit(False)) & F.col("_new").isNotNull()
+    state = F.when(read, F.when(F.col("_old").isNull(), "insert").when(F.col("_old").eqNullSafe(F.col("_new")), "unchanged").otherwise("update"))
+    gone = F.when(F.col("_named"), F.when(F.col("_old").isNotNull() & ~read, "delete").otherwise("unknown"))
+    return both.select(key, F.explode(F.array_compact(F.array(state, gone))).alias("op"))
 
 
 def roll_index(index: DataFrame, ops: DataFrame, key: str) -> DataFrame:
