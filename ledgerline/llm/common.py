@@ -101,7 +101,7 @@ def flat_text(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     return raw, offsets - offsets[0]
 
 
-def split_batches(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+def split_batches(batch: pa.RecordBatch, column: str, limit: int = 2 << 20):
     """Slices of a batch whose texts together take about limit bytes (a longer row stands alone)."""
     sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0)).astype(np.int64)
     start = total = 0

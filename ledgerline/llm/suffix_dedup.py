@@ -33,8 +33,8 @@ REACH = WINDOW - GRAM + 1
 #: Different stretches around the same 32 bytes that one task sorts; beyond, windows are counted by hash.
 HOT = 4096
 #: Bytes hashed at once, and stretches sorted at once.
-SLICE = 1 << 19
-SORTED_AT_ONCE = 4096
+SLICE = 1 << 18
+SORTED_AT_ONCE = 2048
 
 RESULT_NAMES = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
 SPANS = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))

@@ -16,8 +16,9 @@ import numpy as np
 import regex
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-#: Pieces remembered per process and cache; a full cache starts anew.
-REMEMBERED = 250_000
+#: Pieces and whole words remembered per process; a full cache starts anew. Pieces are the dearer ones to encode again.
+PIECES_KEPT = 180_000
+WORDS_KEPT = 60_000
 
 
 @lru_cache(1)
@@ -41,16 +42,16 @@ def to_characters(piece: str) -> str:
 class Remembered(dict):
     """A dict that computes what is missing."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, most: int):
         super().__init__()
-        self.compute = compute
+        self.compute, self.most = compute, most
 
     def __missing__(self, key):
         value = self[key] = self.compute(key)
         return value
 
     def trim(self) -> None:
-        if len(self) > REMEMBERED:
+        if len(self) > self.most:
             self.clear()
 
 
@@ -67,8 +68,8 @@ class WordEncoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.size = self.tokenizer.get_vocab_size()
-        self.pieces = Remembered(self._piece)
-        self.words = Remembered(self._word)
+        self.pieces = Remembered(self._piece, PIECES_KEPT)
+        self.words = Remembered(self._word, WORDS_KEPT)
 
     def _piece(self, piece: str) -> bytes:
         return np.array([t.id for t in self.model.tokenize(to_characters(piece))], "<u4").tobytes()
@@ -121,8 +122,8 @@ class ByteEncoder:
         self.tokenizer = byte_level_tokenizer(path, pattern)
         self.model = self.tokenizer.model
         self.pattern = regex.compile(pattern)
-        self.pieces = Remembered(self._piece)
-        self.words = Remembered(self._word)
+        self.pieces = Remembered(self._piece, PIECES_KEPT)
+        self.words = Remembered(self._word, WORDS_KEPT)
         ranks = read_ranks(path)
         self.size = max(ranks.values()) + 1
         back = {character: byte for byte, character in enumerate(byte_characters())}
