@@ -191,16 +191,21 @@ def _size(edges: DataFrame) -> tuple:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(a, root): for every linked value the least value that it reaches, by alternating large and small stars."""
+    """(a, root): for every linked value the least value that it reaches, by alternating small and large stars.
+
+    The small star comes first: it hangs what many values link to on the least of it, so a dense group of links
+    shrinks to about one per value before edges are looked at from both ends.
+    """
     edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _size(edges)
     while before[0]:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        edges = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
         least = edges.groupBy("a").agg(F.min("b").alias("least"))
         own = edges.join(least, "a")
-        edges = own.select(F.col("a"), F.col("least").alias("b")).unionByName(own.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b")))
+        edges = own.select(F.col("a"), F.col("least").alias("b")).unionByName(own.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))).distinct()
+        edges = materialize(edges, "edges")
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
+        edges = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         edges = materialize(edges.distinct(), "edges")
         now = _size(edges)
         if now == before:
@@ -251,8 +256,8 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
 
     Fingerprints of 256 bits tell the similarity of shingle sets closely: documents link where it comes out at
     `similarity` or more. Candidates meet in tables of 28 sampled bits (at a similarity of 0.9, 99 of 100 pairs
-    meet in one of the 128 tables, at 0.8 three of four); in a table each is paired with the least and the greatest id of its bucket
-    only, so pairs grow with the rows. Pairs whose distances to some pivot differ by more than the limit are
+    meet in one of the 128 tables, at 0.8 three of four); in a table each is paired with the least id of its bucket only, so pairs
+    grow with the rows. Pairs whose distances to some pivot differ by more than the limit are
     discarded, the others verified. Equal fingerprints are one candidate. Rows with a null id are left out;
     texts without a word have the fingerprint zero and are linked like any other.
     """
@@ -281,8 +286,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     ends = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("n > 1")
     ends = materialize(ends, "buckets")
     middle = dealt.join(ends.where("n > 2"), "key")
-    pairs = ends.select(F.col("low").alias("a"), F.col("high").alias("b"))
-    pairs = pairs.unionByName(middle.select(F.col("low").alias("a"), F.col("id").alias("b"))).unionByName(middle.select(F.col("id").alias("a"), F.col("high").alias("b")))
+    pairs = ends.select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(middle.select(F.col("low").alias("a"), F.col("id").alias("b")))
     pairs = pairs.where("a < b").distinct()
     both = pairs.join(distinct.select(F.col("id").alias("a"), F.col("fp").alias("fp_a")), "a").join(distinct.select(F.col("id").alias("b"), F.col("fp").alias("fp_b")), "b")
 
