@@ -36,13 +36,23 @@ def _own_folder() -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df once as a table in the shared folder and read it back: it cuts the lineage and outlives executors."""
+    """Write df once as a table in the shared folder and read it back: it cuts the lineage and outlives executors.
+
+    The table goes when the driver ends.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system of a path remove it when the driver's JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A finalizer that spreads every input bit over all 64 output bits."""
     h = h ^ (h >> np.uint64(30))

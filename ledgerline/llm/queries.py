@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import byte_bpe, exact_topk, packing, projection_forest, quality, simhash, substring_dedup, suffix_dedup, token_files, url_filter
-from .common import load, shared_folder
+from .common import load, removed_at_exit, shared_folder
 
 WORDS = "word_bpe_49k.json"
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
@@ -28,6 +28,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/token-files-{uuid.uuid4().hex}"
     token_files.write_token_files(load(spark, sf_dir, "documents"), path, public_tokenizers.path(WORDS), end_id=1)
+    removed_at_exit(spark, path)
     return token_files.documents_of(token_files.read_token_files(spark, path))
 
 
