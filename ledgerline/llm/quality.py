@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 import xxhash
 
+from . import vocabularies
 from .common import materialize, split_batches
 
 #: Labelled documents that the classifier is fitted on, at most.
@@ -161,6 +162,7 @@ def document_scores(docs: DataFrame, model: Classifier, keep: list[str], text_co
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a bounded vocabulary of BUCKETS at most
 
     def score(batches):
+        vocabularies.forget()
         classifier = shared.value
         table = classifier.table()
         for whole in batches:

@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import vocabularies
 from .common import materialize, mix, split_batches
 
 #: Reference fingerprints: any fixed values serve.
@@ -68,6 +69,7 @@ def fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_col:
     """doc_id and fp (the fingerprint's 64 bits as a long) of every row; nothing is shuffled."""
 
     def hashed(batches):
+        vocabularies.forget()
         for whole in batches:
             for batch in split_batches(whole, "text"):
                 texts = batch.column("text").cast(pa.large_binary()).to_pylist()
@@ -264,6 +266,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     limit = most_differing_bits(similarity)
 
     def hashed(batches):
+        vocabularies.forget()
         for whole in batches:
             for batch in split_batches(whole, "text"):
                 texts = batch.column("text").cast(pa.large_binary()).to_pylist()
@@ -274,6 +277,7 @@ def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8,
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "fingerprints")
 
     def deal(batches):
+        vocabularies.forget()
         weights = 1 << np.arange(SAMPLED, dtype=np.int64)
         for batch in batches:
             raw = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(-1, LONG // 8)

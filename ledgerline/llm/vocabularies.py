@@ -16,9 +16,9 @@ import numpy as np
 import regex
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-#: Pieces and whole words remembered per process; a full cache starts anew. Pieces are the dearer ones to encode again.
-PIECES_KEPT = 180_000
-WORDS_KEPT = 60_000
+#: Pieces and whole words remembered per process; a full cache starts anew.
+PIECES_KEPT = 250_000
+WORDS_KEPT = 250_000
 
 
 @lru_cache(1)
@@ -174,3 +174,10 @@ def word_encoder(path: str) -> WordEncoder:
 @lru_cache(4)
 def byte_encoder(path: str, pattern: str) -> ByteEncoder:
     return ByteEncoder(path, pattern)
+
+
+def forget() -> None:
+    """Let go of what this process remembers of vocabularies: a worker that goes on to another operator needs the memory."""
+    word_encoder.cache_clear()
+    byte_encoder.cache_clear()
+    read_ranks.cache_clear()
