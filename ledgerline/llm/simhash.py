@@ -231,80 +231,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4, id_col: str
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Long fingerprints: bits, tables of sampled bits in which candidates meet, and bits of a sample.
-LONG = 256
-TABLES = 128
-SAMPLED = 28
-_DRAW = np.random.default_rng(11)
-SAMPLES = np.array([_DRAW.choice(LONG, SAMPLED, replace=False) for _ in range(TABLES)])
-LONG_PIVOTS = _DRAW.integers(0, 1 << 63, (16, LONG // 64), dtype=np.uint64) * np.uint64(2) + _DRAW.integers(0, 2, (16, LONG // 64), dtype=np.uint64)
-
-
-def long_fingerprint(text: bytes | None, words: int) -> bytes:
-    """The SimHash of a text's distinct shingles, 256 bits from four mixes of their hashes."""
-    hashes = np.unique(shingle_hashes(text, words))
-    bits = [majority_bits(mix(hashes + np.uint64(i * 0x9E3779B97F4A7C15 % 2**64))) for i in range(LONG // 64)]
-    return np.packbits(np.concatenate(bits), bitorder="little").tobytes()
-
-
-def most_differing_bits(similarity: float) -> int:
-    """How many bits of a long fingerprint sets of this Jaccard similarity differ in: as many as their angle is of a half turn, and a standard deviation."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return int(LONG * share + np.sqrt(LONG * share * (1 - share)))
-
-
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and component_id (the least doc_id reachable) of documents whose word shingles are similar.
-
-    Fingerprints of 256 bits tell the similarity of shingle sets closely: documents link where it comes out at
-    `similarity` or more. Candidates meet in tables of 28 sampled bits (at a similarity of 0.9, 99 of 100 pairs
-    meet in one of the 128 tables, at 0.8 three of four); in a table each is paired with the least id of its bucket only, so pairs
-    grow with the rows. Pairs whose distances to some pivot differ by more than the limit are
-    discarded, the others verified. Equal fingerprints are one candidate. Rows with a null id are left out;
-    texts without a word have the fingerprint zero and are linked like any other.
-    """
-    limit = most_differing_bits(similarity)
+    """doc_id and component_id of documents whose word shingles are similar: 64 bits are too few for that, so the sets themselves decide (similar_sets)."""
+    from . import similar_sets
 
-    def hashed(batches):
-        vocabularies.forget()
-        for whole in batches:
-            for batch in split_batches(whole, "text"):
-                texts = batch.column("text").cast(pa.large_binary()).to_pylist()
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([long_fingerprint(t, words) for t in texts], pa.binary())], ["doc_id", "fp"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    prints = materialize(rows.mapInArrow(hashed, "doc_id bigint, fp binary"), "fingerprints")
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "fingerprints")
-
-    def deal(batches):
-        vocabularies.forget()
-        weights = 1 << np.arange(SAMPLED, dtype=np.int64)
-        for batch in batches:
-            raw = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint8).reshape(-1, LONG // 8)
-            bits = np.unpackbits(raw, axis=1, bitorder="little").astype(np.int64)
-            ids = batch.column("id").to_numpy()
-            keys = np.stack([bits[:, own] @ weights + (t << SAMPLED) for t, own in enumerate(SAMPLES)], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(ids, TABLES))], ["key", "id"])
-
-    dealt = distinct.mapInArrow(deal, "key bigint, id bigint")
-    ends = dealt.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("n > 1")
-    ends = materialize(ends, "buckets")
-    middle = dealt.join(ends.where("n > 2"), "key")
-    pairs = ends.select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(middle.select(F.col("low").alias("a"), F.col("id").alias("b")))
-    pairs = pairs.where("a < b").distinct()
-    both = pairs.join(distinct.select(F.col("id").alias("a"), F.col("fp").alias("fp_a")), "a").join(distinct.select(F.col("id").alias("b"), F.col("fp").alias("fp_b")), "b")
-
-    def verify(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u8").reshape(-1, LONG // 64) for c in ("fp_a", "fp_b"))
-            left = np.arange(len(x))
-            for pivot in LONG_PIVOTS:
-                apart = np.bitwise_count(x[left] ^ pivot).sum(1, dtype=np.int64) - np.bitwise_count(y[left] ^ pivot).sum(1, dtype=np.int64)
-                left = left[np.abs(apart) <= limit]
-            left = left[np.bitwise_count(x[left] ^ y[left]).sum(1, dtype=np.int64) <= limit]
-            taken = pa.array(left)
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(taken), batch.column("b").take(taken)], ["a", "b"])
-
-    rooted = components(both.select("a", "b", "fp_a", "fp_b").mapInArrow(verify, "a bigint, b bigint")).select(F.col("a").alias("id"), "root")
-    named = distinct.join(rooted, "id", "left").select("fp", F.coalesce("root", "id").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "component_id")
+    return similar_sets.similar_documents(docs, words, similarity, id_col, text_col)
