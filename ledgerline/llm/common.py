@@ -103,7 +103,7 @@ def flat_text(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
         if isinstance(column, pa.ChunkedArray):
             column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null("" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
     data = column.buffers()[2]

@@ -20,6 +20,8 @@ from .common import materialize, split_batches
 from .vocabularies import word_encoder
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
+#: Bytes of text encoded at once.
+ENCODED_AT_ONCE = 8 << 20
 PLAN = "length bigint, first bigint, n bigint, per_sequence bigint, sequence bigint, at bigint"
 
 
@@ -102,23 +104,26 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> D
 
     def encode(batches):
         encoder = word_encoder(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for whole in batches:
-            for batch in split_batches(whole, "text"):
-                out: list[list[int]] = [[] for _ in range(6)]
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    ids = encoder.encode(text or "") + end
-                    for piece, start in enumerate(range(0, len(ids) // 4, capacity)):
-                        own = ids[4 * start : 4 * (start + capacity)]
-                        length = len(own) // 4
-                        for column, value in zip(out, (doc_id, piece, start, length, zlib.crc32(own), int(seen[length]))):
-                            column.append(value)
-                        seen[length] += 1
+            for batch in split_batches(whole, "text", ENCODED_AT_ONCE):
+                tokens, sizes = encoder.encode_column(batch.column("text"), end_id)
                 encoder.trim()
-                doc_ids, piece, start, length, crc, nth = out
+                raw = memoryview(tokens.astype("<u4", copy=False)).cast("B")
+                counts = -(-sizes // capacity)
+                row = np.repeat(np.arange(len(sizes)), counts)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+                start = piece * capacity
+                length = np.minimum(capacity, sizes[row] - start)
+                first = (np.cumsum(sizes) - sizes)[row] + start
+                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(first.tolist(), (first + length).tolist())]
+                order = np.argsort(length, kind="stable")
+                groups, at, n = np.unique(length[order], return_index=True, return_counts=True)
+                nth = np.empty(len(row), np.int64)
+                nth[order] = np.arange(len(row)) - np.repeat(at - seen[groups], n)
+                seen[groups] += n
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([part] * len(piece), pa.int32()), pa.array(nth, pa.int64())],
+                    [batch.column("doc_id").take(pa.array(row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(np.full(len(row), part, np.int32)), pa.array(nth)],
                     ["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"],
                 )
 
@@ -168,10 +173,9 @@ def packed_sequences(docs: DataFrame, packed: DataFrame, tokenizer: str, end_id:
 
     def encode(batches):
         encoder = word_encoder(tokenizer)
-        end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = zip(*(batch.column(c).to_pylist() for c in ("text", "start", "length", "sequence_id", "offset")))
-            out = [(s, o, np.frombuffer(encoder.encode(t or "") + end, "<u4")[a : a + n].tolist()) for t, a, n, s, o in rows]
+            out = [(s, o, encoder.encode_column(pa.array([t], pa.string()), end_id)[0][a : a + n].tolist()) for t, a, n, s, o in rows]
             encoder.trim()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.list_(pa.int64()))],

@@ -23,6 +23,8 @@ from .vocabularies import word_encoder
 
 #: Ids gathered before a block is closed.
 BLOCK_IDS = 1 << 19
+#: Bytes of text encoded at once.
+ENCODED_AT_ONCE = 8 << 20
 
 BLOCKS = "shard int, block int, doc_ids array<bigint>, lengths array<bigint>, bits int, n_tokens bigint, payload binary"
 BLOCKS_ARROW = pa.schema(
@@ -71,38 +73,42 @@ def write_token_files(
     """Encode every whole text and write the ids under path, in ascending order of id_col.
 
     A null text is an empty one; every document gets end_id as its last id. Rows of equal id
-    keep together, ordered by text; null ids come first. An empty table makes no block.
-    Columns besides the two named are not read. The texts are dealt out once by ranges of
-    ids; each task then writes the blocks of its shard, so no task holds more than a block.
+    stand side by side, ordered by text; null ids come first. An empty table makes no block.
+    Columns besides the two named are not read. The texts are dealt out once by ranges of ids
+    (and of the texts' beginnings, so that different texts of a repeated id can be parted);
+    each task then writes the blocks of its shard, so no task holds more than a block.
     """
     spark = docs.sparkSession
     shards = shards or shuffle_partitions(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = rows.repartitionByRange(shards, "doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
 
     def encode(batches):
         encoder = word_encoder(tokenizer)
         bits = bits_for(max(encoder.size, end_id + 1))
-        end = np.array([end_id], "<u4").tobytes()
         shard, block, ids, parts, lengths, total = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def close():
-            payload = pack(np.frombuffer(b"".join(parts), "<u4"), bits)
+            payload = pack(np.concatenate(parts), bits)
             return pa.RecordBatch.from_pydict(
                 {"shard": [shard], "block": [block], "doc_ids": [ids], "lengths": [lengths], "bits": [bits], "n_tokens": [total], "payload": [payload]}, BLOCKS_ARROW
             )
 
         for whole in batches:
-            for batch in split_batches(whole, "text"):
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    part = encoder.encode(text or "")
-                    parts += part, end
-                    ids.append(doc_id)
-                    lengths.append(len(part) // 4 + 1)
-                    total += lengths[-1]
+            for batch in split_batches(whole, "text", ENCODED_AT_ONCE):
+                tokens, sizes = encoder.encode_column(batch.column("text"), end_id)
+                stops, doc_ids, at = np.cumsum(sizes), batch.column("doc_id").to_pylist(), 0
+                while at < len(sizes):  # rows up to the one that fills the block
+                    done = int(stops[at] - sizes[at])
+                    till = min(len(sizes), int(np.searchsorted(stops, done + BLOCK_IDS - total)) + 1)
+                    parts.append(tokens[done : stops[till - 1]])
+                    ids += doc_ids[at:till]
+                    lengths += sizes[at:till].tolist()
+                    total += int(stops[till - 1]) - done
                     if total >= BLOCK_IDS:
                         yield close()
                         block, ids, parts, lengths, total = block + 1, [], [], [], 0
+                    at = till
                 encoder.trim()
         if ids:
             yield close()
