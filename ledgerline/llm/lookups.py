@@ -30,6 +30,8 @@ REPLIES_ARROW = pa.schema([("batch", pa.int32()), ("kind", pa.int32()), ("data",
 #: fewer buckets keep the records of a batch and bucket large.
 BATCHES_PER_PARTITION = 3
 PARTITIONS_PER_BUCKET = 3
+#: Bytes of text in a batch: beyond, there are more batches, partitions and buckets than the session's shuffle width asks for.
+BATCH_BYTES = 8 << 20
 
 #: Doc ids in records; a null id counts as larger than any other.
 NO_ID = np.iinfo(np.int64).max
@@ -38,11 +40,14 @@ SHARED = np.dtype([("a", "<u8"), ("many", "u1")])
 KEYED = np.dtype([("a", "<u8"), ("b", "<u8"), ("n", "<u4")])
 LEAST = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("many", "u1")])
 FOUND = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8")])
+#: Where a hash comes first: places are ordered by doc, batch, row and at.
+FIRST = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("batch", "<i4"), ("row", "<i4"), ("at", "<i8"), ("n", "<u4")])
 
 
 def in_batches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> tuple[DataFrame, int]:
     """doc_id, text and batch of all rows, dealt out by batch, and the number of buckets; columns to carry along are named carry_0, carry_1 ..."""
-    width = shuffle_partitions(docs.sparkSession)
+    held = docs.agg(F.coalesce(F.sum(F.octet_length(docs[f"`{text_col}`"])), F.lit(0))).first()[0]
+    width = max(shuffle_partitions(docs.sparkSession), -(-held // (BATCH_BYTES * BATCHES_PER_PARTITION)))
     along = [docs[f"`{name}`"].alias(f"carry_{i}") for i, name in enumerate(carry or [])]
     rows = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].alias("text"), *along)
     batch = F.pmod(F.xxhash64("doc_id", "text"), F.lit(width * BATCHES_PER_PARTITION)).cast("int")
@@ -189,6 +194,34 @@ def least_records(a: np.ndarray, b: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return out
 
 
+def first_records(a: np.ndarray, b: np.ndarray, doc: np.ndarray, batch: int, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One FIRST record per distinct (a, b): where it comes first in this batch, and how often it occurs."""
+    order = np.lexsort((at, row, doc, b, a))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0)
+    starts = np.flatnonzero(new)
+    out = np.zeros(len(starts), FIRST)
+    own = order[starts]
+    out["a"], out["b"], out["doc"], out["batch"], out["row"], out["at"] = a[own], b[own], doc[own], batch, row[own], at[own]
+    out["n"] = np.diff(np.append(starts, len(order)))
+    return out
+
+
+def answer_first(kind: int, who: list[int], data: list[bytes]):
+    """The first place of each hash that occurs twice or more: FIRST records in, FIRST out (n: occurrences in all)."""
+    who, records = gathered(who, data, FIRST)
+    order = np.lexsort((records["at"], records["row"], records["batch"], records["doc"], records["b"], records["a"]))
+    if len(order):
+        own, asker = records[order], who[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(own["a"]) != 0) | (np.diff(own["b"]) != 0)
+        starts = np.flatnonzero(new)
+        total = spread(np.add.reduceat(own["n"].astype(np.uint64), starts), starts, len(order))
+        out = spread(own[starts], starts, len(order))
+        out["n"] = np.minimum(total, 2**32 - 1)
+        yield from replies_of(kind, asker[total > 1], out[total > 1])
+
+
 def answer_shared(kind: int, who: list[int], data: list[bytes]):
     """Which hashes more than one document holds: SHARED records in, uint64 hashes out."""
     who, records = gathered(who, data, SHARED)

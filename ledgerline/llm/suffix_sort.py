@@ -152,9 +152,36 @@ def neighbour_prefixes(rows: np.ndarray, lengths: np.ndarray, order: np.ndarray)
     return out
 
 
-def repeated_offsets(right: np.ndarray, right_len: np.ndarray, left: np.ndarray, left_len: np.ndarray, group: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+def nearest_smaller(shared: np.ndarray, nth: np.ndarray) -> np.ndarray:
+    """What each member of a line shares most with one of smaller nth; shared: with the one before it (-1: another line).
+
+    Only the nearest of smaller nth on either side matters, for sharing falls with the distance.
+    """
+    best = np.full(len(nth), -1)
+    for backwards in (False, True):
+        stack: list[tuple[int, int]] = []  # (nth, shared with the member above it), nth rising
+        places = range(len(nth) - 1, -1, -1) if backwards else range(len(nth))
+        between = (np.append(shared[1:], -1) if backwards else shared).tolist()
+        order = nth.tolist()
+        for i in places:
+            common = between[i]
+            if common < 0:
+                stack.clear()
+            while stack and stack[-1][0] > order[i]:
+                common = min(common, stack.pop()[1])
+            if stack:
+                best[i] = max(best[i], common)
+            stack.append((order[i], common))
+    return best
+
+
+def repeated_offsets(
+    right: np.ndarray, right_len: np.ndarray, left: np.ndarray, left_len: np.ndarray, group: np.ndarray, window: int, nth: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """For each place: the least and the greatest o such that the window from o bytes before it occurs at another place of its group.
 
+    nth: an order of the places; then the other place must come before it in that order.
+
     right: the bytes from the place on; left: those before it, backwards; the window at o takes o bytes
     of left and window-o of right. Places without a repeated window get (window, -1). Two places share the
     windows window-r ... l, if they share r bytes to the right and l to the left. In right order, the places
@@ -182,7 +209,7 @@ def repeated_offsets(right: np.ndarray, right_len: np.ndarray, left: np.ndarray,
         shared = neighbour_prefixes(left, left_len, member)
         shared[1:][np.diff(own) != 0] = -1
         shared[0] = -1
-        best = np.maximum(shared, np.append(shared[1:], -1))
+        best = np.maximum(shared, np.append(shared[1:], -1)) if nth is None else nearest_smaller(shared, nth[member])
         hit = best >= window - depth
         who = member[hit]
         most[who] = np.maximum(most[who], best[hit])

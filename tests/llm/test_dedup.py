@@ -111,6 +111,42 @@ def test_suffix_dedup_is_exact(spark, hot_above):
     assert suffix_dedup.suffix_dedup(corpus(spark, [])).count() == 0
 
 
+def later_bytes_removed(texts, window):
+    """Of texts in order: every byte covered by a window that also starts at an earlier place."""
+    seen, out = set(), []
+    for raw in texts:
+        gone = np.zeros(len(raw), bool)
+        for i in range(len(raw) - window + 1):
+            if raw[i : i + window] in seen:
+                gone[i : i + window] = True
+            seen.add(raw[i : i + window])
+        out.append(bytes(np.frombuffer(raw, np.uint8)[~gone]))
+    return out
+
+
+@pytest.mark.parametrize("hot_above", [suffix_dedup.HOT, 1])
+@pytest.mark.parametrize("window", [100, 200])
+def test_suffix_dedup_keeps_the_first_copy(spark, hot_above, window):
+    rnd = random.Random(window)
+    rows = documents(4)[:52] + [(60, "ab" * 700), (61, "ö" * 300 + "x"), (62, None), (63, "ab" * 60 + "y" + "ab" * 300)]
+    passage = word_text(rnd, 90)
+    rows += [(70 + i, word_text(rnd, 20) + passage[4 * (i % 3) : len(passage) - 3 * i] + word_text(rnd, 20) + passage[:300]) for i in range(12)]
+    rnd.shuffle(rows)
+    found = {r["doc_id"]: bytes(r["kept"]) for r in suffix_dedup.suffix_dedup(corpus(spark, rows), hot_above=hot_above, window=window, keep_first=True).collect()}
+    rows.sort()
+    assert found == dict(zip([k for k, _ in rows], later_bytes_removed([(t or "").encode() for _, t in rows], window)))
+
+
+def test_suffix_dedup_keeps_the_first_copy_among_repeated_rows(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(200))
+    rows = [(None, text), (1, text), (1, text), (1, "a" + text), (2, "b" + text + "c"), (None, text)]
+    found = suffix_dedup.suffix_dedup(corpus(spark, rows), as_text=True, window=200, keep_first=True).collect()
+    kept = sorted((r["doc_id"] or 9, r["kept"]) for r in found)
+    assert sum(text in k for _, k in kept) == 1 and [d for d, k in kept if text in k] == [1]
+    assert [k.replace(text, "") for _, k in kept] in (["", "", "a", "bc", "", ""], ["", "a", "", "bc", "", ""])
+    assert suffix_dedup.suffix_dedup(corpus(spark, []), keep_first=True).count() == 0
+
+
 def test_suffix_dedup_takes_all_copies_and_torn_characters(spark):
     text = "".join(chr(0x4E00 + i) for i in range(200))
     rows = [(None, text), (1, text), (1, text), (2, "a" + text[:150] + "b" + text[:150])]
