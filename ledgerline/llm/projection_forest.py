@@ -23,9 +23,12 @@ from .vectors import distinct_vectors, matrix, usable
 SAMPLE = 20_000
 TREES = 8
 DEEPEST = 10
-#: Vectors wanted in a leaf, and rows of a leaf that one task reads (larger leaves are read in parts).
+#: Vectors wanted in a leaf, and rows and queries of a leaf that one task reads (larger leaves are read in parts).
 LEAF = 400
 PART = 4096
+QUERIES = 1024
+#: Queries whose distances to all planes are computed at once.
+SEARCHED_AT_ONCE = 64
 
 
 def fit(sample: np.ndarray, depth: int, trees: int = TREES, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +89,8 @@ def nearest(
     score is the Euclidean distance in double precision; ties go to the smaller id; a query's own row is no
     candidate. Vectors that are null, zero or not finite take no part (see vectors.usable). Equal vectors are
     indexed once and answered for all their ids; with fewer candidates than k, all are returned. The trees are
-    fitted on at most `sample` distinct vectors, but every vector is indexed. Repeated rows (equal id and
-    vector) count as one row each.
+    fitted on at most `sample` distinct vectors, but every vector is indexed. Equal rows (id and vector) count as
+    one; rows of one id with different vectors are queries each (query_id and rank repeat then).
     """
     spark = table.sparkSession
     rows = usable(table, id_col, vector_col, zero=False)
@@ -122,23 +125,26 @@ def nearest(
         for batch in batches:
             own = matrix(batch.column("v"))
             tree, leaf, which = [], [], []
-            if len(own):
-                sides = np.einsum("qw,tnw->qtn", own, directions) - cuts[None]
-                for i in range(len(own)):
-                    for t, x in search(sides[i], sizes, budget):
+            for at in range(0, len(own), SEARCHED_AT_ONCE):
+                sides = np.einsum("qw,tnw->qtn", own[at : at + SEARCHED_AT_ONCE], directions) - cuts[None]
+                for i, side in enumerate(sides):
+                    for t, x in search(side, sizes, budget):
                         tree.append(t)
                         leaf.append(x)
-                        which.append(i)
+                        which.append(at + i)
             taken = pa.array(which, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.array(leaf, pa.int64()), batch.column("query").take(taken), batch.column("v").take(taken)], ["tree", "leaf", "query", "v"])
 
     queries = rows.where(F.col("vec_id") % every == 0).join(vectors.select("v", "first"), "v").select(F.col("vec_id").alias("query_id"), F.col("first").alias("query"))
     queries = materialize(queries, "queries")
     asked = vectors.join(queries.select(F.col("query").alias("first")).distinct(), "first", "left_semi")
-    asked = asked.select(F.col("first").alias("query"), "v").repartition(spark.sparkContext.defaultParallelism, "query")
+    asked = materialize(asked.select(F.col("first").alias("query"), "v").repartition("query"), "asked")
+    query_blocks = max(1, -(-asked.count() // QUERIES))
     opened = asked.mapInArrow(opens, "tree int, leaf bigint, query bigint, v array<double>").join(F.broadcast(parts), ["tree", "leaf"])
     opened = opened.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    opened = opened.withColumn("query_block", F.pmod(F.xxhash64("query"), F.lit(query_blocks)).cast("int"))
     blocks = placed.join(F.broadcast(parts), ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("first"), F.col("parts").cast("long")).cast("int")).drop("parts")
+    blocks = blocks.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
 
     def rerank(left: pa.Table, right: pa.Table) -> pa.Table:
         query, first, score = [], [], []
@@ -158,10 +164,10 @@ def nearest(
                 score += np.sqrt(square[some]).tolist()
         return pa.table({"query": pa.array(query, pa.int64()), "first": pa.array(first, pa.int64()), "score": pa.array(score, pa.float64())})
 
-    block = ["tree", "leaf", "part"]
+    block = ["tree", "leaf", "part", "query_block"]
     found = blocks.groupBy(*block).cogroup(opened.groupBy(*block)).applyInArrow(rerank, "query bigint, first bigint, score double").distinct()
     best = found.withColumn("nth", F.row_number().over(Window.partitionBy("query").orderBy("score", "first"))).where(F.col("nth") <= k + 1)
     members = best.join(vectors.select("first", F.explode("ids").alias("vec_id")), "first").select("query", "vec_id", "score")
     answers = queries.join(members, "query").where("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy("score", "vec_id"))
     return answers.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -68,6 +68,35 @@ def test_forest_with_few_or_no_vectors(spark):
     assert projection_forest.nearest(frame(spark, awkward(1)[1]), k=10).count() == 0
 
 
+def test_equal_rows_are_one_query_and_one_candidate(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [0.0, 1.0]), (2, [2.0, 0.0]), (3, [-1.0, 0.5])]
+    found = projection_forest.nearest(frame(spark, rows), k=10).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in found) == [(0, 1, 2), (0, 2, 1), (0, 3, 3)]
+    found = exact_topk.top_by_inner_product(frame(spark, rows), k=10).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in found) == [(0, 1, 2), (0, 2, 1), (0, 3, 3)]
+    found = exact_topk.top_by_inner_product(frame(spark, [*rows, (0, [0.0, 3.0])]), k=1).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in found) == [(0, 1, 1), (0, 1, 2)]
+
+
+def test_queries_of_a_leaf_are_split(spark, monkeypatch):
+    monkeypatch.setattr(projection_forest, "QUERIES", 3)
+    monkeypatch.setattr(projection_forest, "SEARCHED_AT_ONCE", 2)
+    rows, _ = awkward(3)
+    found = by_query(projection_forest.nearest(frame(spark, rows), k=10, every=50, share=100.0).collect())
+    assert {q: [i for _, i, _ in own] for q, own in found.items()} == {q: [i for _, i, _ in own] for q, own in nearest(rows, 10, 50).items()}
+
+
+def test_reading_stops_where_components_differ_in_weight():
+    draw = np.random.default_rng(4)
+    scale = np.array([1000, 30, 2, 1])
+    rows, asked, read = np.floor(draw.normal(size=(4000, 4)) * scale).astype(np.int64), np.floor(draw.normal(size=(5, 4)) * scale).astype(np.int64), []
+    q, found, score = exact_topk.block_top(asked, np.full(5, -1), rows, np.arange(4000), 10, read)
+    assert read and read[-1][0] < 1 and read[-1][1] < 0.05
+    for i in range(5):
+        whole = rows @ asked[i]
+        assert score[q == i].tolist() == sorted(whole.tolist(), reverse=True)[:10]
+
+
 def best(rows, k, every):
     ids, x = np.array([i for i, _ in rows]), np.floor(1024 * np.array([v for _, v in rows], float)).astype(np.int64)
     out = {}
