@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import lru_cache
@@ -10,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Multipliers of the rolling hashes (odd, so that they can be inverted modulo 2^64).
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -25,8 +27,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, one of our own, in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder or _own_folder()
 
 
@@ -38,13 +42,32 @@ def _own_folder() -> str:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once as a table in the shared folder and read it back: it cuts the lineage and outlives executors.
 
-    The table goes when the driver ends.
+    The table goes with dropped(), or when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     removed_at_exit(spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables that materialize() returned and that nothing reads any more."""
+    for table in tables:
+        folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def dealt_apart(many: DataFrame, few: DataFrame, key: str, by: list[str], salts: int = 16) -> DataFrame:
+    """Left join of many rows to at most one row a key, where a key may hold a large share of the rows.
+
+    The rows of a key are dealt to `salts` tasks by a hash of the columns `by` and by the task that they come from.
+    """
+    salt = F.pmod(F.xxhash64(*by) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    copies = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return many.withColumn("__salt", salt).join(copies, [key, "__salt"], "left").drop("__salt")
 
 
 def removed_at_exit(spark: SparkSession, path: str) -> None:

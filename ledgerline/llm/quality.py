@@ -134,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     """Fit on at most `sample` labelled documents, drawn by a hash of the id. Bad is quality 0 or toxic 1.
 
     Rows without an id or without any label are passed over; of several labels of one document, one bad one suffices.
-    Tasks turn texts into hashed words and shapes; the driver gets those of the sample only.
+    Tasks turn texts into hashed words and shapes; the driver gets those of the sample only, one text for each id (the least).
     """
     bad = (F.coalesce(F.col("quality"), F.lit(1)) == 0) | (F.coalesce(F.col("toxic"), F.lit(0)) == 1)
     known = labels.where(F.col(id_col).isNotNull() & (F.col("quality").isNotNull() | F.col("toxic").isNotNull()))
@@ -142,6 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     step = -(-known.count() // sample) or 1
     drawn = known.where(F.pmod(F.xxhash64("labelled"), F.lit(step)) == 0).orderBy(F.xxhash64("labelled", F.lit(1))).limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("labelled"), F.col(text_col).alias("text")).join(F.broadcast(drawn), "labelled")
+    texts = texts.groupBy("labelled").agg(F.max("bad").alias("bad"), F.min("text").alias("text"))  # of repeated ids one text
 
     def featurize(batches):
         for batch in batches:
@@ -152,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
             )
 
     rows = texts.mapInArrow(featurize, "labelled bigint, bad int, words binary, shape array<double>").toPandas()
-    rows = rows.sort_values("labelled", kind="stable").drop_duplicates("labelled")
+    rows = rows.sort_values("labelled", kind="stable")
     return Classifier.fit([np.frombuffer(w, "<i4") for w in rows["words"]], np.array(rows["shape"].tolist()).reshape(len(rows), FEATURES - 3), rows["bad"].to_numpy())
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocabularies
-from .common import materialize, mix, split_batches
+from .common import dropped, materialize, mix, split_batches
 
 #: Reference fingerprints: any fixed values serve.
 PIVOTS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -203,13 +203,14 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         least = edges.groupBy("a").agg(F.min("b").alias("least"))
         own = edges.join(least, "a")
-        edges = own.select(F.col("a"), F.col("least").alias("b")).unionByName(own.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))).distinct()
-        edges = materialize(edges, "edges")
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        small = own.select(F.col("a"), F.col("least").alias("b")).unionByName(own.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))).distinct()
+        small = materialize(small, "edges")
+        both = small.unionByName(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        edges = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        edges = materialize(edges.distinct(), "edges")
-        now = _size(edges)
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        large = materialize(large.distinct(), "edges")
+        dropped(edges, small)
+        edges, now = large, _size(large)
         if now == before:
             break
         before = now

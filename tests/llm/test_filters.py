@@ -66,6 +66,41 @@ def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
     assert found == {0: "block", 1: "block", 2: "block", 10: "block", 11: "allow", 12: "allow"}
 
 
+def test_hosts_of_many_labels_and_long_chains_are_reached(spark):
+    deep = ".".join(f"l{i}" for i in range(11)) + ".bad.net"
+    pages = [(i, f"http://bad.net/fr/{i}", None) for i in range(3)] + [(10, f"http://{deep}/", None), (11, "http://good.org/", None), (12, "http://" + "a." * 4000 + "net/", None)]
+    pages += [(20 + i, f"http://c{i}.org/", f"<a href='http://c{i - 1}.org/'>" if i else "<a href='//bad.net/'>") for i in range(12)]
+    found = {r["page_id"]: r for r in url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES).collect()}
+    assert len(found) == len(pages) and found[10]["distrust"] > 0 and found[31]["distrust"] > 0 and found[11]["distrust"] == 0
+    assert found[20]["verdict"] == "block" and found[11]["verdict"] == "allow" and found[12]["verdict"] == "allow"
+    assert abs(sum({r["host"]: r["distrust"] or 0.0 for r in found.values()}.values()) - 1) < 0.5
+
+
+def test_verdicts_of_unruled_hosts_follow_from_dense_scores(spark):
+    rnd = random.Random(5)
+    names = [f"h{i}.org" for i in range(14)] + ["bad.net", "worse.net", "fine.com", "x.fine.com"]
+    links = {k: [rnd.choice(names) for _ in range(3)] for k in names}
+    pages = [(i, f"http://{k}/" + ("fr/a" if k.endswith("net") else ""), "".join(f"<a href='http://{x}/'>" for x in links[k])) for i, k in enumerate(names)]
+    found = {r["host"]: r for r in url_filter.judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES).collect()}
+    n, m = len(names), np.zeros((len(names), len(names)))
+    for k in names:
+        for x in set(links[k]) - {k}:
+            m[names.index(k), names.index(x)] += 1
+    m[names.index("x.fine.com"), names.index("fine.com")] += url_filter.SITE_WEIGHT
+    m[names.index("fine.com"), names.index("x.fine.com")] += url_filter.SITE_WEIGHT
+    seeds = np.array([[k.endswith(".com") / 2, k.endswith(".net") / 2] for k in names])
+    along, against = m / np.maximum(m.sum(1, keepdims=True), 1e-300), m.T / np.maximum(m.T.sum(1, keepdims=True), 1e-300)
+    t, d = seeds.T
+    for _ in range(200):
+        t, d = 0.15 * seeds[:, 0] + 0.85 * t @ along, 0.15 * seeds[:, 1] + 0.85 * d @ against
+    t, d = t / t.sum(), d / d.sum()
+    for i, k in enumerate(names):
+        assert abs(found[k]["trust"] - t[i]) < 0.01 and abs(found[k]["distrust"] - d[i]) < 0.01
+        gap = d[i] - t[i] - url_filter.MARGIN / n
+        if k.endswith(".org") and abs(gap) > 0.01:
+            assert found[k]["verdict"] == ("block" if gap > 0 else "allow")
+
+
 def test_url_query(spark, sf_dir):
     urls = {r["page_id"]: r["url"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     found = queries.op4_url_filter(spark, sf_dir).collect()
@@ -103,6 +138,36 @@ def test_sparse_sites_shrink_and_bad_sites_count(spark):
     assert site[0] > 0.5 and site[1] < -0.5 and abs(site[9000]) < abs(site[0])
 
 
+def test_posteriors_are_those_of_the_formula(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.unionByName(docs.where("doc_id % 7 = 0"))
+    found = quality.judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    rows = found.join(docs.select("doc_id", "source", "lang").distinct(), "doc_id").collect()
+    assert len(rows) == docs.count()
+    bad = {id(r): 1 / (1 + np.exp(-r["evidence"])) for r in rows}
+    paths, hosts = {}, {}
+    for r in rows:
+        for groups, key in ((paths, (r["source"], r["lang"])), (hosts, r["source"])):
+            n, total = groups.get(key, (0, 0.0))
+            groups[key] = n + 1, total + bad[id(r)]
+    rate = sum(bad.values()) / len(rows)
+
+    def strength(cells):
+        excess = sum(n * (own - around) ** 2 - around * (1 - around) for n, own, around in cells)
+        return min(max(np.mean([a * (1 - a) for *_, a in cells]) / max(excess / sum(n for n, *_ in cells), 1e-6), 1.0), 1e6)
+
+    prior = strength([(n, b / n, rate) for n, b in hosts.values()])
+    host_rate = {k: (b + prior * rate) / (n + prior) for k, (n, b) in hosts.items()}
+    prior = strength([(n, b / n, host_rate[k[0]]) for k, (n, b) in paths.items()])
+    site = {k: (b + prior * host_rate[k[0]]) / (n + prior) for k, (n, b) in paths.items()}
+    odds = lambda x: np.log(x / (1 - x))
+    for r in rows:
+        own = odds(site[r["source"], r["lang"]]) - odds(rate)
+        assert abs(r["site"] - own) < 1e-6 and abs(r["score"] - 1 / (1 + np.exp(-(r["evidence"] + own)))) < 1e-6
+        assert r["keep"] == (r["score"] <= quality.REJECT_ABOVE)
+
+
 def test_without_labels_everything_stays(spark):
     docs = spark.createDataFrame([(1, "a", "s", "en"), (2, None, None, None)], "doc_id long, text string, source string, lang string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
