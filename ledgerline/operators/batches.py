@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,17 +22,18 @@ def greedy_batches(rows: DataFrame, shard: str, order: str, size: str, most_rows
     def fold(frames):
         own, batch, n, total = object(), 0, 0, 0
         for frame in frames:
-            out = np.empty(len(frame), np.int64)
-            for i, (at, weight) in enumerate(zip(frame[shard].tolist(), frame[size].fillna(0).tolist())):
+            out = []
+            for at, weight in zip(frame.column(shard).to_pylist(), frame.column(size).to_pylist()):
+                weight = weight or 0
                 if at != own:
                     own, batch, n, total = at, 0, 0, 0
                 elif n and (n + 1 > most_rows or total + weight > most_bytes):
                     batch, n, total = batch + 1, 0, 0
                 n, total = n + 1, total + weight
-                out[i] = batch
-            yield pd.DataFrame({shard: frame[shard], order: frame[order], size: frame[size], "batch": out})
+                out.append(batch)
+            yield pa.RecordBatch.from_arrays([*frame.columns, pa.array(out, pa.int64())], [*frame.schema.names, "batch"])
 
-    return dealt.mapInPandas(fold, schema)
+    return dealt.mapInArrow(fold, schema)
 
 
 def batch_sizes(packed: DataFrame, shard: str, size: str) -> DataFrame:

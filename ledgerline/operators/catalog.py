@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,12 +50,15 @@ TYPE_MAP = [
     ("table", "binary", "string", "binary values stay behind"),
 ]
 
+#: Levels of a forest after which a walk is checkpointed, where a folder for that is set.
+STORED_EVERY = 16
+
 #: Field types whose values never enter the properties (P5).
 VALUELESS = ("esriFieldTypeGeometry", "esriFieldTypeBlob", "esriFieldTypeRaster", "Binary", "binary")
 
 
 def declared_types(fields: DataFrame, namespace: str) -> DataFrame:
-    """fields with declared and loss (P1, P2, P3); types that are not known become strings with a loss."""
+    """fields with declared and loss (P1, P2); types that are not known become strings with a loss."""
     types = fields.sparkSession.createDataFrame(TYPE_MAP, "namespace string, type string, declared string, loss string").where(F.col("namespace") == namespace).drop("namespace")
     known = types.withColumn("_known", F.lit(True))
     both = fields.join(F.broadcast(known), "type", "left")  # a fixed table
@@ -146,23 +152,97 @@ def uninterpreted(catalogue: DataFrame, inventoried: DataFrame, kinds: list[str]
 def container_paths(nodes: DataFrame, deepest: int = 64) -> DataFrame:
     """id, depth and path, such as A[x]/B[y], of every node of a forest (R1, A21). nodes: id, parent, element, name.
 
-    One join per level of the forest; nodes that no root reaches (cycles, lost parents) have no row.
+    One join per level of the forest, from the roots down, until a level is empty; nodes that no root reaches (cycles,
+    lost parents) have no row. A forest that is deeper than `deepest` is an error, not a shorter answer.
     """
     label = F.concat(F.col("element"), F.lit("["), F.coalesce("name", F.lit("")), F.lit("]"))
     own = nodes.select("id", "parent", label.alias("label"))
-    return nodes.sparkSession.sql(
-        f"""
-        WITH RECURSIVE walk(id, depth, path) MAX RECURSION LEVEL {deepest} AS (
-          SELECT id, 1, label FROM {{nodes}} WHERE parent IS NULL
-          UNION ALL
-          SELECT n.id, w.depth + 1, concat(w.path, '/', n.label) FROM {{nodes}} n JOIN walk w ON n.parent = w.id
-        )
-        SELECT id, depth, path FROM walk
-        """,
-        nodes=own,
+    level = own.where("parent is null").select("id", F.lit(1).alias("depth"), F.col("label").alias("path"))
+    below = own.where("parent is not null")
+    levels = [level]
+    for depth in range(2, deepest + 2):
+        above = level.select(F.col("id").alias("parent"), F.col("path").alias("_above"))
+        level = below.join(above, "parent").select("id", F.lit(depth).alias("depth"), F.concat_ws("/", "_above", "label").alias("path"))
+        if level.isEmpty():
+            return reduce(DataFrame.unionByName, levels)
+        if depth % STORED_EVERY == 0:
+            level = level.checkpoint() if nodes.sparkSession.sparkContext.getCheckpointDir() else level
+        levels.append(level)
+    raise ValueError(f"a forest of more than {deepest} levels")
+
+
+def member_lists(layers: DataFrame, deepest: int = 64) -> DataFrame:
+    """Every group with all layers below it that are no groups (R2), whatever the groups between: group_id, members, n_members.
+
+    layers: id, parent, kind, pos, name. Members come in order of position; a group without any has an empty list.
+    """
+    groups = layers.where("kind = 'group'").select("id", "parent")
+    leaves = layers.where("kind <> 'group'").select(F.col("parent").alias("group_id"), "pos", "name")
+    held = [leaves.where("group_id is not null")]
+    for _ in range(deepest):
+        up = held[-1].join(groups.where("parent is not null"), F.col("group_id") == F.col("id")).select(F.col("parent").alias("group_id"), "pos", "name")
+        if up.isEmpty():
+            break
+        held.append(up)
+    listed = reduce(DataFrame.unionByName, held).groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("_m"), F.count("*").alias("n_members"))
+    both = groups.select(F.col("id").alias("group_id")).join(listed, "group_id", "left")
+    return both.select("group_id", F.coalesce(F.array_join(F.transform("_m", lambda m: m["name"]), ", "), F.lit("")).alias("members"), F.coalesce("n_members", F.lit(0)).cast("long").alias("n_members"))
+
+
+def in_order(layers: DataFrame, tables: DataFrame) -> DataFrame:
+    """Layers first, then tables, each in its own order (U1): the rows of both with seq, from 0. Both: pos and the same columns."""
+    both = layers.withColumn("_part", F.lit(0)).unionByName(tables.withColumn("_part", F.lit(1)))
+    # one service's layers, as its description lists them
+    return both.withColumn("seq", F.row_number().over(Window.partitionBy("service").orderBy("_part", "pos")) - 1).drop("_part")
+
+
+#: Declared types of the values of a domain, by the type of its field.
+DOMAIN_TYPES = {
+    "esriFieldTypeSmallInteger": "integer",
+    "esriFieldTypeInteger": "integer",
+    "esriFieldTypeBigInteger": "integer",
+    "esriFieldTypeOID": "integer",
+    "esriFieldTypeSingle": "float",
+    "esriFieldTypeDouble": "float",
+}
+
+
+def domain_value_type(field_type: Column) -> Column:
+    """string, integer or float: what the values of a domain on such a field are (P3); all that is no number is text."""
+    known = F.create_map(*[F.lit(x) for pair in DOMAIN_TYPES.items() for x in pair])
+    return F.coalesce(F.element_at(known, field_type), F.lit("string"))
+
+
+#: Kinds of shapes and the type that a table of them is declared with.
+SHAPE_NAMES = {
+    "esriGeometryPoint": "Point",
+    "esriGeometryMultipoint": "MultiPoint",
+    "esriGeometryPolyline": "MultiLineString",
+    "esriGeometryPolygon": "MultiPolygon",
+}
+
+
+def shape_name(kind: Column, has_z: Column, has_m: Column) -> Column:
+    """name and losses of a table's shapes (P10): ordinates beyond x and y and kinds that are not known are losses."""
+    known = F.create_map(*[F.lit(x) for pair in SHAPE_NAMES.items() for x in pair])
+    name = F.element_at(known, kind)
+    return F.struct(
+        F.when(kind.isNotNull(), F.coalesce(name, F.lit("Geometry"))).alias("name"),
+        F.array_compact(
+            F.array(
+                F.when(kind.isNotNull() & F.coalesce(has_z, F.lit(False)), "heights are kept in the shapes and not declared"),
+                F.when(kind.isNotNull() & F.coalesce(has_m, F.lit(False)), "measures are kept in the shapes and not declared"),
+                F.when(kind.isNotNull() & name.isNull(), F.concat(F.lit("shapes of kind "), kind, F.lit(" are not known"))),
+            )
+        ).alias("losses"),
     )
 
 
+def delta_plan(datasets: DataFrame, incremental: Column) -> DataFrame:
+    """The plan of a run (P16): an increment states no relationships and no style, for its base has them. datasets: relationships, style and others."""
+    return datasets.withColumns({"relationships": F.when(~incremental, F.col("relationships")), "style": F.when(~incremental, F.col("style")), "incremental": incremental})
+
+
 def fitting_values(variant: Column, declared: str) -> Column:
     """A value if it is of its declared type, else null (P4): integers only as integer, any number as float, text as string."""
     kind = F.schema_of_variant(variant)

@@ -86,8 +86,9 @@ def change_feed_diff(previous: DataFrame, current: DataFrame, touched: DataFrame
     """
     distinct = lambda df, flag: df.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
     named = distinct(touched, "_touched").join(distinct(deleted, "_named"), key, "full_outer")
-    # every join is on the key: each side is moved once
-    both = named.join(current.select(key, F.struct(*columns).alias("_new")), key, "left").join(previous.select(key, F.struct(*columns).alias("_old")), key, "left")
+    # the tables are reduced to the named keys where they lie, if these are few enough to be broadcast; no join outgrows them
+    own = lambda df, state: df.join(named.select(key), key, "left_semi").select(key, F.struct(*columns).alias(state))
+    both = named.join(own(current, "_new"), key, "left").join(own(previous, "_old"), key, "left")
     read = F.coalesce(F.col("_touched"), F.lit(False)) & F.col("_new").isNotNull()
     state = F.when(read, F.when(F.col("_old").isNull(), "insert").when(F.col("_old").eqNullSafe(F.col("_new")), "unchanged").otherwise("update"))
     gone = F.when(F.col("_named"), F.when(F.col("_old").isNotNull() & ~read, "delete").otherwise("unknown"))
@@ -97,11 +98,12 @@ def change_feed_diff(previous: DataFrame, current: DataFrame, touched: DataFrame
 def roll_index(index: DataFrame, ops: DataFrame, key: str) -> DataFrame:
     """The key index after the written operations (T3): key, feature_id and hash; what was not written keeps its entry.
 
-    index: key, feature_id, hash. ops: op, key and, but for deletes, feature_id and hash; at most one per key.
+    index: key, feature_id, hash. ops: op, key and, but for deletes, feature_id and hash; at most one per key. The index
+    meets the written keys only, in an anti join that broadcasts them where they are few.
     """
-    new = ops.select(key, F.col("op"), F.col("feature_id").alias("_id"), F.col("hash").alias("_hash"))
-    rolled = index.join(new, key, "full_outer").where("op is null or op <> 'delete'")
-    return rolled.select(key, F.coalesce("_id", "feature_id").alias("feature_id"), F.coalesce("_hash", "hash").alias("hash"))
+    columns = [key, "feature_id", "hash"]
+    kept = index.select(*columns).join(ops.select(key), key, "left_anti")
+    return kept.unionByName(ops.where("op <> 'delete'").select(*columns))
 
 
 def split_oversize(ops: DataFrame, largest: int = LARGEST) -> tuple[DataFrame, DataFrame]:

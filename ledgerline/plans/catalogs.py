@@ -108,24 +108,27 @@ def domain_usage(spark, sf_dir):
     return catalog.domain_usage(derive(spark, sf_dir, DOMAIN_FIELDS), derive(spark, sf_dir, SUBTYPE_FIELDS))
 
 
-DOMAINS = "SELECT p_type AS domain FROM {part}"
+#: Every third domain name is one that no field uses.
+DOMAINS = "SELECT CASE WHEN p_partkey % 3 = 0 THEN concat(p_type, ' unused') ELSE p_type END AS domain FROM {part} UNION ALL SELECT concat(p_name, p_partkey) FROM {part}"
+ONE_HOME = "SELECT p_brand AS dataset, p_partkey AS pos, CASE WHEN p_partkey % 2 = 0 THEN p_type ELSE concat(p_name, p_partkey) END AS domain, CASE WHEN p_size % 2 = 0 THEN 'integer' ELSE 'string' END AS declared FROM {part} WHERE p_size % 5 > 0"
+BY_SUBTYPE = "SELECT p_brand AS dataset, p_partkey AS pos, CASE WHEN p_size % 3 > 0 THEN concat(p_name, p_partkey) END AS domain, 'float' AS declared FROM {part}"
 
 
 @query("domain_fanout", f"""
-WITH d AS (SELECT DISTINCT domain FROM ({plain(DOMAINS)})), h AS (SELECT domain, COUNT(DISTINCT dataset) AS n FROM ({plain(DOMAIN_FIELDS)}) WHERE domain IS NOT NULL AND pos % 40 = 0 GROUP BY domain)
+WITH d AS (SELECT DISTINCT domain FROM ({plain(DOMAINS)})), h AS (SELECT domain, COUNT(DISTINCT dataset) AS n FROM ({plain(ONE_HOME)}) WHERE domain IS NOT NULL GROUP BY domain)
 SELECT d.domain, COALESCE(n, 0) AS holders, CASE COALESCE(n, 0) WHEN 0 THEN 'nowhere to live' WHEN 1 THEN 'one home' ELSE 'separate copies' END AS state FROM d LEFT JOIN h ON d.domain = h.domain
 """)
 def domain_fanout(spark, sf_dir):
-    return catalog.domain_fanout(derive(spark, sf_dir, DOMAINS), derive(spark, sf_dir, DOMAIN_FIELDS).where("pos % 40 = 0"))
+    return catalog.domain_fanout(derive(spark, sf_dir, DOMAINS), derive(spark, sf_dir, ONE_HOME))
 
 
 @query("domain_types", f"""
-WITH d AS (SELECT DISTINCT domain FROM ({plain(DOMAINS)})), f AS (SELECT domain, min_by(declared, pos) AS t FROM ({plain(DOMAIN_FIELDS)}) WHERE domain IS NOT NULL AND pos % 30 = 0 GROUP BY 1),
-s AS (SELECT domain, min_by(declared, pos) AS t FROM ({plain(SUBTYPE_FIELDS)}) WHERE domain IS NOT NULL AND pos % 9 = 0 GROUP BY 1)
+WITH d AS (SELECT DISTINCT domain FROM ({plain(DOMAINS)})), f AS (SELECT domain, min_by(declared, pos) AS t FROM ({plain(ONE_HOME)}) WHERE domain IS NOT NULL GROUP BY 1),
+s AS (SELECT domain, min_by(declared, pos) AS t FROM ({plain(BY_SUBTYPE)}) WHERE domain IS NOT NULL GROUP BY 1)
 SELECT d.domain, COALESCE(f.t, s.t, 'string') AS declared FROM d LEFT JOIN f ON d.domain = f.domain LEFT JOIN s ON d.domain = s.domain
 """)
 def domain_types(spark, sf_dir):
-    return catalog.domain_types(derive(spark, sf_dir, DOMAINS), derive(spark, sf_dir, DOMAIN_FIELDS).where("pos % 30 = 0"), derive(spark, sf_dir, SUBTYPE_FIELDS).where("pos % 9 = 0"))
+    return catalog.domain_types(derive(spark, sf_dir, DOMAINS), derive(spark, sf_dir, ONE_HOME), derive(spark, sf_dir, BY_SUBTYPE))
 
 
 @query("subtype_assignment", """

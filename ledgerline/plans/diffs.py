@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash, feature_id
 from ..operators import batches, diff, tally
-from ..session import table
+from ..session import shared_folder, table
 from ..streaming import classify
 from .base import derive, plain, query
 
@@ -142,10 +141,12 @@ def feed_path_decision(spark, sf_dir):
     return diff.feed_path(derive(spark, sf_dir, LAYERS))
 
 
-@query("vanished_datasets", "SELECT DISTINCT p_name AS dataset FROM part WHERE p_name NOT IN (SELECT p_name FROM part WHERE p_partkey % 10 <> 0)")
+@query("vanished_datasets", "SELECT DISTINCT c_name AS dataset FROM customer WHERE c_name NOT IN (SELECT c_name FROM customer JOIN orders ON c_custkey = o_custkey)")
 def vanished_datasets(spark, sf_dir):
-    parts = table(spark, sf_dir, "part").select(F.col("p_name").alias("dataset"), "p_partkey")
-    return diff.vanished(parts, parts.where("p_partkey % 10 <> 0"))
+    """Customers stand for the datasets of the last run, those with orders for the datasets that are there now."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_name").alias("dataset"), "c_custkey")
+    there = customers.join(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
+    return diff.vanished(customers, there)
 
 
 @query("basis_guard", "SELECT DISTINCT p_brand AS dataset FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size % 3 = 0 AND p_partkey % 40 = 1)")
@@ -183,7 +184,7 @@ def row_tally(spark, sf_dir):
 
 
 @query("greedy_batches", """
-WITH RECURSIVE r AS (SELECT page_id % 4 AS shard, page_id, CAST(strlen(html) AS BIGINT) AS bytes, row_number() OVER (PARTITION BY page_id % 4 ORDER BY page_id) AS nth FROM pages),
+WITH RECURSIVE r AS (SELECT page_id // 1000 AS shard, page_id, CAST(strlen(html) AS BIGINT) AS bytes, row_number() OVER (PARTITION BY page_id // 1000 ORDER BY page_id) AS nth FROM pages),
 walk AS (
   SELECT shard, page_id, bytes, nth, CAST(0 AS BIGINT) AS batch, 1 AS n, bytes AS total FROM r WHERE nth = 1
   UNION ALL
@@ -193,7 +194,8 @@ walk AS (
 SELECT shard, page_id, bytes, batch FROM walk
 """)
 def greedy_batches(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select((F.col("page_id") % 4).alias("shard"), "page_id", F.octet_length("html").cast("long").alias("bytes"))
+    """Shards are ranges of 1000 ids, so their number grows with the table and their size does not."""
+    pages = table(spark, sf_dir, "pages").select(F.floor(F.col("page_id") / 1000).alias("shard"), "page_id", F.octet_length("html").cast("long").alias("bytes"))
     return batches.greedy_batches(pages, "shard", "page_id", "bytes", most_rows=50, most_bytes=60000)
 
 
@@ -223,8 +225,7 @@ def stream_classify(spark, sf_dir):
         stream = _states(reader.parquet(f"{sf_dir}/events.parquet"))
     else:  # a stream reads folders
         stream = _states(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerline-stream-")
-    out = f"{folder}/classified-{uuid.uuid4().hex}"
+    out = f"{shared_folder(spark)}/classified-{uuid.uuid4().hex}"
     run = classify.classify_stream(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start(out)
     run.awaitTermination()
     return spark.read.schema("key bigint, seq bigint, op string").parquet(out)

@@ -11,9 +11,9 @@ from .base import query
 
 @query("page_scan", "SELECT o_orderkey AS key, o_custkey % 97 AS layer, o_orderstatus AS status FROM orders")
 def page_scan(spark, sf_dir):
-    """Orders as landed pages of up to some hundred rows, read back row by row."""
+    """Orders as landed pages of a range of 10,000 keys in a layer, some hundred rows at most, read back row by row."""
     attributes = F.parse_json(F.to_json(F.struct(F.col("o_orderkey").alias("objectid"), F.col("o_orderstatus").alias("status"))))
-    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 97).alias("layer"), (F.col("o_orderkey") % 5).alias("page"), F.struct(attributes.alias("attributes")).alias("row"))
+    rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 97).alias("layer"), F.floor(F.col("o_orderkey") / 10_000).alias("page"), F.struct(attributes.alias("attributes")).alias("row"))
     pages = rows.groupBy("layer", "page").agg(F.to_json(F.struct(F.collect_list("row").alias("features"))).alias("body"))
     read = landed.page_rows(pages)
     return read.select(F.try_variant_get("attributes", "$.objectid", "bigint").alias("key"), "layer", F.try_variant_get("attributes", "$.status", "string").alias("status"))
@@ -88,7 +88,7 @@ def attachment_listings(spark, sf_dir):
     per_parent = table(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_list(info).alias("attachmentInfos"))
     single = per_parent.where("user_id % 2 = 0").select(F.col("user_id").alias("parent"), F.to_json(F.struct("attachmentInfos")).alias("body"))
     group = F.struct(F.col("user_id").alias("parentObjectId"), "attachmentInfos")
-    grouped = per_parent.where("user_id % 2 = 1").groupBy(F.col("user_id") % 10).agg(F.to_json(F.struct(F.collect_list(group).alias("attachmentGroups"))).alias("body"))
+    grouped = per_parent.where("user_id % 2 = 1").groupBy(F.floor(F.col("user_id") / 20)).agg(F.to_json(F.struct(F.collect_list(group).alias("attachmentGroups"))).alias("body"))
     listing = landed.attachment_listing(single.unionByName(grouped.select(F.lit(None).cast("long").alias("parent"), "body")))
     return listing.select("oid", "number", "name", "size")
 
@@ -108,7 +108,7 @@ def operation_log(spark, sf_dir):
 def portal_items(spark, sf_dir):
     key = F.col("s_suppkey")
     item = F.struct(F.when(key % 3 != 0, F.concat(F.lit("http://s/"), key.cast("string"))).alias("url"), F.col("s_name").alias("title"), F.lit("o").alias("owner"), F.when(key % 2 == 0, "Feature Service").otherwise("Map").alias("type"))
-    listings = table(spark, sf_dir, "supplier").groupBy((key % 7).alias("page")).agg(F.to_json(F.struct(F.collect_list(item).alias("results"))).alias("body"))
+    listings = table(spark, sf_dir, "supplier").groupBy(F.floor(key / 100).alias("page")).agg(F.to_json(F.struct(F.collect_list(item).alias("results"))).alias("body"))
     return landed.portal_items(listings, "Feature Service", "o").select("url", "title")
 
 

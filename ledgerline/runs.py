@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .functions.hashing import content_hash, feature_id
@@ -13,7 +13,7 @@ from .operators import diff
 
 @dataclass
 class Extraction:
-    """What a run leaves: operations (dataset, key, op, feature_id, hash, columns), the key index after them, and counts per dataset."""
+    """What a run leaves: operations (dataset, key, ordinal, op, feature_id, hash, columns), the key index after them, and counts per dataset."""
 
     operations: DataFrame
     index: DataFrame
@@ -21,38 +21,61 @@ class Extraction:
 
 
 def _keyed(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """rows: dataset, key and columns. Of rows with an equal key the first by content counts; unkeyed rows are left to the tally."""
+    """Keyed rows with a hash and their number among those of an equal key, by content."""
     hashed = rows.where("key is not null").withColumn("hash", content_hash(*columns))
-    return hashed.groupBy("dataset", "key").agg(F.min_by(F.struct("hash", *columns), "hash").alias("_r")).select("dataset", "key", "_r.*")
+    order = Window.partitionBy("dataset", "key").orderBy("hash", F.to_json(F.struct(*columns)))
+    return hashed.withColumn("ordinal", F.row_number().over(order)).select("dataset", "key", "ordinal", "hash", *columns)
 
 
-def _counts(ops: DataFrame) -> DataFrame:
+def _new_id(run: str) -> Column:
+    """The id of a new row: later rows of a key have ids of their own."""
+    first = feature_id(F.lit(run), "dataset", "key")
+    return F.when(F.col("ordinal") == 1, first).otherwise(feature_id(F.lit(run), "dataset", "key", "ordinal"))
+
+
+def _counts(ops: DataFrame, rows: DataFrame) -> DataFrame:
+    """Per dataset: operations by kind, inserts of keys that occur again, and rows without a key, which are left out."""
     count = lambda op: F.count_if(F.col("op") == op)
-    return ops.groupBy("dataset").agg(count("insert").alias("inserted"), count("update").alias("updated"), count("delete").alias("deleted"))
+    counted = ops.groupBy("dataset").agg(count("insert").alias("inserted"), count("update").alias("updated"), count("delete").alias("deleted"), F.count_if((F.col("op") == "insert") & (F.col("ordinal") > 1)).alias("repeated"))
+    unkeyed = rows.groupBy("dataset").agg(F.count_if(F.col("key").isNull()).alias("unkeyed"))
+    return unkeyed.join(counted, "dataset", "full_outer").na.fill(0)
 
 
 def extract(rows: DataFrame, columns: list[str], run: str) -> Extraction:
-    """A full extraction: one insert per key, all datasets in one plan. rows: dataset, key and columns."""
-    ops = _keyed(rows, columns).withColumns({"op": F.lit("insert"), "feature_id": feature_id(F.lit(run), "dataset", "key")})
-    return Extraction(ops, ops.select("dataset", "key", "feature_id", "hash"), _counts(ops))
+    """A full extraction: one insert per keyed row, all datasets in one plan. rows: dataset, key and columns."""
+    ops = _keyed(rows, columns).withColumn("op", F.lit("insert")).withColumn("feature_id", _new_id(run))
+    return Extraction(ops, ops.select("dataset", "key", "ordinal", "feature_id", "hash"), _counts(ops, rows))
 
 
 def increment(index: DataFrame, rows: DataFrame, columns: list[str], run: str) -> Extraction:
     """An increment on the key index of an earlier run (J1, T3): only what changed is an operation, ids stay.
 
+    Of the entries of a key the last one counts, and the first row of the key consumes it; later rows are inserts.
     A dataset that has no index is an error (A20, T5): read it in full first.
     """
     missing = diff.missing_indexes(rows, index)
     lost = [r[0] for r in missing.limit(20).collect()]
     if lost:
         raise ValueError(f"no index of {', '.join(map(str, lost))}")
-    old = index.select("dataset", "key", F.col("feature_id").alias("_id"), F.col("hash").alias("_hash"))
-    both = _keyed(rows, columns).join(old, ["dataset", "key"], "full_outer")
+    old = diff.last_per_key(index, ["dataset", "key"], [F.col("ordinal")])
+    old = old.select(F.col("dataset").alias("_dataset"), F.col("key").alias("_key"), F.col("feature_id").alias("_id"), F.col("hash").alias("_hash"))
+    meets = (F.col("dataset") == F.col("_dataset")) & (F.col("key") == F.col("_key")) & (F.col("ordinal") == 1)
+    both = _keyed(rows, columns).join(old, meets, "full_outer")
+    both = both.withColumns({"dataset": F.coalesce("dataset", "_dataset"), "key": F.coalesce("key", "_key"), "ordinal": F.coalesce("ordinal", F.lit(1))})
     op = F.when(F.col("_id").isNull(), "insert").when(F.col("hash").isNull(), "delete").when(F.col("hash") != F.col("_hash"), "update")
-    judged = both.withColumn("op", op).withColumn("feature_id", F.coalesce("_id", feature_id(F.lit(run), "dataset", "key")))
-    ops = judged.where("op is not null").drop("_id", "_hash")
-    after = judged.where("op is null or op <> 'delete'").select("dataset", "key", "feature_id", F.coalesce("hash", "_hash").alias("hash"))
-    return Extraction(ops, after, _counts(ops))
+    judged = both.withColumn("op", op).withColumn("feature_id", F.coalesce("_id", _new_id(run)))
+    ops = judged.where("op is not null").drop("_id", "_hash", "_dataset", "_key")
+    after = judged.where("op is null or op <> 'delete'").select("dataset", "key", "ordinal", "feature_id", F.coalesce("hash", "_hash").alias("hash"))
+    return Extraction(ops, after, _counts(ops, rows))
+
+
+def may_increment(basis_incremental: bool, has_index: bool, path: str) -> str | None:
+    """Why an increment on a run is refused (T5), or None: one that is itself an increment needs an index and the feed path."""
+    if not has_index:
+        return "the basis has no index"
+    if basis_incremental and path != "feed":
+        return "an increment on an increment needs the change feed"
+    return None
 
 
 def load(base: DataFrame | None, operations: DataFrame, columns: list[str]) -> DataFrame:

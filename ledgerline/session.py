@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,3 +24,11 @@ def local_session(cores: str = "8", shuffle: int = 8) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset, a new one, in local mode only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.match(r"local($|\[)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or tempfile.mkdtemp(prefix="ledgerline-")
