@@ -199,3 +199,45 @@ def domain_ids(assignments: DataFrame, domains: DataFrame) -> DataFrame:
     both = assignments.join(known, ["dataset", "domain"], "left")
     check = F.when(F.col("_id").isNull(), F.raise_error(F.concat(F.lit("unknown domain "), F.col("domain"))).cast("long")).otherwise(F.col("_id"))
     return both.select("dataset", "code", "field", "domain", check.alias("domain_id"))
+
+
+def relationship_ids(relationships: DataFrame, datasets: DataFrame) -> DataFrame:
+    """name, origin_id and destination_id of relationships by the names of their datasets (J21); an unknown dataset raises when read."""
+    side = lambda column: datasets.select(F.col("dataset").alias(column), F.col("dataset_id").alias(f"{column}_id"))
+    both = relationships.join(side("origin"), "origin", "left").join(side("destination"), "destination", "left")
+    known = lambda c: F.when(F.col(f"{c}_id").isNull(), F.raise_error(F.concat(F.lit("unknown dataset "), F.col(c))).cast("long")).otherwise(F.col(f"{c}_id")).alias(f"{c}_id")
+    return both.select("name", known("origin"), known("destination"))
+
+
+def missing_targets(datasets: DataFrame, branches: DataFrame) -> DataFrame:
+    """dataset and reason for every dataset of an increment that the target cannot take (J22). branches: dataset, branch."""
+    there = branches.groupBy("dataset").agg(F.bool_or(F.col("branch") == "main").alias("_main"))
+    both = datasets.select("dataset").distinct().join(there, "dataset", "left")
+    reason = F.when(F.col("_main").isNull(), "no such dataset").when(~F.col("_main"), "no main branch")
+    return both.select("dataset", reason.alias("reason")).where("reason is not null")
+
+
+def parents_by_global_id(adds: DataFrame, in_window: DataFrame, current: DataFrame) -> DataFrame:
+    """adds with the oid of their parent (J16): from the rows of the window, else from the table, else none.
+
+    adds: parent_global_id and others; in_window, current: global_id, oid. Only the table's rows that are asked for move.
+    """
+    asked = adds.select(F.col("parent_global_id").alias("global_id")).where("global_id is not null").distinct()
+    own = lambda df, name: df.join(asked, "global_id", "left_semi").groupBy("global_id").agg(F.min("oid").alias(name))
+    known = own(in_window, "_near").join(own(current, "_far"), "global_id", "full_outer").select(F.col("global_id").alias("parent_global_id"), F.coalesce("_near", "_far").alias("oid"))
+    return adds.join(known, "parent_global_id", "left")
+
+
+def blob_features(blobs: DataFrame, media: DataFrame, features: DataFrame) -> DataFrame:
+    """Rows of blob tables as attachments of features (J8): table, row, name, dataset, feature_id and state.
+
+    blobs: table, row, parent, name, data. media: destination (a blob table), dataset. features: dataset, key, feature_id.
+    state is kept, empty (no bytes) or unresolved (no media relationship, or no such feature). An unnamed blob is called by its
+    table and row.
+    """
+    led = media.select(F.col("destination").alias("table"), "dataset")
+    own = features.select("dataset", F.col("key").alias("parent"), "feature_id")
+    both = blobs.join(led, "table", "left").join(own, ["dataset", "parent"], "left")
+    name = F.coalesce(F.nullif(F.trim("name"), F.lit("")), F.concat_ws("-", "table", F.col("row").cast("string")))
+    state = F.when(F.coalesce(F.octet_length("data"), F.lit(0)) == 0, "empty").when(F.col("feature_id").isNull(), "unresolved").otherwise("kept")
+    return both.select("table", "row", name.alias("name"), "dataset", "feature_id", state.alias("state"))

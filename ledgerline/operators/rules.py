@@ -8,6 +8,7 @@ that hold are listed, and a row without losses is faithful. So an approximated i
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,10 @@ TARGETS = {
     "container": "dataset",
     "track": "dataset",
     "service": "source",
+    "tracking": "source",
+    "archive": "source",
+    "extended": "schema",
+    "style_map": "style",
 }
 
 #: Hosted services. layer rows: kind, fields (name, type, alias), geometry_type, code, wkt, ...
@@ -62,7 +67,11 @@ HOSTED = [
     Rule("relationship", UNSUPPORTED, "destination is null", "'the other side is not here'"),
     Rule("relationship", LOSS, "composite", "'parts do not go with their whole'"),
     Rule("relationship", LOSS, "origin_key is not null", "'the key on the origin side is implied'"),
+    Rule("relationship", LOSS, "forward_label is not null or backward_label is not null", "'labels are not kept'"),
     Rule("attachments", LOSS, "keywords > 0", "'keywords are kept as metadata only'"),
+    Rule("metadata", LOSS, "true", "'descriptions are kept as one text'"),
+    Rule("tracking", NOT_APPLICABLE, "not coalesce(tracked, false)", "'changes are not tracked'"),
+    Rule("tracking", LOSS, "true", "'the history of edits stays behind'"),
     Rule("style", LOSS, "true", "'the style is carried as it stands, not drawn'"),
     Rule("time", UNSUPPORTED, "true", "'time settings have no counterpart'"),
     Rule("service", LOSS, "versioned", "'only one version is read'"),
@@ -75,6 +84,7 @@ FILE = [
     Rule("table", LOSS, "exists(fields, f -> f.alias is not null and f.alias <> f.name)", "'aliases are kept but never shown'"),
     Rule("table", LOSS, "exists(fields, f -> f.type in ('Date', 'Time', 'DateTime'))", "'dates and times become text'"),
     Rule("table", LOSS, "exists(fields, f -> f.type = 'Binary')", "'binary values stay behind'"),
+    Rule("table", LOSS, "exists(fields, f -> f.type in ('StringList', 'IntegerList', 'RealList'))", "'lists lose the type of their elements'"),
     Rule("table", UNSUPPORTED, "geometry_type is not null and code is null and wkt is null", "'shapes without a reference cannot be placed'"),
     Rule("table", LOSS, "geometry_type is not null and code is not null and code <> 4326", "concat('shapes are transformed from ', cast(code as string))"),
     Rule("table", LOSS, "geometry_type is null", "'rows get an empty geometry'"),
@@ -84,10 +94,15 @@ FILE = [
     Rule("domain", LOSS, "not coalesce(min_inclusive, true) or not coalesce(max_inclusive, true)", "'open ends become closed ends'"),
     Rule("domain", LOSS, "abs(coalesce(max_value, 0)) > 9007199254740992 or abs(coalesce(min_value, 0)) > 9007199254740992", "'ends beyond 53 bits are rounded'"),
     Rule("relationship", UNSUPPORTED, "cardinality = 'many to many'", "'many to many needs a table between'"),
+    Rule("relationship", UNSUPPORTED, "origin is null or destination is null", "'one side is not here'"),
     Rule("relationship", LOSS, "cardinality = 'many to one'", "'sides are turned around'"),
+    Rule("relationship", LOSS, "composite", "'parts do not go with their whole'"),
     Rule("relationship", LOSS, "forward_label is not null or backward_label is not null", "'labels are not kept'"),
     Rule("attachments", UNSUPPORTED, "not has_relationship", "'no relationship leads to these attachments'"),
     Rule("drawn", LOSS, "true", "'drawn text is kept as shapes'"),
+    Rule("subtype", LOSS, "default_code is not null", "'the default code is not kept'"),
+    Rule("subtype", LOSS, "n_defaults > 0", "concat(cast(n_defaults as string), ' default values are not kept')"),
+    Rule("metadata", LOSS, "true", "'descriptions are kept as one text'"),
     Rule("group", LOSS, "true", "'the group is kept in names only'"),
     Rule("entry", UNSUPPORTED, "true", "'nothing reads this kind of entry'"),
 ]
@@ -101,7 +116,12 @@ MARKUP = [
     Rule("track", LOSS, "has_model", "'models are not kept'"),
     Rule("schema", LOSS, "narrow > 0", "'narrow numbers become wide ones'"),
     Rule("schema", LOSS, "display_names > 0", "'display names are not shown'"),
+    Rule("extended", LOSS, "n_keys > 0 and n_blocks = 0", "'values without a schema become text'"),
     Rule("style", LOSS, "parts > 0", "'styles are carried as they stand'"),
+    Rule("style", LOSS, "remote_icons > 0", "concat(cast(remote_icons as string), ' icons are named, not fetched')"),
+    Rule("style", LOSS, "chrome > 0", "'balloons and lists are not drawn'"),
+    Rule("style_map", LOSS, "n_states > 1", "'the second state is kept as data only'"),
+    Rule("archive", LOSS, "others > 0", "concat(cast(others as string), ' other members stay behind')"),
     Rule("style", UNSUPPORTED, "random_colour", "'random colours have no counterpart'"),
     Rule("time", LOSS, "partial > 0", "'dates without a time stay text'"),
     Rule("link", UNSUPPORTED, "true", "'what a link leads to is not read'"),
@@ -131,6 +151,11 @@ def judge(rows: DataFrame, kind: str, rules: list[Rule], location: str, detail:
     )
 
 
+def judge_all(kinds: dict[str, DataFrame], rules: list[Rule], location: str, detail: str) -> DataFrame:
+    """The items of several kinds (V1): every kind's rows by the rules of that kind. Each table has the facts that its kind's rules name."""
+    return reduce(DataFrame.unionByName, [judge(rows, kind, rules, location, detail) for kind, rows in kinds.items()])
+
+
 def require_items(items: DataFrame) -> DataFrame:
     """The same items; an inventory without any is an error, not an empty result."""
     if items.isEmpty():

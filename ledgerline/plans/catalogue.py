@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import attachments, catalogs, diffs, documents, shapes  # noqa: F401
+from . import attachments, catalogs, diffs, documents, inventories, records, rulepacks, shapes  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -162,3 +162,32 @@ def at_version(rows: DataFrame, version: str) -> DataFrame:
     if own.isEmpty():
         raise ValueError(f"no version {version}")
     return own
+
+
+def pinned(version: str, rows: DataFrame, attachments: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows, attachments and counts per layer of one version (S23): the same filter holds for all three."""
+    own = at_version(rows, version)
+    return own, attachments.where(F.col("version") == version), own.groupBy("layer").agg(F.count("*").alias("n"))
+
+
+def layer_flags(documents: DataFrame, body: str = "body") -> DataFrame:
+    """service, id, has_style, has_time and can_edit out of raw layer descriptions (F16); what is absent or null is not there."""
+    there = lambda path: F.coalesce(F.get_json_object(body, path), F.lit("null")) != "null"
+    words = F.transform(F.split(F.coalesce(F.get_json_object(body, "$.capabilities"), F.lit("")), ","), lambda w: F.trim(w))
+    return documents.select(
+        "service", F.get_json_object(body, "$.id").cast("long").alias("id"), there("$.drawingInfo.renderer").alias("has_style"), there("$.timeInfo").alias("has_time"), F.arrays_overlap(words, F.array(F.lit("Editing"), F.lit("Update"))).alias("can_edit")
+    )
+
+
+def page_plan(layer_rows: DataFrame) -> DataFrame:
+    """layer, page, offset, rows, order_by and loss of the requests that read each layer (O1, O2).
+
+    layer_rows: layer, n, page_size, oid_column. A page holds page_size rows at most (1000 where none is stated), in order of
+    the object id; without one the order is not stable, which is a loss. A layer without rows has one empty page.
+    """
+    size = F.coalesce(F.when(F.col("page_size") > 0, F.col("page_size")), F.lit(1000)).cast("long")
+    pages = F.greatest(F.ceil(F.col("n") / size), F.lit(1))
+    each = layer_rows.withColumn("_size", size).withColumn("page", F.explode(F.sequence(F.lit(0).cast("long"), pages - 1)))
+    first = F.col("page") * F.col("_size")
+    loss = F.when(F.col("oid_column").isNull(), "rows without an object id come in no stable order")
+    return each.select("layer", "page", first.alias("offset"), F.least("_size", F.col("n") - first).alias("rows"), F.col("oid_column").alias("order_by"), loss.alias("loss"))

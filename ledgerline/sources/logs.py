@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,7 +53,7 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """A key index written as JSON lines (S12); a line that is no entry is an error when read, a missing file at once."""
+    """A key index written as JSON lines (S12); blank lines are passed over, a line that is no entry is an error when read, a missing file at once."""
     lines = spark.read.text(path).where(F.trim("value") != "")
     entry = F.from_json("value", INDEX)
     good = entry["oid"].isNotNull() & entry["feature_id"].isNotNull()
@@ -61,6 +61,18 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(F.when(good, entry).otherwise(bad).alias("e")).select("e.*")
 
 
+def bad_index_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 1) and value of the lines of an index that are no entries (S12), blank ones aside."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    entry = F.from_json("value", INDEX)
+    bad = (F.trim("value") != "") & (entry["oid"].isNull() | entry["feature_id"].isNull())
+    # lines before each block of a file, then the place in the block: no file goes through one task
+    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block")) - F.col("n")
+    known = blocks.select("file", "block", "first", before.alias("before"))
+    return lines.where(bad).join(known, ["file", "block"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "value")
+
+
 def read_attachment_index(spark: SparkSession, path: str) -> DataFrame:
     """An attachment index (S13); where there is none it is empty."""
     file = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -99,12 +111,21 @@ def manifest_row(datasets: DataFrame, relationships: DataFrame, log: DataFrame,
 
 def blob_paths(blobs: DataFrame) -> DataFrame:
     """blobs with file, dataset/number-name (K5, W5): numbers count from 0 in each dataset, in order of feature and name."""
-    from pyspark.sql import Window
-
     nth = F.row_number().over(Window.partitionBy("dataset").orderBy("feature_id", "name")) - 1
     return blobs.withColumn("file", F.concat_ws("/", safe_name(F.col("dataset")), F.concat_ws("-", nth.cast("string"), safe_name(F.col("name")))))
 
 
+def write_blobs(blobs: DataFrame, path: str) -> DataFrame:
+    """The bytes of blobs (dataset, feature_id, name, payload) under their file names (K5), as a table of file and payload, read back."""
+    blob_paths(blobs).select("file", "payload").write.parquet(path)
+    return blobs.sparkSession.read.parquet(path)
+
+
+def report_documents(items: DataFrame) -> DataFrame:
+    """A JSON report (K6): seq and the item as one line of JSON, without what is null."""
+    return items.select("seq", F.to_json(F.struct("location", "kind", "detail", "outcome", "losses", "reason")).alias("line"))
+
+
 def report_lines(items: DataFrame) -> DataFrame:
     """A markdown table of items in order of seq (K6, F3): seq and line."""
     cells = [table_cell(F.col(c)) for c in ("location", "kind", "detail", "outcome")]

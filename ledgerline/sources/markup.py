@@ -108,6 +108,15 @@ def shape_histogram(elements: DataFrame) -> DataFrame:
     return elements.where(F.col("element").isin(*SHAPES)).groupBy("doc_id", "parent", "element").agg(F.count("*").alias("n"))
 
 
+def row_kinds(elements: DataFrame) -> DataFrame:
+    """doc_id, container (seq of the element that holds the rows), kind and n of a document's rows (A10): the shape that is a row's own, or none."""
+    rows = elements.where("element = 'Placemark'").select("doc_id", F.col("seq").alias("row"), F.col("parent_seq").alias("container"))
+    own = elements.where(F.col("element").isin(*SHAPES)).select("doc_id", F.col("parent_seq").alias("row"), F.struct("seq", "element").alias("_own"))
+    own = own.groupBy("doc_id", "row").agg(F.min("_own")["element"].alias("_kind"))
+    both = rows.join(own, ["doc_id", "row"], "left")
+    return both.groupBy("doc_id", "container", F.coalesce("_kind", F.lit("none")).alias("kind")).agg(F.count("*").alias("n"))
+
+
 def unruled(elements: DataFrame, ruled: list[str]) -> DataFrame:
     """element and n of elements that no rule speaks of."""
     return elements.where(F.col("problem").isNull() & ~F.col("element").isin(*ruled)).groupBy("element").agg(F.count("*").alias("n"))

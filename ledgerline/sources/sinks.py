@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.batches import greedy_batches
-from .logs import report_lines
+from .logs import report_documents, report_lines
 
 
 def commit_batches(ops: DataFrame, path: str, shard: str = "dataset", order: str = "seq", most_rows: int = 500, most_bytes: int = 1 << 20) -> DataFrame:
@@ -44,9 +44,10 @@ def keep_originals(rows: DataFrame, path: str, key: str, geometry: str, srid: st
     return rows.sparkSession.read.parquet(path)
 
 
-def write_report(items: DataFrame, path: str) -> None:
-    """A markdown report, one line per item, in order of seq (K6). The lines are sorted by range, not in one task."""
-    report_lines(items).orderBy("seq").select("line").write.text(path)
+def write_report(items: DataFrame, path: str, as_json: bool = False) -> None:
+    """A report in markdown or as JSON lines, one line per item, in order of seq (K6). The lines are sorted by range, not in one task."""
+    lines = report_documents(items) if as_json else report_lines(items)
+    lines.orderBy("seq").select("line").write.text(path)
 
 
 def attachment_metadata(*columns: str):
