@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -76,6 +77,15 @@ def removed_at_exit(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
+def give_back_memory() -> None:
+    """Let what this process has freed go back to the system: Python workers live on from stage to stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A finalizer that spreads every input bit over all 64 output bits."""
     h = h ^ (h >> np.uint64(30))

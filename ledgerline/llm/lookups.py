@@ -132,8 +132,7 @@ def _arrow(docs: DataFrame, schema: str) -> pa.Schema:
 
 
 def _together(batches: Iterable[pa.RecordBatch], schema: pa.Schema) -> pa.Table:
-    vocabularies.forget()
-    pa.default_memory_pool().release_unused()  # what the last batch held goes back to the system
+    vocabularies.forget()  # what the last batch held goes back to the system
     return pa.Table.from_batches([b.cast(schema) if b.schema != schema else b for b in batches], schema)
 
 

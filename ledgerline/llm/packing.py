@@ -16,12 +16,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, split_batches
+from .common import give_back_memory, materialize, split_batches
 from .vocabularies import word_encoder
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 #: Bytes of text encoded at once.
-ENCODED_AT_ONCE = 8 << 20
+ENCODED_AT_ONCE = 4 << 20
 PLAN = "length bigint, first bigint, n bigint, per_sequence bigint, sequence bigint, at bigint"
 
 
@@ -103,6 +103,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> D
     """
 
     def encode(batches):
+        give_back_memory()
         encoder = word_encoder(tokenizer)
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for whole in batches:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocabularies
-from .common import dropped, materialize, mix, split_batches
+from .common import dealt_apart, dropped, materialize, mix, split_batches
 
 #: Reference fingerprints: any fixed values serve.
 PIVOTS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -229,7 +229,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4, id_col: str
     grouped = distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = grouped.join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return dealt_apart(prints, named, "fp", ["doc_id"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def similar_documents(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

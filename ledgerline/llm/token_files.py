@@ -18,13 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, split_batches
+from .common import give_back_memory, shuffle_partitions, split_batches
 from .vocabularies import word_encoder
 
 #: Ids gathered before a block is closed.
 BLOCK_IDS = 1 << 19
 #: Bytes of text encoded at once.
-ENCODED_AT_ONCE = 8 << 20
+ENCODED_AT_ONCE = 4 << 20
 
 BLOCKS = "shard int, block int, doc_ids array<bigint>, lengths array<bigint>, bits int, n_tokens bigint, payload binary"
 BLOCKS_ARROW = pa.schema(
@@ -84,6 +84,7 @@ def write_token_files(
     ordered = rows.repartitionByRange(shards, "doc_id", F.substring("text", 1, 32)).sortWithinPartitions("doc_id", "text")
 
     def encode(batches):
+        give_back_memory()
         encoder = word_encoder(tokenizer)
         bits = bits_for(max(encoder.size, end_id + 1))
         shard, block, ids, parts, lengths, total = TaskContext.get().partitionId(), 0, [], [], [], 0

@@ -18,14 +18,14 @@ import pyarrow.compute as pc
 import regex
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from .common import RollingHash, flat_text
+from .common import RollingHash, flat_text, give_back_memory
 
 #: What a process remembers at most, in dicts (pieces and whole words) and in flat arrays; what is full starts anew.
 PIECES_KEPT = 250_000
 WORDS_KEPT = 250_000
-FLAT_PIECES_KEPT = 1_000_000
+FLAT_PIECES_KEPT = 600_000
 #: Words whose ids are gathered at once.
-WORDS_AT_ONCE = 1 << 19
+WORDS_AT_ONCE = 1 << 18
 
 
 @lru_cache(1)
@@ -342,3 +342,4 @@ def forget() -> None:
     word_encoder.cache_clear()
     byte_encoder.cache_clear()
     read_ranks.cache_clear()
+    give_back_memory()
