@@ -233,17 +233,34 @@ def batch_classify(spark, sf_dir):
     return classify.classify_batch(_states(table(spark, sf_dir, "events")))
 
 
-@query("stream_classify", STATES_SQL)
-def stream_classify(spark, sf_dir):
-    """The same classification by a streaming job that keeps the state of every key; it runs until the table is read."""
+def _event_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
     reader = spark.readStream.schema(schema)
     if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
-        stream = _states(reader.parquet(f"{sf_dir}/events.parquet"))
-    else:  # a stream reads folders
-        stream = _states(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+        return reader.parquet(f"{sf_dir}/events.parquet")
+    return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)  # a stream reads folders
+
+
+@query("stream_classify", STATES_SQL)
+def stream_classify(spark, sf_dir):
+    """The same classification by a streaming job that keeps the state of every key; it runs until the table is read."""
     out = f"{shared_folder(spark)}/classified-{uuid.uuid4().hex}"
+    stream = _states(_event_stream(spark, sf_dir))
     run = classify.classify_stream(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start(out)
     run.awaitTermination()
     return spark.read.schema("key bigint, seq bigint, op string").parquet(out)
+
+
+@query("stream_deltas", """
+WITH l AS (SELECT user_id AS key, arg_max(event_type, event_id) AS hash, MAX(event_id) AS seq FROM events GROUP BY 1)
+SELECT CAST(key AS BIGINT) AS key, hash FROM l WHERE seq % 6 <> 0 UNION ALL SELECT CAST(c_custkey AS BIGINT), c_name FROM customer WHERE c_custkey NOT IN (SELECT key FROM l)
+""")
+def stream_deltas(spark, sf_dir):
+    """Events as edits and deletes of the customers' states, written as deltas by a streaming job; the table after them."""
+    out = f"{shared_folder(spark)}/deltas-{uuid.uuid4().hex}"
+    op = F.when(F.col("event_id") % 6 == 0, "delete").otherwise("update")
+    stream = _event_stream(spark, sf_dir).select(F.col("user_id").cast("long").alias("key"), F.col("event_type").alias("hash"), F.col("event_id").alias("seq"), op.alias("op"))
+    classify.write_deltas(stream, out, f"{out}-state").start().awaitTermination()
+    base = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("key"), F.col("c_name").alias("hash"))
+    return classify.after_deltas(base, out, ["key"], ["hash"], ["seq"])

@@ -57,15 +57,25 @@ def classify_batch(rows: DataFrame) -> DataFrame:
     return rows.withColumn("op", op).select("key", "seq", "op")
 
 
-def apply_windows(stream: DataFrame, index_path: str, out_path: str, checkpoint: str, keys: list[str], columns: list[str]):
-    """Apply a stream of operations to a table in versions (T6, T7): each micro-batch writes version n+1 from n, updates before deletes.
+def write_deltas(stream: DataFrame, out_path: str, checkpoint: str):
+    """Write the operations of every micro-batch as a delta of its own (T4, T6); no table is read or written again.
 
-    A batch that is replayed writes the version of its own number again, so a restart changes nothing (T4).
+    A batch that is replayed writes the delta of its own number again, so a restart changes nothing.
     """
-    from ..operators.diff import apply_operations
 
     def step(ops: DataFrame, number: int) -> None:
-        base = stream.sparkSession.read.parquet(index_path if number == 0 else f"{out_path}/version={number - 1}")
-        apply_operations(base, ops, keys, columns).write.mode("overwrite").parquet(f"{out_path}/version={number}")
+        ops.write.mode("overwrite").parquet(f"{out_path}/delta={number}")
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+
+
+def after_deltas(base: DataFrame, out_path: str, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
+    """The table after all deltas (T6, T7): of the operations of a key the last one counts, by delta, order, and deletes last.
+
+    The base meets the touched keys only. Writing the result as a new base and removing the deltas that it holds compacts them.
+    """
+    ops = base.sparkSession.read.option("basePath", out_path).parquet(out_path)
+    at = F.struct("delta", *order, (F.col("op") == "delete").alias("last"))
+    last = ops.groupBy(*keys).agg(F.max_by(F.struct("op", *columns), at).alias("_o"))
+    kept = base.select(*keys, *columns).join(last.select(*keys), keys, "left_anti")
+    return kept.unionByName(last.where("_o.op <> 'delete'").select(*keys, *[F.col(f"_o.{c}").alias(c) for c in columns]))
