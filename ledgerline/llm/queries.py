@@ -40,9 +40,13 @@ def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projection_forest.nearest(load(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+#: Bytes from which op6 also counts repeated text, beside the 400 from which it goes: 50 words of four letters and a space.
+PASSAGE = 250
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    cut = suffix_dedup.suffix_dedup(load(spark, sf_dir, "documents"), also=PASSAGE)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.col("n_also").alias("n_in_repeats"))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,20 +95,21 @@ ORACLES: dict[str, str] = {
     """,
     "op6_suffix_dedup": """
         WITH d AS (SELECT doc_id, encode(COALESCE(text, '')) AS b FROM documents), n AS (SELECT *, octet_length(b) AS len FROM d),
-        windows AS (SELECT doc_id, i, md5(b[i:i + 399]) AS h FROM (SELECT doc_id, b, unnest(range(1, len - 398)) AS i FROM n WHERE len >= 400)),
-        twice AS (SELECT h FROM windows GROUP BY h HAVING COUNT(*) > 1),
-        hits AS (SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM twice)),
-        marked AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400 THEN 0 ELSE 1 END AS opens FROM hits),
-        numbered AS (SELECT *, SUM(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
-        spans AS (SELECT doc_id, span, MIN(i) AS a, MAX(i) + 400 AS z FROM numbered GROUP BY 1, 2),
+        each_window AS (SELECT w, doc_id, i, md5(b[i:i + w - 1]) AS h FROM (SELECT w, doc_id, b, unnest(range(1, len - w + 2)) AS i FROM n, (VALUES (400), (250)) AS v(w) WHERE len >= w)),
+        twice AS (SELECT w, h FROM each_window GROUP BY w, h HAVING COUNT(*) > 1),
+        hits AS (SELECT w, doc_id, i FROM each_window JOIN twice USING (w, h)),
+        marked AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY w, doc_id ORDER BY i) + w THEN 0 ELSE 1 END AS opens FROM hits),
+        numbered AS (SELECT *, SUM(opens) OVER (PARTITION BY w, doc_id ORDER BY i) AS span FROM marked),
+        every_span AS (SELECT w, doc_id, span, MIN(i) AS a, MAX(i) + w AS z FROM numbered GROUP BY 1, 2, 3),
+        spans AS (SELECT * FROM every_span WHERE w = 400), passages AS (SELECT doc_id, SUM(z - a) AS n FROM every_span WHERE w = 250 GROUP BY 1),
         sums AS (SELECT doc_id, COUNT(*) AS n_spans, SUM(z - a) AS n_removed, MAX(z) AS z FROM spans GROUP BY 1),
         cuts AS (
           SELECT doc_id, COALESCE(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 1) AS f, a AS t FROM spans
           UNION ALL SELECT n.doc_id, COALESCE(sums.z, 1), n.len + 1 FROM n LEFT JOIN sums ON n.doc_id = sums.doc_id
         ), kept AS (SELECT c.doc_id, string_agg(hex(b[f:t - 1]), '' ORDER BY f) AS k FROM cuts c JOIN n ON c.doc_id = n.doc_id WHERE t > f GROUP BY 1)
         SELECT n.doc_id, CAST(n.len AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, CAST(COALESCE(n_spans, 0) AS BIGINT) AS n_spans,
-               sha256(unhex(COALESCE(k, ''))) AS kept_sha256
-        FROM n LEFT JOIN sums ON n.doc_id = sums.doc_id LEFT JOIN kept ON n.doc_id = kept.doc_id
+               sha256(unhex(COALESCE(k, ''))) AS kept_sha256, CAST(COALESCE(passages.n, 0) AS BIGINT) AS n_in_repeats
+        FROM n LEFT JOIN sums ON n.doc_id = sums.doc_id LEFT JOIN kept ON n.doc_id = kept.doc_id LEFT JOIN passages ON n.doc_id = passages.doc_id
     """,
     "op8_exact_topk": """
         WITH v AS (

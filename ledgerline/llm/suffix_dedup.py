@@ -41,6 +41,8 @@ RESULT_NAMES = ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
 SPANS = pa.list_(pa.struct([("first", pa.int64()), ("stop", pa.int64())]))
 
 CLASSES, CONTESTED, STRETCHES, COUNTED = 1, 2, 3, 4
+#: What the kinds of one window length and the next are apart.
+APART = 10
 
 STRETCH = np.dtype([("gram", "<u8"), ("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("row", "<i4"), ("at", "<i8"), ("left", "<u2"), ("right", "<u2"), ("asks", "u1")])
 REPEATS = np.dtype([("a", "<u8"), ("b", "<u8"), ("least", "<u2"), ("most", "<u2")])
@@ -108,12 +110,18 @@ class Places:
         return out
 
 
-def _ask_classes(buckets: int, window: int):
+def _of_window(got: dict, nth: int) -> dict:
+    """The replies that concern the nth window length."""
+    return {kind - APART * nth: data for kind, data in got.items() if kind // APART == nth}
+
+
+def _ask_classes(buckets: int, windows: list[int]):
     def run(batch, table, _):
-        places = Places(table, window)
-        doc, row, at = places.order_of(places.place)
-        yield from lookups.requests_of(batch, CLASSES, lookups.first_records(places.a, places.b, doc, batch, row, at), buckets)
-        yield from lookups.requests_of(batch, CONTESTED, lookups.keyed_records(places.gram, places.a), buckets)
+        for nth, window in enumerate(windows):
+            places = Places(table, window)
+            doc, row, at = places.order_of(places.place)
+            yield from lookups.requests_of(batch, CLASSES + APART * nth, lookups.first_records(places.a, places.b, doc, batch, row, at), buckets)
+            yield from lookups.requests_of(batch, CONTESTED + APART * nth, lookups.keyed_records(places.gram, places.a), buckets)
 
     return run
 
@@ -168,33 +176,38 @@ def _window_hashes(places: Places, starts: np.ndarray) -> tuple[np.ndarray, np.n
     return a, b
 
 
-def _ask_repeats(buckets: int, window: int, keep_first: bool, hot_above: int):
+def _ask_repeats(buckets: int, windows: list[int], keep_first: bool, hot_above: int):
     def run(batch, table, got):
-        if not got:
-            return
-        places = Places(table, window)
-        repeats, _, compared, hot = _roles(places, batch, got, hot_above)
-        which = np.flatnonzero(compared & ~hot)
-        records = np.zeros(len(which), STRETCH)
-        records["gram"], records["a"], records["b"] = places.gram[which], places.a[which], places.b[which]
-        records["doc"], records["row"], records["at"] = places.order_of(places.place[which])
-        records["left"] = places.place[which] - places.low[which]
-        records["right"] = places.high[which] + window - places.place[which]
-        records["asks"] = True if keep_first else ~repeats[which]
-        bucket = ((records["gram"] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
-        raw = places.raw.tobytes()
-        for own in np.unique(bucket).tolist():
-            mine = np.flatnonzero(bucket == own)
-            stretches = b"".join([raw[x:y] for x, y in zip(places.low[which[mine]].tolist(), (places.high[which[mine]] + window).tolist())])
-            data = struct.pack("<q", len(mine)) + records[mine].tobytes() + stretches
-            yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int32()), pa.array([STRETCHES], pa.int32()), pa.array([own], pa.int32()), pa.array([data], pa.binary())], schema=lookups.REQUESTS_ARROW)
-        starts = _windows_of(places, np.flatnonzero(compared & hot))
-        doc, row, at = places.order_of(starts)
-        yield from lookups.requests_of(batch, COUNTED, lookups.first_records(*_window_hashes(places, starts), doc, batch, row, at), buckets)
+        for nth, window in enumerate(windows):
+            own = _of_window(got, nth)
+            if own:
+                yield from _stretches_of(batch, Places(table, window), own, nth, buckets, keep_first, hot_above)
 
     return run
 
 
+def _stretches_of(batch: int, places: Places, got: dict, nth: int, buckets: int, keep_first: bool, hot_above: int):
+    window = places.window
+    repeats, _, compared, hot = _roles(places, batch, got, hot_above)
+    which = np.flatnonzero(compared & ~hot)
+    records = np.zeros(len(which), STRETCH)
+    records["gram"], records["a"], records["b"] = places.gram[which], places.a[which], places.b[which]
+    records["doc"], records["row"], records["at"] = places.order_of(places.place[which])
+    records["left"] = places.place[which] - places.low[which]
+    records["right"] = places.high[which] + window - places.place[which]
+    records["asks"] = True if keep_first else ~repeats[which]
+    bucket = ((records["gram"] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+    raw = places.raw.tobytes()
+    for own in np.unique(bucket).tolist():
+        mine = np.flatnonzero(bucket == own)
+        stretches = b"".join([raw[x:y] for x, y in zip(places.low[which[mine]].tolist(), (places.high[which[mine]] + window).tolist())])
+        data = struct.pack("<q", len(mine)) + records[mine].tobytes() + stretches
+        yield pa.RecordBatch.from_arrays([pa.array([batch], pa.int32()), pa.array([STRETCHES + APART * nth], pa.int32()), pa.array([own], pa.int32()), pa.array([data], pa.binary())], schema=lookups.REQUESTS_ARROW)
+    starts = _windows_of(places, np.flatnonzero(compared & hot))
+    doc, row, at = places.order_of(starts)
+    yield from lookups.requests_of(batch, COUNTED + APART * nth, lookups.first_records(*_window_hashes(places, starts), doc, batch, row, at), buckets)
+
+
 def _answer_stretches(window: int, keep_first: bool):
     def answer(kind: int, who: list[int], data: list[bytes]):
         records, texts, asker = [], [], []
@@ -229,8 +242,8 @@ def _answer_stretches(window: int, keep_first: bool):
     return answer
 
 
-def _cut_with(window: int, keep_first: bool, hot_above: int, as_text: bool):
-    return lambda batch, table, got: _cut(batch, table, got, window, keep_first, hot_above, as_text)
+def _cut_with(windows: list[int], keep_first: bool, hot_above: int, as_text: bool):
+    return lambda batch, table, got: _cut(batch, table, got, windows, keep_first, hot_above, as_text)
 
 
 def _removed(places: Places, batch: int, got: dict, keep_first: bool, hot_above: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,8 +268,8 @@ def _removed(places: Places, batch: int, got: dict, keep_first: bool, hot_above:
     return np.concatenate(begins).astype(np.int64), np.concatenate(ends).astype(np.int64)
 
 
-def _cut(batch: int, table: pa.Table, got: dict, window: int, keep_first: bool, hot_above: int, as_text: bool):
-    places = Places(table, window)
+def _covered(places: Places, batch: int, got: dict, keep_first: bool, hot_above: int) -> np.ndarray:
+    """1 for the bytes that go, 0 for the others, with a 0 before and behind them."""
     n = len(places.raw)
     steps = np.zeros(n + 1, np.int32)
     if got:
@@ -265,6 +278,13 @@ def _cut(batch: int, table: pa.Table, got: dict, window: int, keep_first: bool,
         np.add.at(steps, ends, -1)
     covered = np.zeros(n + 2, np.int8)
     covered[1:-1] = np.cumsum(steps[:-1]) > 0
+    return covered
+
+
+def _cut(batch: int, table: pa.Table, got: dict, windows: list[int], keep_first: bool, hot_above: int, as_text: bool):
+    places = Places(table, windows[0])
+    n = len(places.raw)
+    covered = _covered(places, batch, _of_window(got, 0), keep_first, hot_above)
     edges = np.diff(covered)
     opens, closes = edges[:-1] == 1, edges[1:] == -1
     inner = places.offsets[1:-1]  # a span ends with its document
@@ -288,8 +308,13 @@ def _cut(batch: int, table: pa.Table, got: dict, window: int, keep_first: bool,
             kept.append(raw[a:b])
     own = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
     columns = [table.column("doc_id").combine_chunks(), pa.array(np.diff(places.offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, SPANS), own]
+    names = list(RESULT_NAMES)
+    for nth in range(1, len(windows)):
+        before = np.concatenate([[0], np.cumsum(_covered(Places(table, windows[nth]), batch, _of_window(got, nth), keep_first, hot_above)[1:-1], dtype=np.int64)])
+        columns.append(pa.array(before[places.offsets[1:]] - before[places.offsets[:-1]], pa.int64()))
+        names.append("n_also")
     along = [name for name in table.column_names if name.startswith("carry_")]
-    yield pa.RecordBatch.from_arrays([*columns, *[table.column(name).combine_chunks() for name in along]], [*RESULT_NAMES, *along])
+    yield pa.RecordBatch.from_arrays([*columns, *[table.column(name).combine_chunks() for name in along]], [*names, *along])
 
 
 def suffix_dedup(
@@ -301,6 +326,7 @@ def suffix_dedup(
     hot_above: int = HOT,
     window: int = WINDOW,
     keep_first: bool = False,
+    also: int | None = None,
 ) -> DataFrame:
     """Remove every byte covered by a string of `window` bytes (64 to 32,000) that also starts anywhere else.
 
@@ -310,19 +336,26 @@ def suffix_dedup(
     in one document and may overlap. Strings are judged on the input. Per row: doc_id, n_bytes, n_removed,
     spans (maximal removed runs of bytes, from first up to stop) and kept (the other bytes, which may begin
     or end inside a character; as_text: a string without such torn characters), then the columns named in
-    carry under their own names. Without keep_first every copy goes, so repeated rows of a window or more lose
+    carry under their own names. also: another length, for which n_also (behind kept) counts the bytes that it would
+    remove, in the same passes. Without keep_first every copy goes, so repeated rows of a window or more lose
     all their text. Other columns are not read.
     """
     carry = carry or []
     rows, buckets = lookups.in_batches(docs, id_col, text_col, carry)
-    first = lookups.per_batch(rows, _ask_classes(buckets, window), lookups.REQUESTS)
-    classes = lookups.answer(first, buckets, {CLASSES: lookups.answer_first, CONTESTED: lookups.answer_contested})
-    second = lookups.with_replies(rows, classes, _ask_repeats(buckets, window, keep_first, hot_above), lookups.REQUESTS)
-    repeats = lookups.answer(second, buckets, {STRETCHES: _answer_stretches(window, keep_first), COUNTED: lookups.answer_first})
+    windows = [window] if also is None else [window, also]
+    each = lambda answers: {kind + APART * nth: answer(w) for nth, w in enumerate(windows) for kind, answer in answers.items()}
+    first = lookups.per_batch(rows, _ask_classes(buckets, windows), lookups.REQUESTS)
+    classes = lookups.answer(first, buckets, each({CLASSES: lambda _: lookups.answer_first, CONTESTED: lambda _: lookups.answer_contested}))
+    second = lookups.with_replies(rows, classes, _ask_repeats(buckets, windows, keep_first, hot_above), lookups.REQUESTS)
+    repeats = lookups.answer(second, buckets, each({STRETCHES: lambda w: _answer_stretches(w, keep_first), COUNTED: lambda _: lookups.answer_first}))
     kept = "string" if as_text else "binary"
     result = rows.selectExpr("doc_id", "0L as n_bytes", "0L as n_removed", "cast(null as array<struct<first:bigint,stop:bigint>>) as spans", f"cast(null as {kept}) as kept").schema
+    names = [*RESULT_NAMES]
+    if also is not None:
+        result = result.add("n_also", T.LongType())
+        names.append("n_also")
     for field in rows.schema:
         if field.name.startswith("carry_"):
             result = result.add(field)
-    cut = lookups.with_replies(rows, classes.unionByName(repeats), _cut_with(window, keep_first, hot_above, as_text), T.StructType([T.StructField(f.name, f.dataType, True) for f in result]))
-    return cut.toDF(*RESULT_NAMES, *carry)
+    cut = lookups.with_replies(rows, classes.unionByName(repeats), _cut_with(windows, keep_first, hot_above, as_text), T.StructType([T.StructField(f.name, f.dataType, True) for f in result]))
+    return cut.toDF(*names, *carry)
