@@ -18,8 +18,6 @@ from .common import dealt_apart, dropped, materialize
 #: Share of a score that a host passes on each round; rounds end when the scores (a sum of 1 each) change by less than this in all.
 DAMPING = 0.85
 TOLERANCE = 0.01
-#: Rounds between two looks at the change, after which the scores are stored.
-LOOK_EVERY = 4
 #: A host is blocked where its distrust is above its trust by more than this many times the mean distrust of a host.
 MARGIN = 1.5
 #: Characters of the longest host name that there can be: what is longer has no domain above it.
@@ -83,25 +81,24 @@ def propagate(hosts: DataFrame, edges: DataFrame, rounds: int | None = None, dam
     shares = materialize(shares, "host-edges")
     scores, stored, done = hosts.select("host", F.col("trusted").alias("trust"), F.col("blocked").alias("distrust")), None, 0
     while rounds is None or done < rounds:
-        before = scores
         sent = shares.join(scores.where("trust > 0 or distrust > 0"), F.col("from") == F.col("host"))
         got = sent.groupBy(F.col("to").alias("host")).agg(F.sum(F.col("trust") * F.col("t")).alias("t"), F.sum(F.col("distrust") * F.col("d")).alias("d"))
-        scores = hosts.join(got, "host", "left").select(
+        was = scores.select("host", F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
+        now = hosts.join(was, "host").join(got, "host", "left").select(
             "host",
             ((1 - damping) * F.col("trusted") + damping * F.coalesce("t", F.lit(0.0))).alias("trust"),
             ((1 - damping) * F.col("blocked") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"),
+            "t0",
+            "d0",
         )
-        done += 1
-        if done % LOOK_EVERY == 0:
-            was = before.select("host", F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
-            change = F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("d0"))
-            now = materialize(scores.join(was, "host").withColumn("change", change), "host-scores")
-            moved = now.agg(F.sum("change")).first()[0] or 0.0
-            if stored is not None:
-                dropped(stored)
-            scores, stored = now.select("host", "trust", "distrust"), now
-            if rounds is None and moved < tolerance:
-                break
+        # one row a host is stored each round, so that no plan grows with the rounds
+        now = materialize(now, "host-scores")
+        moved = now.agg(F.sum(F.abs(F.col("trust") - F.col("t0")) + F.abs(F.col("distrust") - F.col("d0")))).first()[0] or 0.0
+        if stored is not None:
+            dropped(stored)
+        scores, stored, done = now.select("host", "trust", "distrust"), now, done + 1
+        if rounds is None and moved < tolerance:
+            break
     return scores
 
 
