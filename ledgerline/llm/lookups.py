@@ -11,6 +11,7 @@ and bucket. All stages belong to one plan in which the dealt documents are shuff
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,9 @@ from .common import shuffle_partitions
 
 REQUESTS = "batch int, kind int, bucket int, data binary"
 REQUESTS_ARROW = pa.schema([("batch", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("data", pa.binary())])
-REPLIES = "batch int, kind int, data binary"
+#: A reply row holds the data of several kinds, each behind its kind and length.
+SEGMENT = "<iq"
+REPLIES_ARROW_OUT = pa.schema([("batch", pa.int32()), ("data", pa.binary())])
 REPLIES_ARROW = pa.schema([("batch", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 
 #: Batches per shuffle partition, and shuffle partitions per bucket: more batches make the partitions more even,
@@ -94,10 +97,25 @@ def answer(requests: DataFrame, buckets: int, answers: dict[int, Callable]) -> D
                 own = asked.setdefault(kind, ([], []))
                 own[0].append(who)
                 own[1].append(data)
+        found: dict[int, list[bytes]] = {}  # one row a batch that is answered, whatever the kinds
         for kind in sorted(asked):
-            yield from answers[kind](kind, *asked.pop(kind))
+            for replies in answers[kind](kind, *asked.pop(kind)):
+                for who, data in zip(replies.column("batch").to_pylist(), replies.column("data").to_pylist()):
+                    found.setdefault(who, []).append(struct.pack(SEGMENT, kind, len(data)) + data)
+        for who in list(found):
+            yield pa.RecordBatch.from_arrays([pa.array([who], pa.int32()), pa.array([b"".join(found.pop(who))], pa.binary())], schema=REPLIES_ARROW_OUT)
 
-    return requests.repartition(buckets, "bucket").mapInArrow(resolve, REPLIES)
+    return requests.repartition(buckets, "bucket").mapInArrow(resolve, "batch int, data binary")
+
+
+def segments(data: bytes):
+    """The (kind, data) that a reply row holds."""
+    at = 0
+    while at < len(data):
+        kind, n = struct.unpack_from(SEGMENT, data, at)
+        at += struct.calcsize(SEGMENT)
+        yield kind, data[at : at + n]
+        at += n
 
 
 def per_batch(docs: DataFrame, run: Callable, schema: str) -> DataFrame:
@@ -117,8 +135,9 @@ def with_replies(docs: DataFrame, replies: DataFrame, run: Callable, schema: str
         if not left.num_rows:
             return _together([], target)
         got: dict[int, list[bytes]] = {}
-        for kind, data in zip(right.column("kind").to_pylist(), right.column("data").to_pylist()):
-            got.setdefault(kind, []).append(data)
+        for row in right.column("data"):
+            for kind, data in segments(row.as_py()):
+                got.setdefault(kind, []).append(data)
         return _together(run(left.column("batch")[0].as_py(), left, got), target)
 
     target = _arrow(docs, schema)
