@@ -32,7 +32,7 @@ RUNS = {
     "op1": lambda spark, docs, tmp: substring_dedup.substring_dedup(docs),
     "op2": lambda spark, docs, tmp: quality.judge(docs, labels(spark)),
     "op3": lambda spark, docs, tmp: (token_files.write_token_files(docs, tmp, WORDS, 1), token_files.documents_of(token_files.read_token_files(spark, tmp)))[1],
-    "op6": lambda spark, docs, tmp: suffix_dedup.suffix_dedup(docs, carry=["kept", "n_removed"], also=100),
+    "op6": lambda spark, docs, tmp: suffix_dedup.suffix_dedup(docs, carry=["kept", "n_removed"]),
     "op7": lambda spark, docs, tmp: byte_bpe.round_trip_digest(docs, public_tokenizers.path(queries.RANKS), public_tokenizers.PATTERN),
     "op9": lambda spark, docs, tmp: simhash.near_duplicates(docs),
     "op10": lambda spark, docs, tmp: packing.pack_documents(docs, WORDS).where("piece = 0"),
