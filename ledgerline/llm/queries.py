@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_topk, packing, projection_forest, quality, simhash, substring_dedup, suffix_dedup, token_files, url_filter
+from . import byte_bpe, exact_topk, mixing, packing, projection_forest, quality, simhash, substring_dedup, suffix_dedup, token_files, url_filter
 from .common import load, removed_at_exit, shared_folder
 
 WORDS = "word_bpe_49k.json"
@@ -61,6 +61,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end_id=0, capacity=2048)
 
 
+def op13_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_quality_classifier": op2_quality_classifier,
@@ -72,6 +76,7 @@ QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_simhash": op9_simhash,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_budget_mix": op13_budget_mix,
 }
 
 ORACLES: dict[str, str] = {

@@ -13,7 +13,7 @@ from ledgerline.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query(name, spark, sf_dir):
     con = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations"):
         path = f"{sf_dir}/{table}.parquet"
         con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{path if os.path.isfile(path) else path + '/*.parquet'}'")
     frame, found = queries.QUERIES[name](spark, sf_dir), con.sql(queries.ORACLES[name])
@@ -25,4 +25,4 @@ def test_query(name, spark, sf_dir):
 
 def test_all_operators_are_registered():
     numbers = {int(name[2:].split("_")[0]) for name in queries.QUERIES if name.startswith("op")}
-    assert numbers == set(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert numbers == set(range(1, 14)) and "pipeline" in queries.QUERIES
