@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_topk, mixing, packing, projection_forest, quality, simhash, substring_dedup, suffix_dedup, token_files, url_filter
+from . import byte_bpe, exact_topk, mixing, packing, projection_forest, quality, repair, simhash, substring_dedup, suffix_dedup, token_files, url_filter
 from .common import load, removed_at_exit, shared_folder
 
 WORDS = "word_bpe_49k.json"
@@ -61,6 +61,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end_id=0, capacity=2048)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_conversations(repair.damaged(load(spark, sf_dir, "conversations")), there_col="there")
+
+
 def op13_budget_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_simhash": op9_simhash,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_budget_mix": op13_budget_mix,
 }
 
@@ -125,6 +130,52 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op12_conversation_repair": r"""
+        WITH RECURSIVE keyed AS (
+          SELECT *, COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' ') AS k, dense_rank() OVER (ORDER BY conv_id) AS c FROM conversations
+        ), fates AS (
+          SELECT c, turn, COALESCE(role, ' ') AS role, COALESCE(text, ' ') AS text, xor(4294967295, list_reduce(list_transform(string_split(k, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                 lambda h, b: list_reduce(range(8), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(h, b)), 4294967295)) % 20 AS fate
+          FROM keyed
+        ), damaged AS (
+          SELECT c, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+                 CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS nth
+          FROM fates WHERE fate <> 0
+        ), placed AS (
+          SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, nth) AS i, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last_one FROM damaged
+        ), seen AS (SELECT *, row_number() OVER (PARTITION BY c, role, text ORDER BY i) AS again, lag(role) OVER (PARTITION BY c ORDER BY i) AS role_before FROM placed),
+        marked AS (
+          SELECT *, CASE WHEN last_one = '' THEN 'blank' WHEN again > 1 THEN 'duplicate' WHEN last_one NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM seen
+        ), inserts(p, q, n, put) AS (VALUES
+          (0, 0, 0, ''), (0, 2, 1, 'user:\n'), (0, 3, 2, 'user:\nassistant:\n'), (1, 1, 0, ''), (1, 2, 1, 'user:\n'), (1, 3, 2, 'user:\nassistant:\n'), (2, 2, 0, ''), (2, 3, 1, 'assistant:\n'),
+          (3, 3, 0, ''), (3, 2, 1, 'user:\n')
+        ), edits(p, q, edit, initial, role) AS (VALUES
+          (0, 0, 'D', '', ''), (1, 1, 'D', '', ''), (2, 2, 'D', '', ''), (3, 3, 'D', '', ''), (0, 1, 'K', 's', ''), (0, 2, 'K', 'u', ''), (1, 2, 'K', 'u', ''), (2, 3, 'K', 'a', ''), (3, 2, 'K', 'u', ''),
+          (0, 2, 'R', '', 'user'), (1, 2, 'R', '', 'user'), (2, 3, 'R', '', 'assistant'), (3, 2, 'R', '', 'user')
+        ), steps AS (
+          SELECT inserts.p, edits.q, edit, initial, edits.role AS set_role, 3 * n + CASE edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END AS cost, repeat('I', n) || edit AS letters, put
+          FROM inserts JOIN edits ON inserts.q = edits.p
+        ), ways AS (
+          SELECT DISTINCT c, CAST(0 AS BIGINT) AS i, 0 AS p, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': ''} AS best FROM keyed
+          UNION ALL
+          SELECT w.c, m.i, s.q, MIN({'cost': w.best.cost + s.cost + CASE WHEN fault = 'truncated' AND edit <> 'D' THEN 3 ELSE 0 END, 'audit': w.best.audit || letters,
+                 'lines': w.best.lines || put || CASE edit WHEN 'D' THEN '' WHEN 'K' THEN role || ':' || text || '\n' ELSE set_role || ':' || text || '\n' END})
+          FROM ways w JOIN marked m ON m.c = w.c AND m.i = w.i + 1
+               JOIN steps s ON s.p = w.p AND (edit <> 'K' OR initial = left(role, 1)) AND (edit = 'D' OR fault NOT IN ('blank', 'duplicate'))
+          GROUP BY w.c, m.i, s.q
+        ), ends AS (
+          SELECT w.c, MIN({'cost': best.cost + 3 * n, 'audit': best.audit || repeat('I', n), 'lines': best.lines || put}) AS best
+          FROM ways w JOIN inserts ON inserts.p = w.p AND inserts.q IN (0, 3)
+          WHERE w.i = (SELECT COALESCE(MAX(i), 0) FROM marked m WHERE m.c = w.c) GROUP BY 1
+        ), counts AS (
+          SELECT c, COALESCE(MAX(turn) - MIN(turn) + 1 - COUNT(DISTINCT turn), 0) AS gaps, COUNT(*) FILTER (fault = 'blank') AS blank, COUNT(*) FILTER (fault = 'duplicate') AS duplicate,
+                 COUNT(*) FILTER (fault = 'truncated') AS truncated, COUNT(*) FILTER (i > 1 AND left(role_before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM marked GROUP BY 1
+        )
+        SELECT k.conv_id, COALESCE(gaps, 0) AS gaps, COALESCE(blank, 0) AS blank, COALESCE(duplicate, 0) AS duplicate, COALESCE(truncated, 0) AS truncated, COALESCE(illegal, 0) AS illegal,
+               best.cost AS cost, best.audit AS audit, sha256(CASE WHEN best.lines = '' THEN '' ELSE left(best.lines, length(best.lines) - 1) END) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id, c FROM keyed) k JOIN ends ON k.c = ends.c LEFT JOIN counts ON k.c = counts.c
+    """.replace("\\n", "\n"),
 }
 
 
