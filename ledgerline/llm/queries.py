@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_topk, mixing, packing, projection_forest, quality, repair, simhash, substring_dedup, suffix_dedup, token_files, url_filter
+from . import byte_bpe, exact_topk, hard_negatives, mixing, packing, projection_forest, quality, repair, simhash, substring_dedup, suffix_dedup, token_files, url_filter
 from .common import load, removed_at_exit, shared_folder
 
 WORDS = "word_bpe_49k.json"
@@ -61,6 +61,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), end_id=0, capacity=2048)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", label))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_conversations(repair.damaged(load(spark, sf_dir, "conversations")), there_col="there")
 
@@ -80,6 +86,7 @@ QUERIES = {
     "op8_exact_topk": op8_exact_topk,
     "op9_simhash": op9_simhash,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_budget_mix": op13_budget_mix,
 }
@@ -130,6 +137,21 @@ ORACLES: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_hard_negatives": """
+        WITH v AS (
+          SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+          FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+          SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+        ), positives AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
     "op12_conversation_repair": r"""
         WITH RECURSIVE keyed AS (
           SELECT *, COALESCE(CAST(conv_id AS VARCHAR), ' ') || ':' || COALESCE(CAST(turn AS VARCHAR), ' ') AS k, dense_rank() OVER (ORDER BY conv_id) AS c FROM conversations
