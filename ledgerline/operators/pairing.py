@@ -104,24 +104,6 @@ def attachment_diff(basis: DataFrame, listed: DataFrame, parents: DataFrame) ->
     return paired.unionByName(fallback).unionByName(refused)
 
 
-def attachment_feed(basis: DataFrame, adds: DataFrame, updates: DataFrame, deletes: DataFrame) -> DataFrame:
-    """What a window of attachment edits comes to (J11, T4, T6): global_id, phase, op.
-
-    basis and edits have a global_id (one row each per phase), size and content_type. Adds run first: one that is there and has not
-    moved is a repeat of an overlapping window and dropped, one that moved replaces, one that cannot be compared
-    replaces too. Updates see the adds; deletes see both. Edits of ids that are not there are unknown, not fatal (T10).
-    """
-    old = basis.select("global_id", F.col("size").alias("_size"), F.col("content_type").alias("_type"), F.lit(True).alias("_there"))
-    state = moved(F.col("_size"), F.col("size"), F.col("_type"), F.col("content_type"))
-    op = F.when(F.col("_there").isNull(), "add").when(state.isNull(), "replace_unseen").when(state, "replace").otherwise("repeat")
-    added = adds.join(old, "global_id", "left").select("global_id", F.lit("adds").alias("phase"), op.alias("op"))
-    after_adds = old.select("global_id", F.lit(True).alias("_there")).unionByName(adds.select("global_id", F.lit(True).alias("_there"))).distinct()
-    known = F.col("_there").isNotNull()
-    updated = updates.select("global_id").join(after_adds, "global_id", "left").select("global_id", F.lit("updates").alias("phase"), F.when(known, "replace").otherwise("unknown").alias("op"))
-    deleted = deletes.select("global_id").join(after_adds, "global_id", "left").select("global_id", F.lit("deletes").alias("phase"), F.when(known, "delete").otherwise("unknown").alias("op"))
-    return added.unionByName(updated).unionByName(deleted)
-
-
 def loaded_copies(ops: DataFrame, loaded: DataFrame) -> DataFrame:
     """Operations with the number of loaded copies they can mean (J23): none, one or many by (feature_id, name)."""
     held = loaded.groupBy("feature_id", "name").agg(F.count("*").alias("_n"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import attachment_feed as feed
 from ..operators import pairing
 from ..session import table
 from ..sources import logs
@@ -41,22 +42,60 @@ def attachment_diff(spark, sf_dir):
     return pairing.attachment_diff(derive(spark, sf_dir, BASIS), derive(spark, sf_dir, LISTED), parents)
 
 
-EDITS = "SELECT CAST(event_id AS STRING) AS global_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE CAST(event_id % 50 + {shift} AS BIGINT) END AS size, CAST(NULL AS STRING) AS content_type FROM {{events}} WHERE event_id % 10 {window}"
-FEED_BASIS = EDITS.format(shift="0", window="< 5")
-ADDS = EDITS.format(shift="CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END", window="BETWEEN 4 AND 7")
-UPDATES = EDITS.format(shift="0", window="IN (7, 8)")
-DELETES = EDITS.format(shift="0", window="IN (0, 9)")
+#: Forty events in a row are a dataset; few parents and names, so that names repeat, and ids of rows with other names.
+SAME = "CAST(floor(event_id / 40) AS BIGINT) AS dataset, {order}, {gid} AS global_id, user_id % 3 AS oid, {name} AS name"
+SIZED = "CASE WHEN event_id % 9 = 0 THEN NULL ELSE CAST(event_id % 4 AS BIGINT) END AS size, CASE WHEN event_id % 8 = 0 THEN 'image/png' END AS content_type"
+FEED_BASIS = f"SELECT {SAME.format(order='event_id AS pos', gid='CASE WHEN event_id % 5 <> 4 THEN CAST(event_id AS STRING) END', name='event_type')}, concat('f', user_id % 3) AS feature_id, {SIZED} FROM {{events}} WHERE event_id % 10 < 5"
+ADD_ID = "CASE event_id % 6 WHEN 0 THEN CAST(event_id AS STRING) WHEN 1 THEN CAST(event_id - event_id % 10 + 1 AS STRING) WHEN 2 THEN CAST(event_id - event_id % 40 + 2 AS STRING) WHEN 3 THEN CAST(event_id - 3 AS STRING) END"
+ADDS = f"SELECT {SAME.format(order='event_id AS seq', gid=ADD_ID, name='CASE WHEN event_id % 29 <> 0 THEN event_type END')}, CASE WHEN user_id % 11 <> 0 THEN concat('f', user_id % 3) END AS feature_id, {SIZED} FROM {{events}} WHERE event_id % 10 BETWEEN 3 AND 8"
+EDIT = "SELECT CAST(floor(event_id / 40) AS BIGINT) AS dataset, event_id AS seq, {gid} AS global_id, {more} FROM {{events}} WHERE event_id % 10 {window}"
+UPDATES = EDIT.format(gid="CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN CAST(event_id - event_id % 10 + 1 AS STRING) ELSE CAST(event_id - event_id % 5 AS STRING) END", more=f"event_type AS name, {SIZED}", window="IN (2, 6, 8, 9)")
+DELETES = EDIT.format(gid="CASE event_id % 3 WHEN 0 THEN CAST(event_id - event_id % 10 + 1 AS STRING) ELSE CAST(event_id AS STRING) END", more="0 AS nothing", window="IN (0, 3, 6, 9)")
+#: The edits in order, one add after the other; each takes from what those before it left.
+FEED_SQL = f"""
+WITH RECURSIVE b AS (SELECT *, global_id IS NOT NULL AND row_number() OVER (PARTITION BY dataset, global_id ORDER BY pos DESC) = 1 AS of_id FROM ({plain(FEED_BASIS)})),
+x AS ({plain(ADDS)}), u AS ({plain(UPDATES)}), d AS ({plain(DELETES)}), a AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY seq) AS i FROM x WHERE feature_id IS NOT NULL),
+run AS (
+  SELECT DISTINCT dataset, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS pos, CAST(0 AS BIGINT) AS same FROM a
+  UNION ALL
+  SELECT dataset, i, CASE WHEN COALESCE(by_id, by_name) IS NULL THEN used ELSE list_append(used, COALESCE(by_id, by_name)) END, COALESCE(by_id, by_name), CASE WHEN by_id IS NULL THEN same ELSE 1 END
+  FROM (SELECT dataset, i, used, by_id, CASE WHEN same = 1 THEN one END AS by_name, same FROM (
+    SELECT r.dataset, a.i, any_value(r.used) AS used, MIN(b.pos) FILTER (b.of_id AND b.global_id = a.global_id) AS by_id,
+           COUNT(b.pos) FILTER (b.oid = a.oid AND b.name = a.name) AS same, MIN(b.pos) FILTER (b.oid = a.oid AND b.name = a.name) AS one
+    FROM run r JOIN a ON a.dataset = r.dataset AND a.i = r.i + 1 LEFT JOIN b ON b.dataset = r.dataset AND NOT list_contains(r.used, b.pos) GROUP BY r.dataset, a.i))
+), j AS (
+  SELECT a.*, run.same > 1 AS crowded, b.pos AS held, b.global_id AS held_id, b.oid AS held_oid, b.name AS held_name, b.feature_id AS held_feature, b.size AS held_size, b.content_type AS held_type,
+         CASE WHEN (a.size IS NOT NULL AND b.size IS NOT NULL) OR (a.content_type IS NOT NULL AND b.content_type IS NOT NULL) THEN (a.size IS NOT NULL AND a.size IS DISTINCT FROM b.size) OR (a.content_type IS NOT NULL AND a.content_type IS DISTINCT FROM b.content_type) END AS m
+  FROM a JOIN run ON run.dataset = a.dataset AND run.i = a.i LEFT JOIN b ON b.dataset = a.dataset AND b.pos = run.pos
+), k AS (SELECT *, CASE WHEN crowded THEN 'ambiguous' WHEN held IS NULL THEN 'add' WHEN m IS NULL THEN 'replace_unseen' WHEN m THEN 'replace' ELSE 'repeat' END AS op, COALESCE(name, global_id, 'unnamed') AS said FROM j),
+entry AS (
+  SELECT dataset, seq, COALESCE(global_id, held_id) AS global_id, CASE WHEN op = 'repeat' THEN COALESCE(oid, held_oid) ELSE oid END AS oid, CASE WHEN held IS NULL THEN said ELSE held_name END AS name,
+         CASE WHEN held IS NULL THEN feature_id ELSE held_feature END AS feature_id, CASE WHEN op = 'repeat' THEN held_size ELSE size END AS size, CASE WHEN op = 'repeat' THEN held_type ELSE content_type END AS content_type, held_id
+  FROM k WHERE op <> 'ambiguous'
+), idx AS (
+  SELECT dataset, global_id, oid, name, feature_id, size, content_type FROM b WHERE of_id AND NOT EXISTS (SELECT 1 FROM entry e WHERE e.dataset = b.dataset AND b.global_id IN (e.held_id, e.global_id))
+  UNION ALL SELECT dataset, global_id, oid, name, feature_id, size, content_type FROM entry WHERE global_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY dataset, global_id ORDER BY seq DESC) = 1
+)"""
+
+
+@query("attachment_feed", f"""{FEED_SQL}
+SELECT dataset, 'adds' AS phase, seq, op, global_id, CASE WHEN held IS NULL THEN feature_id ELSE held_feature END AS feature_id, CASE WHEN held IS NULL THEN said ELSE held_name END AS name, held IS NOT NULL AND said <> held_name AS renamed FROM k
+UNION ALL SELECT dataset, 'adds', seq, 'orphan', global_id, NULL, COALESCE(name, global_id, 'unnamed'), false FROM x WHERE feature_id IS NULL
+UNION ALL SELECT u.dataset, 'updates', seq, CASE WHEN u.global_id IS NULL THEN 'no_id' WHEN idx.global_id IS NULL THEN 'unknown' ELSE 'replace' END, u.global_id, idx.feature_id, idx.name, COALESCE(u.name <> idx.name, false)
+  FROM u LEFT JOIN idx ON idx.dataset = u.dataset AND idx.global_id = u.global_id
+UNION ALL SELECT d.dataset, 'deletes', seq, CASE WHEN first THEN 'delete' ELSE 'unknown' END, d.global_id, CASE WHEN first THEN idx.feature_id END, CASE WHEN first THEN idx.name END, false
+  FROM (SELECT *, row_number() OVER (PARTITION BY dataset, global_id ORDER BY seq) AS nth FROM d) d LEFT JOIN idx ON idx.dataset = d.dataset AND idx.global_id = d.global_id, LATERAL (SELECT idx.global_id IS NOT NULL AND nth = 1 AS first)
+""")
+def attachment_feed(spark, sf_dir):
+    return feed.attachment_feed(*[derive(spark, sf_dir, sql) for sql in (FEED_BASIS, ADDS, UPDATES, DELETES)]).results
 
 
-@query("attachment_feed", f"""
-WITH b AS ({plain(FEED_BASIS)}), a AS ({plain(ADDS)}), u AS ({plain(UPDATES)}), d AS ({plain(DELETES)}), known AS (SELECT global_id FROM b UNION SELECT global_id FROM a)
-SELECT global_id, phase, CASE WHEN NOT there THEN 'add' WHEN m IS NULL THEN 'replace_unseen' WHEN m THEN 'replace' ELSE 'repeat' END AS op
-FROM (SELECT a.global_id, 'adds' AS phase, b.global_id IS NOT NULL AS there, {moved_sql('b.size', 'a.size', 'b.content_type', 'a.content_type')} AS m FROM a LEFT JOIN b ON a.global_id = b.global_id)
-UNION ALL SELECT global_id, 'updates', CASE WHEN global_id IN (SELECT global_id FROM known) THEN 'replace' ELSE 'unknown' END FROM u
-UNION ALL SELECT global_id, 'deletes', CASE WHEN global_id IN (SELECT global_id FROM known) THEN 'delete' ELSE 'unknown' END FROM d
+@query("attachment_feed_index", f"""{FEED_SQL}, fresh AS (SELECT dataset, global_id, arg_max(size, seq) FILTER (size IS NOT NULL) AS size, arg_max(content_type, seq) FILTER (content_type IS NOT NULL) AS content_type FROM u GROUP BY 1, 2)
+SELECT idx.dataset, idx.global_id, oid, name, feature_id, COALESCE(fresh.size, idx.size) AS size, COALESCE(fresh.content_type, idx.content_type) AS content_type
+FROM idx LEFT JOIN fresh ON fresh.dataset = idx.dataset AND fresh.global_id = idx.global_id WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.dataset = idx.dataset AND d.global_id = idx.global_id)
 """)
-def attachment_feed(spark, sf_dir):
-    return pairing.attachment_feed(*[derive(spark, sf_dir, sql) for sql in (FEED_BASIS, ADDS, UPDATES, DELETES)])
+def attachment_feed_index(spark, sf_dir):
+    return feed.attachment_feed(*[derive(spark, sf_dir, sql) for sql in (FEED_BASIS, ADDS, UPDATES, DELETES)]).index
 
 
 LOADED = "SELECT user_id AS feature_id, event_type AS name, CAST(event_id AS STRING) AS payload FROM {events} WHERE event_id % 7 = 0"

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash, feature_id
 from ..operators import batches, diff, tally
-from ..session import shared_folder, table
+from ..session import own_place, table
 from ..streaming import classify
 from .base import derive, plain, query
 
@@ -245,9 +244,9 @@ def _event_stream(spark, sf_dir):
 @query("stream_classify", STATES_SQL)
 def stream_classify(spark, sf_dir):
     """The same classification by a streaming job that keeps the state of every key; it runs until the table is read."""
-    out = f"{shared_folder(spark)}/classified-{uuid.uuid4().hex}"
+    out = own_place(spark, "classified")
     stream = _states(_event_stream(spark, sf_dir))
-    run = classify.classify_stream(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start(out)
+    run = classify.classify_stream(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", own_place(spark, "state")).trigger(availableNow=True).start(out)
     run.awaitTermination()
     return spark.read.schema("key bigint, seq bigint, op string").parquet(out)
 
@@ -258,9 +257,9 @@ SELECT CAST(key AS BIGINT) AS key, hash FROM l WHERE seq % 6 <> 0 UNION ALL SELE
 """)
 def stream_deltas(spark, sf_dir):
     """Events as edits and deletes of the customers' states, written as deltas by a streaming job; the table after them."""
-    out = f"{shared_folder(spark)}/deltas-{uuid.uuid4().hex}"
+    out = own_place(spark, "deltas")
     op = F.when(F.col("event_id") % 6 == 0, "delete").otherwise("update")
     stream = _event_stream(spark, sf_dir).select(F.col("user_id").cast("long").alias("key"), F.col("event_type").alias("hash"), F.col("event_id").alias("seq"), op.alias("op"))
-    classify.write_deltas(stream, out, f"{out}-state").start().awaitTermination()
+    classify.write_deltas(stream, out, own_place(spark, "state")).start().awaitTermination()
     base = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("key"), F.col("c_name").alias("hash"))
     return classify.after_deltas(base, out, ["key"], ["hash"], ["seq"])

@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from .. import runs
 from ..functions import text
 from ..operators import catalog, pairing, tally
-from ..session import shared_folder, table
+from ..session import own_place, table
 from ..sources import definitions, landed, logs, sinks
 from .base import derive, plain, query
 
 
-def _place(spark, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 @query("domain_parse", """
 SELECT p_partkey AS id, p_name AS field, p_type AS domain, CASE WHEN p_size % 4 = 0 THEN 'coded' ELSE 'range' END AS kind, CASE WHEN p_size % 4 = 0 THEN '1=one, 2=2' END AS codes,
   CASE p_size % 4 WHEN 1 THEN CAST(p_size AS DOUBLE) WHEN 2 THEN 0.5 END AS min, CASE p_size % 4 WHEN 1 THEN p_size + 1.0 WHEN 2 THEN 1.5 END AS max FROM part WHERE p_size % 4 < 3
@@ -90,7 +84,7 @@ def attachment_operations(spark, sf_dir):
 @query("operation_sink", "SELECT o_orderstatus AS dataset, o_orderkey AS id, CASE WHEN o_orderkey % 4 = 0 THEN 'delete' ELSE 'insert' END AS type FROM orders")
 def operation_sink(spark, sf_dir):
     """Operations written as JSON lines in a folder per dataset, and read back by the strict reader."""
-    path, key = _place(spark, "operations"), F.col("o_orderkey")
+    path, key = own_place(spark, "operations"), F.col("o_orderkey")
     ops = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("dataset"), key.cast("string").alias("feature_id"), F.when(key % 4 == 0, "delete").otherwise("insert").alias("type"))
     logs.write_operations(ops, path)
     lines = spark.read.text(f"{path}/*").select("value", F.regexp_extract(F.col("_metadata.file_path"), "dataset=([^/]+)/", 1).alias("folder"))
@@ -101,7 +95,7 @@ def operation_sink(spark, sf_dir):
 
 @query("key_index_file", "SELECT CAST(o_orderkey AS VARCHAR) AS oid, 'f' || o_orderkey AS feature_id, CAST(o_custkey AS BIGINT) AS hash FROM orders")
 def key_index_file(spark, sf_dir):
-    path, key = _place(spark, "index"), F.col("o_orderkey").cast("string")
+    path, key = own_place(spark, "index"), F.col("o_orderkey").cast("string")
     table(spark, sf_dir, "orders").select(key.alias("oid"), F.concat(F.lit("f"), key).alias("feature_id"), F.col("o_custkey").cast("long").alias("hash")).write.json(path)
     return logs.read_index(spark, path)
 
@@ -109,7 +103,7 @@ def key_index_file(spark, sf_dir):
 @query("key_index_bad_lines", "SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS line, 'bad ' || o_orderkey AS value FROM orders QUALIFY o_orderkey % 50 = 0")
 def key_index_bad_lines(spark, sf_dir):
     """An index in one file, in order of key, with a line that is no entry for every fiftieth key and blank lines among the others."""
-    path, key = _place(spark, "index"), F.col("o_orderkey").cast("string")
+    path, key = own_place(spark, "index"), F.col("o_orderkey").cast("string")
     line = F.when(F.col("o_orderkey") % 50 == 0, F.concat(F.lit("bad "), key)).when(F.col("o_orderkey") % 7 == 0, " ").otherwise(F.to_json(F.struct(key.alias("oid"), key.alias("feature_id"), F.lit(1).alias("hash"))))
     table(spark, sf_dir, "orders").select("o_orderkey", line.alias("value")).orderBy("o_orderkey").coalesce(1).select("value").write.text(path)
     return logs.bad_index_lines(spark, path).select("line", "value")
@@ -118,7 +112,7 @@ def key_index_bad_lines(spark, sf_dir):
 @query("attachment_index_file", "SELECT CAST(event_id AS VARCHAR) AS global_id, event_type AS name, CAST(event_id % 97 AS BIGINT) AS size FROM events")
 def attachment_index_file(spark, sf_dir):
     """An attachment index that is read back, with one that is not there."""
-    path = _place(spark, "attachment-index")
+    path = own_place(spark, "attachment-index")
     table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("global_id"), F.col("event_type").alias("name"), (F.col("event_id") % 97).alias("size")).write.json(path)
     both = logs.read_attachment_index(spark, path).unionByName(logs.read_attachment_index(spark, f"{path}-none"))
     return both.select("global_id", "name", "size")
@@ -127,7 +121,7 @@ def attachment_index_file(spark, sf_dir):
 @query("manifest_file", "SELECT p_brand AS name, COUNT(*) AS n FROM part GROUP BY 1")
 def manifest_file(spark, sf_dir):
     """The datasets of a manifest: a plan with a row per brand, written as one document and read by the strict reader."""
-    path = _place(spark, "manifest")
+    path = own_place(spark, "manifest")
     datasets = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("name")).agg(F.count("*").alias("n")).withColumn("schema", F.lit("s"))
     none = spark.createDataFrame([], "name string"), spark.createDataFrame([], "seq long, item string")
     logs.manifest_row(datasets, *none, "part", False).write.text(path)
@@ -167,7 +161,7 @@ def commit_totals(spark, sf_dir):
 def commit_bodies(spark, sf_dir):
     """Operations written in commits and read out of their bodies again: each is in one commit."""
     ops = table(spark, sf_dir, "orders").select(F.concat("o_orderpriority", F.lit("/"), F.floor(F.col("o_orderkey") / 5000).cast("string")).alias("shard"), F.col("o_orderpriority").alias("dataset"), F.col("o_orderkey").cast("long").alias("seq"), F.col("o_orderstatus").alias("status"))
-    commits = sinks.commit_batches(ops, _place(spark, "commits"), shard="shard", most_rows=50)
+    commits = sinks.commit_batches(ops, own_place(spark, "commits"), shard="shard", most_rows=50)
     line = commits.select(F.explode(F.split("body", "\n")).alias("line"))
     return line.select(F.from_json("line", "dataset string, seq bigint, status string").alias("o")).select("o.*")
 
@@ -175,14 +169,14 @@ def commit_bodies(spark, sf_dir):
 @query("kept_originals", "SELECT s_suppkey AS oid, CAST(s_nationkey AS INTEGER) AS srid, s_name AS text FROM supplier WHERE s_suppkey % 3 <> 0")
 def kept_originals(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("oid"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_name").cast("binary")).alias("shape"), F.col("s_nationkey").cast("int").alias("srid"), F.lit(None).cast("string").alias("wkt"))
-    kept = sinks.keep_originals(rows, _place(spark, "originals"), "oid", "shape", "srid", "wkt")
+    kept = sinks.keep_originals(rows, own_place(spark, "originals"), "oid", "shape", "srid", "wkt")
     return kept.select("oid", F.col("native_srid").alias("srid"), F.col("native_geometry").cast("string").alias("text"))
 
 
 @query("blob_files", "SELECT p_brand || '/' || (row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1) || '-' || regexp_replace(p_name, '[^A-Za-z0-9._-]', '_', 'g') AS file, p_type AS payload FROM (SELECT replace(p_brand, '#', '_') AS p_brand, p_partkey, p_name, p_type FROM part)")
 def blob_files(spark, sf_dir):
     blobs = table(spark, sf_dir, "part").select(F.replace("p_brand", F.lit("#"), F.lit("_")).alias("dataset"), F.col("p_partkey").alias("feature_id"), F.col("p_name").alias("name"), F.col("p_type").cast("binary").alias("payload"))
-    return logs.write_blobs(blobs, _place(spark, "blobs")).select("file", F.col("payload").cast("string").alias("payload"))
+    return logs.write_blobs(blobs, own_place(spark, "blobs")).select("file", F.col("payload").cast("string").alias("payload"))
 
 
 @query("report_json", "SELECT p_partkey AS seq, p_name AS location, p_brand AS kind, CASE WHEN p_size % 2 = 0 THEN 'none' END AS reason FROM part")

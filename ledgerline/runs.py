@@ -95,5 +95,5 @@ def attachment_counts(results: DataFrame) -> DataFrame:
     count = lambda *ops: F.count_if(F.col("op").isin(*ops))
     return results.agg(
         count("add").alias("added"), count("replace", "replace_unseen").alias("replaced"), count("delete").alias("deleted"),
-        count("unchanged", "repeat").alias("unchanged"), count("ambiguous", "refused", "orphan", "unknown", "incomparable").alias("refused"),
+        count("unchanged", "repeat").alias("unchanged"), count("ambiguous", "refused", "orphan", "unknown", "no_id", "no_ids", "incomparable").alias("refused"),
     )
