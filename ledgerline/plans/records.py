@@ -411,3 +411,61 @@ def run_increment(spark, sf_dir):
     first = orders.where("key % 20 <> 0").withColumn("v", F.when(F.col("key") % 7 == 0, F.col("v") + 1).otherwise(F.col("v")))
     index = runs.extract(first, ["v"], "run 1").index
     return runs.increment(index, orders.where("key % 33 <> 0"), ["v"], "run 2").operations.select("dataset", "key", "op")
+
+
+#: Three states of a document's text, of 100 to 3,200 letters, and the bytes that an operation may have.
+TEXTS = "SELECT source AS dataset, doc_id AS key, {length} AS n FROM documents WHERE {there}"
+MOST_BYTES = 2000
+LENGTHS = {
+    1: ("CAST(100 + n_chars % 50 + CASE WHEN doc_id % 5 = 0 THEN 3000 ELSE 0 END AS INTEGER)", "true"),
+    2: ("CAST(100 + n_chars % 50 + doc_id % 2 + CASE WHEN doc_id % 4 = 0 THEN 3000 ELSE 0 END AS INTEGER)", "doc_id % 11 <> 0"),
+    3: ("CAST(100 + n_chars % 50 + doc_id % 3 + CASE WHEN doc_id % 7 = 0 THEN 3000 ELSE 0 END AS INTEGER)", "doc_id % 13 <> 0"),
+}
+
+
+def _state(n: int) -> str:
+    return TEXTS.format(length=LENGTHS[n][0], there=LENGTHS[n][1])
+
+
+@query("run_chain", f"""
+WITH fit AS (SELECT {MOST_BYTES} - length('{{"op":"insert","dataset":"","feature_id":"","v":""}}') - 36 AS most),
+a AS ({_state(1)}), b AS ({_state(2)}), c AS ({_state(3)}), k AS (SELECT source AS dataset, doc_id AS key FROM documents),
+one AS (SELECT k.*, CASE WHEN a.n + length(k.dataset) <= most THEN a.n END AS held FROM k JOIN a ON k.key = a.key, fit),
+two AS (SELECT one.dataset, one.key, one.held, b.n, b.n + length(one.dataset) <= most AS fits FROM one LEFT JOIN b ON one.key = b.key, fit),
+after_two AS (SELECT dataset, key, held AS before, CASE WHEN n IS NULL THEN NULL WHEN fits THEN n ELSE held END AS held, n, fits FROM two),
+three AS (SELECT t.dataset, t.key, t.held AS before, c.n, c.n + length(t.dataset) <= most AS fits, t.key % 3 <> 1 AS touched, t.key % 4 = 1 AS gone FROM after_two t LEFT JOIN c ON t.key = c.key, fit)
+SELECT 1 AS run, dataset, key, 'insert' AS op FROM one WHERE held IS NOT NULL
+UNION ALL SELECT 2, dataset, key, CASE WHEN n IS NULL THEN 'delete' WHEN before IS NULL THEN 'insert' ELSE 'update' END FROM after_two
+  WHERE (n IS NULL AND before IS NOT NULL) OR (n IS NOT NULL AND fits AND n IS DISTINCT FROM before)
+UNION ALL SELECT 3, dataset, key, CASE WHEN before IS NULL THEN 'insert' ELSE 'update' END FROM three WHERE touched AND n IS NOT NULL AND fits AND n IS DISTINCT FROM before
+UNION ALL SELECT 3, dataset, key, 'delete' FROM three WHERE gone AND before IS NOT NULL AND NOT (touched AND n IS NOT NULL)
+""")
+def run_chain(spark, sf_dir):
+    """A full run, an increment on it by comparison, and one on that by a change feed; some rows are too large in some of them."""
+    docs = table(spark, sf_dir, "documents")
+    docs.createOrReplaceTempView("documents_of_runs")
+    states = [spark.sql(_state(n).replace("FROM documents", "FROM documents_of_runs")).select("dataset", "key", F.repeat(F.lit("x"), "n").alias("v")) for n in LENGTHS]
+    keys = docs.select(F.col("source").alias("dataset"), F.col("doc_id").alias("key"))
+    chain = runs.Chain(spark, own_place(spark, "runs"))
+    found = [chain.full(states[0], ["v"], "run 1", MOST_BYTES), chain.next(states[1], ["v"], "run 2", MOST_BYTES)]
+    found.append(chain.next(states[2], ["v"], "run 3", MOST_BYTES, keys.where("key % 3 <> 1"), keys.where("key % 4 = 1")))
+    every = [e.operations.select(F.lit(n + 1).alias("run"), "dataset", "key", "op") for n, e in enumerate(found)]
+    return every[0].unionByName(every[1]).unionByName(every[2])
+
+
+@query("run_chain_target", f"""
+WITH fit AS (SELECT {MOST_BYTES} - length('{{"op":"insert","dataset":"","feature_id":"","v":""}}') - 36 AS most),
+a AS ({_state(1)}), b AS ({_state(2)}),
+one AS (SELECT a.*, CASE WHEN a.n + length(a.dataset) <= most THEN a.n END AS held FROM a, fit)
+SELECT one.dataset, one.key, CAST(CASE WHEN b.n + length(one.dataset) <= most THEN b.n ELSE held END AS INTEGER) AS n FROM one JOIN b ON one.key = b.key, fit WHERE b.n + length(one.dataset) <= most OR held IS NOT NULL
+""")
+def run_chain_target(spark, sf_dir):
+    """What the target holds after two runs, read from its versions before and after its deltas are made one."""
+    docs = table(spark, sf_dir, "documents")
+    docs.createOrReplaceTempView("documents_of_runs")
+    states = [spark.sql(_state(n).replace("FROM documents", "FROM documents_of_runs")).select("dataset", "key", F.repeat(F.lit("x"), "n").alias("v")) for n in (1, 2)]
+    chain = runs.Chain(spark, own_place(spark, "runs"))
+    chain.full(states[0], ["v"], "run 1", MOST_BYTES)
+    chain.next(states[1], ["v"], "run 2", MOST_BYTES)
+    chain.compact()
+    return chain.target().join(chain.index().select("dataset", "feature_id", "key"), ["dataset", "feature_id"]).select("dataset", "key", F.length("v").alias("n"))
