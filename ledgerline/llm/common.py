@@ -61,14 +61,15 @@ def dropped(*tables: DataFrame) -> None:
         folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def dealt_apart(many: DataFrame, few: DataFrame, key: str, by: list[str], salts: int = 16) -> DataFrame:
+def dealt_apart(many: DataFrame, few: DataFrame, key: str | list[str], by: list[str], salts: int = 16) -> DataFrame:
     """Left join of many rows to at most one row a key, where a key may hold a large share of the rows.
 
     The rows of a key are dealt to `salts` tasks by a hash of the columns `by` and by the task that they come from.
     """
+    keys = [key] if isinstance(key, str) else key
     salt = F.pmod(F.xxhash64(*by) + F.spark_partition_id(), F.lit(salts)).cast("int")
     copies = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return many.withColumn("__salt", salt).join(copies, [key, "__salt"], "left").drop("__salt")
+    return many.withColumn("__salt", salt).join(copies, [*keys, "__salt"], "left").drop("__salt")
 
 
 def removed_at_exit(spark: SparkSession, path: str) -> None:

@@ -95,18 +95,18 @@ def top_by_inner_product(table: DataFrame, k: int = 10, every: int = 100, scale:
     Candidates are all rows but the query's own, ties go to the smaller id; with fewer than k, all are
     returned. Vectors that are null or hold null or non-finite components take no part (vectors.usable);
     zero vectors do. Equal rows (id and vector) count as one; rows of one id with different vectors are queries
-    each (query_id and rank repeat then) and candidates each. Products beyond 64 bits raise. Rows are dealt into even
+    each (query_id and rank repeat then) and candidates each; vectors meet those of their own length. Products beyond 64 bits raise. Rows are dealt into even
     blocks by a hash of the row and each block of queries meets each block of rows once: a stated query set against all rows.
     """
     rows = usable(table, id_col, vector_col, zero=True)
-    rows = rows.select("vec_id", F.transform("v", lambda x: F.floor(x * scale)).alias("v"))
+    rows = rows.select("vec_id", F.transform("v", lambda x: F.floor(x * scale)).alias("v"), "width")
     rows = materialize(rows, "integers")
     counts = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0)).first()
     row_blocks, query_blocks = max(1, -(-counts[0] // CANDIDATES)), max(1, -(-counts[1] // QUERIES))
     block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(row_blocks)).cast("int")
     query_block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(query_blocks)).cast("int")
-    dealt = rows.select("vec_id", "v", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"))
-    asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "v", F.xxhash64("v").alias("query"), query_block.alias("query_block"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("block"))
+    dealt = rows.select("vec_id", "v", "width", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"))
+    asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "v", "width", F.xxhash64("v").alias("query"), query_block.alias("query_block"), F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("block"))
 
     def top(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [np.zeros(0, np.int64)] * 4
@@ -116,7 +116,7 @@ def top_by_inner_product(table: DataFrame, k: int = 10, every: int = 100, scale:
             out = [query_ids[q], right.column("query").combine_chunks().to_numpy()[q], ids, score]
         return pa.table({name: pa.array(x, pa.int64()) for name, x in zip(("query_id", "query", "vec_id", "score"), out)})
 
-    pair = ["block", "query_block"]
+    pair = ["width", "block", "query_block"]
     best = dealt.groupBy(*pair).cogroup(asked.groupBy(*pair)).applyInArrow(top, "query_id bigint, query bigint, vec_id bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -10,6 +10,7 @@ blocks, distances in them are exact, and the nearest of all blocks win.
 from __future__ import annotations
 
 import heapq
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -90,10 +91,18 @@ def nearest(
     candidate. Vectors that are null, zero or not finite take no part (see vectors.usable). Equal vectors are
     indexed once and answered for all their ids; with fewer candidates than k, all are returned. The trees are
     fitted on at most `sample` distinct vectors, but every vector is indexed. Equal rows (id and vector) count as
-    one; rows of one id with different vectors are queries each (query_id and rank repeat then).
+    one; rows of one id with different vectors are queries each (query_id and rank repeat then). Vectors of different lengths
+    have no distance: each length has a forest of its own.
     """
-    spark = table.sparkSession
     rows = usable(table, id_col, vector_col, zero=False)
+    widths = sorted(r[0] for r in rows.select("width").distinct().collect())  # one row a vector length
+    found = [_nearest(rows.where(F.col("width") == w).drop("width"), k, every, share, trees, sample) for w in widths]
+    return reduce(DataFrame.unionByName, found) if found else table.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+
+
+def _nearest(rows: DataFrame, k: int, every: int, share: float, trees: int, sample: int) -> DataFrame:
+    """nearest() over usable rows of one length."""
+    spark = rows.sparkSession
     vectors = materialize(distinct_vectors(rows, k + 1), "vectors")
     n = vectors.count()
     depth = max(0, min(DEEPEST, int(np.log2(max(1, n / LEAF))), int(np.log2(max(1, min(n, sample) / 16)))))

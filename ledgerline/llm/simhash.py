@@ -196,18 +196,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(a, root): for every linked value the least value that it reaches, by alternating small and large stars.
 
     The small star comes first: it hangs what many values link to on the least of it, so a dense group of links
-    shrinks to about one per value before edges are looked at from both ends.
+    shrinks to about one per value before edges are looked at from both ends. The edges of one value are dealt to several tasks.
     """
     edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _size(edges)
     while before[0]:
         least = edges.groupBy("a").agg(F.min("b").alias("least"))
-        own = edges.join(least, "a")
+        own = dealt_apart(edges, least, "a", ["b"])
         small = own.select(F.col("a"), F.col("least").alias("b")).unionByName(own.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))).distinct()
         small = materialize(small, "edges")
         both = small.unionByName(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        large = dealt_apart(both, least, "a", ["b"]).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = materialize(large.distinct(), "edges")
         dropped(edges, small)
         edges, now = large, _size(large)
@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4, id_col: str
     rooted = components(links(distinct.select("fp"), bits, crowd)).withColumnRenamed("a", "fp")
     grouped = distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = grouped.join(names, "root").select("fp", "component_id")
+    named = dealt_apart(grouped, names, "root", ["fp"]).select("fp", "component_id")
     return dealt_apart(prints, named, "fp", ["doc_id"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

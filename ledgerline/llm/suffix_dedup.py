@@ -265,6 +265,12 @@ def _cut(batch: int, table: pa.Table, got: dict, window: int, keep_first: bool,
         np.add.at(steps, ends, -1)
     covered = np.zeros(n + 2, np.int8)
     covered[1:-1] = np.cumsum(steps[:-1]) > 0
+    if as_text and n:  # a character goes only with all of its bytes
+        lead = (places.raw & 0xC0) != 0x80
+        lead[places.offsets[:-1][np.diff(places.offsets) > 0]] = True
+        begins = np.flatnonzero(lead)
+        whole = np.minimum.reduceat(covered[1:-1], begins)
+        covered[1:-1] = np.repeat(whole, np.diff(np.append(begins, n)))
     edges = np.diff(covered)
     opens, closes = edges[:-1] == 1, edges[1:] == -1
     inner = places.offsets[1:-1]  # a span ends with its document
@@ -286,7 +292,7 @@ def _cut(batch: int, table: pa.Table, got: dict, window: int, keep_first: bool,
             kept.append(b"".join([raw[x:y] for x, y in zip(edges_of[::2], edges_of[1::2])]))
         else:
             kept.append(raw[a:b])
-    own = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+    own = pa.array([x.decode("utf-8", "replace") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
     columns = [table.column("doc_id").combine_chunks(), pa.array(np.diff(places.offsets), pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, SPANS), own]
     along = [name for name in table.column_names if name.startswith("carry_")]
     yield pa.RecordBatch.from_arrays([*columns, *[table.column(name).combine_chunks() for name in along]], [*RESULT_NAMES, *along])
@@ -309,7 +315,7 @@ def suffix_dedup(
     Texts are UTF-8 bytes (null: empty) and matches stay inside a document; both places of a match may lie
     in one document and may overlap. Strings are judged on the input. Per row: doc_id, n_bytes, n_removed,
     spans (maximal removed runs of bytes, from first up to stop) and kept (the other bytes, which may begin
-    or end inside a character; as_text: a string without such torn characters), then the columns named in
+    or end inside a character; as_text: a string, where a character goes only with all of its bytes), then the columns named in
     carry under their own names. Without keep_first every copy goes, so repeated rows of a window or more lose
     all their text. Other columns are not read.
     """

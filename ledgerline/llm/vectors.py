@@ -9,19 +9,17 @@ from pyspark.sql import functions as F
 
 
 def usable(table: DataFrame, id_col: str, vector_col: str, zero: bool) -> DataFrame:
-    """vec_id and v (array of doubles): vectors that are not null and hold finite numbers only; zero ones if wanted.
+    """vec_id, v (array of doubles) and width: vectors that are not null and hold finite numbers only; zero ones if wanted.
 
-    Equal rows (id and vector) come once. Vectors of another length than most have (the shorter of two equally frequent
-    lengths) have no distance or product with those, and take no part; nor do null ids.
+    Equal rows (id and vector) come once; null ids take no part. Vectors of different lengths have no distance or product:
+    each is to meet those of its own length (width).
     """
     rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("vec_id is not null and size(v) > 0")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(finite)
     if not zero:
         rows = rows.where(F.exists("v", lambda x: x != 0))
-    lengths = rows.groupBy(F.size("v").alias("width")).count()
-    width = lengths.orderBy(F.desc("count"), "width").select("width").limit(1).collect()
-    return rows.where(F.size("v") == (width[0][0] if width else 0)).distinct()
+    return rows.withColumn("width", F.size("v")).distinct()
 
 
 def distinct_vectors(rows: DataFrame, most: int, salts: int = 64) -> DataFrame:

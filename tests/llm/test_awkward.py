@@ -6,7 +6,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, packing, quality, queries, simhash, similar_sets, substring_dedup, suffix_dedup, token_files, url_filter
+from ledgerline.llm import byte_bpe, exact_topk, hard_negatives, packing, projection_forest, quality, queries, simhash, similar_sets, substring_dedup, suffix_dedup, token_files, url_filter
 
 #: Names that operators use or return; all are strings here.
 CLASHING = (
@@ -52,6 +52,16 @@ def test_similar_sets_leave_out_null_ids_only(spark, awkward):
     assert found == {(1, 1), (2, 2), (3, 2), (4, 4)}
 
 
+@pytest.mark.parametrize("search", ["nearest", "top_by_inner_product", "hard_negatives"])
+def test_vectors_with_clashing_columns(spark, search):
+    run = {"nearest": projection_forest.nearest, "top_by_inner_product": exact_topk.top_by_inner_product, "hard_negatives": hard_negatives.hard_negatives}[search]
+    rows = [(i, [float(i % 7), 1.0, float(i % 3)], i % 3) for i in range(120)] + [(None, [1.0] * 3, 1), (100, [1.0] * 3, None), (200, None, 1)]
+    plain = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    clash = "v width query query_id block query_block rank score first ids nth leaf tree uid place least most low high n g z x".split()
+    found = [sorted(map(str, run(df).collect())) for df in (plain, plain.withColumns({name: F.lit("clash") for name in clash}))]
+    assert found[0] == found[1] and found[0]
+
+
 def test_urls_with_clashing_columns_ties_and_long_pages(spark):
     rows = [(1, "http://a.com/x", "<a href='http://b.org'>" * 50_000), (1, "http://a.com/x", None), (None, None, None), (2, "http://b.org/" + "p" * 500_000, ""), (3, "http://both.net/es/", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({name: F.lit("clash") for name in "host path rule rules verdict trust distrust links fit by_rule salt up src dst weight".split()})

@@ -111,8 +111,8 @@ def test_suffix_dedup_is_exact(spark, hot_above):
     assert suffix_dedup.suffix_dedup(corpus(spark, [])).count() == 0
 
 
-def later_bytes_removed(texts, window):
-    """Of texts in order: every byte covered by a window that also starts at an earlier place."""
+def later_bytes_removed(texts, window, characters=False):
+    """Of texts in order: every byte covered by a window that also starts at an earlier place; of characters only whole ones."""
     seen, out = set(), []
     for raw in texts:
         gone = np.zeros(len(raw), bool)
@@ -120,6 +120,11 @@ def later_bytes_removed(texts, window):
             if raw[i : i + window] in seen:
                 gone[i : i + window] = True
             seen.add(raw[i : i + window])
+        at = 0
+        for c in raw.decode() if characters else "":
+            stop = at + len(c.encode())
+            gone[at:stop] = gone[at:stop].all()
+            at = stop
         out.append(bytes(np.frombuffer(raw, np.uint8)[~gone]))
     return out
 
@@ -147,6 +152,15 @@ def test_suffix_dedup_keeps_the_first_copy_among_repeated_rows(spark):
     assert suffix_dedup.suffix_dedup(corpus(spark, []), keep_first=True).count() == 0
 
 
+def test_a_character_stays_with_any_of_its_bytes(spark):
+    shared = "".join(chr(0x4E00 + i) for i in range(80))
+    # the windows begin and end inside characters: their first and last bytes are those of others
+    rows = [(1, chr(0x4DFF) + shared + chr(0x4E7F)), (2, chr(0x4DFE) + shared + chr(0x4E7E)), (3, None), (4, "é" * 300 + "ê")]
+    found = {r["doc_id"]: r["kept"] for r in suffix_dedup.suffix_dedup(corpus(spark, rows), as_text=True, window=150, keep_first=True).collect()}
+    cut = later_bytes_removed([(t or "").encode() for _, t in rows], 150, characters=True)
+    assert found == {k: raw.decode() for (k, _), raw in zip(rows, cut)} and found[2] == chr(0x4DFE) + chr(0x4E7E)
+
+
 def test_suffix_dedup_takes_all_copies_and_torn_characters(spark):
     text = "".join(chr(0x4E00 + i) for i in range(200))
     rows = [(None, text), (1, text), (1, text), (2, "a" + text[:150] + "b" + text[:150])]

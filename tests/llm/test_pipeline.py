@@ -21,8 +21,8 @@ def near_and_repeats(texts):
     words = [(k, (t or "").lower().split()) for k, t in texts.items()]
     root, _ = by_brute_force(words)
     kept = {k: texts[k] or "" for k in sorted(texts) if root[k] == k}
-    cut = later_bytes_removed([t.encode() for t in kept.values()], corpus_pipeline.REPEAT)
-    return kept, {k: raw.decode("utf-8", "ignore") for k, raw in zip(kept, cut)}
+    cut = later_bytes_removed([t.encode() for t in kept.values()], corpus_pipeline.REPEAT, characters=True)
+    return kept, {k: raw.decode() for k, raw in zip(kept, cut)}
 
 
 def check_packing(rows, texts):

@@ -78,6 +78,17 @@ def test_equal_rows_are_one_query_and_one_candidate(spark):
     assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in found) == [(0, 1, 1), (0, 1, 2)]
 
 
+def test_vectors_meet_those_of_their_length(spark):
+    draw = np.random.default_rng(8)
+    rows = {w: [(1000 * w + i, draw.normal(size=w).astype(np.float32).tolist()) for i in range(n)] for w, n in ((4, 150), (6, 40), (3, 1))}
+    every = [row for own in rows.values() for row in own]
+    found = by_query(projection_forest.nearest(frame(spark, every), k=10, every=50, share=100.0).collect())
+    expected = {q: own for w in rows for q, own in nearest(rows[w], 10, 50).items() if own}
+    assert {q: [i for _, i, _ in own] for q, own in found.items()} == {q: [i for _, i, _ in own] for q, own in expected.items()}
+    found = by_query(exact_topk.top_by_inner_product(frame(spark, every), k=10, every=50).collect())
+    assert found == {q: own for w in rows for q, own in best(rows[w], 10, 50).items() if own}
+
+
 def test_queries_of_a_leaf_are_split(spark, monkeypatch):
     monkeypatch.setattr(projection_forest, "QUERIES", 3)
     monkeypatch.setattr(projection_forest, "SEARCHED_AT_ONCE", 2)
