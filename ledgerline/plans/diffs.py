@@ -216,22 +216,38 @@ def greedy_batches(spark, sf_dir):
     return batches.greedy_batches(pages, "shard", "page_id", "bytes", most_rows=50, most_bytes=60000)
 
 
-STATES_SQL = """
-WITH r AS (SELECT user_id AS key, event_id AS seq, event_type AS hash, event_id % 6 = 0 AS gone FROM events),
-b AS (SELECT *, lag(hash) OVER w AS h, lag(gone) OVER w AS g, lag(seq) OVER w AS s FROM r WINDOW w AS (PARTITION BY key ORDER BY seq))
-SELECT key, seq, CASE WHEN gone THEN CASE WHEN s IS NOT NULL AND NOT g THEN 'delete' ELSE 'unknown' END WHEN s IS NULL OR g THEN 'insert' WHEN h = hash THEN 'unchanged' ELSE 'update' END AS op FROM b
+def _states_sql(index: str) -> str:
+    """Events as states of (layer, user), after the entries of an index; each in the light of the one before it."""
+    return f"""
+WITH x AS ({index}), r AS (
+  SELECT user_id % 4 AS dataset, user_id AS oid, event_id AS seq, event_type AS hash, event_id % 6 = 0 AS gone, 'n' || event_id AS new_id FROM events
+  UNION ALL SELECT dataset, oid, -1, hash, false, feature_id FROM x),
+b AS (SELECT *, lag(hash) OVER w AS h, lag(gone) OVER w AS g, lag(seq) OVER w AS s FROM r WINDOW w AS (PARTITION BY oid ORDER BY seq)),
+j AS (SELECT *, CASE WHEN gone THEN CASE WHEN s IS NOT NULL AND NOT g THEN 'delete' ELSE 'unknown' END WHEN s IS NULL OR g THEN 'insert' WHEN h = hash THEN 'unchanged' ELSE 'update' END AS op FROM b)
+SELECT * FROM (SELECT dataset, oid, seq, op, CASE WHEN op <> 'unknown' THEN last_value(CASE WHEN op = 'insert' THEN new_id END IGNORE NULLS) OVER (PARTITION BY oid ORDER BY seq) END AS feature_id FROM j) WHERE seq >= 0
 """
 
 
+NO_INDEX = "SELECT 0 AS dataset, 0 AS oid, '' AS hash, '' AS feature_id WHERE false"
+USERS_INDEX = "SELECT DISTINCT user_id % 4 AS dataset, user_id AS oid, 'click' AS hash, concat('f', user_id) AS feature_id FROM {events} WHERE user_id % 3 <> 0"
+
+
 def _states(events):
-    return events.select(F.col("user_id").alias("key"), F.col("event_id").alias("seq"), F.col("event_type").alias("hash"), (F.col("event_id") % 6 == 0).alias("gone"))
+    return events.select(
+        (F.col("user_id") % 4).alias("dataset"), F.col("user_id").alias("oid"), F.col("event_id").alias("seq"), F.col("event_type").alias("hash"), (F.col("event_id") % 6 == 0).alias("gone"), F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("new_id")
+    )
 
 
-@query("batch_classify", STATES_SQL)
+@query("batch_classify", _states_sql(NO_INDEX))
 def batch_classify(spark, sf_dir):
     return classify.classify_batch(_states(table(spark, sf_dir, "events")))
 
 
+@query("batch_classify_index", _states_sql(plain(USERS_INDEX)))
+def batch_classify_index(spark, sf_dir):
+    return classify.classify_batch(_states(table(spark, sf_dir, "events")), derive(spark, sf_dir, USERS_INDEX))
+
+
 def _event_stream(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
@@ -241,14 +257,23 @@ def _event_stream(spark, sf_dir):
     return reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)  # a stream reads folders
 
 
-@query("stream_classify", STATES_SQL)
+def _streamed(spark, sf_dir, index=None):
+    out = own_place(spark, "classified")
+    found = classify.classify_stream(_states(_event_stream(spark, sf_dir)), index)
+    found.writeStream.format("parquet").outputMode("append").option("checkpointLocation", own_place(spark, "state")).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(found.schema).parquet(out)
+
+
+@query("stream_classify", _states_sql(NO_INDEX))
 def stream_classify(spark, sf_dir):
     """The same classification by a streaming job that keeps the state of every key; it runs until the table is read."""
-    out = own_place(spark, "classified")
-    stream = _states(_event_stream(spark, sf_dir))
-    run = classify.classify_stream(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", own_place(spark, "state")).trigger(availableNow=True).start(out)
-    run.awaitTermination()
-    return spark.read.schema("key bigint, seq bigint, op string").parquet(out)
+    return _streamed(spark, sf_dir)
+
+
+@query("stream_classify_index", _states_sql(plain(USERS_INDEX)))
+def stream_classify_index(spark, sf_dir):
+    """A stream that starts from a key index."""
+    return _streamed(spark, sf_dir, derive(spark, sf_dir, USERS_INDEX))
 
 
 @query("stream_deltas", """

@@ -4,57 +4,83 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-RESULT = "key long, seq long, op string"
-
-
-def _classify(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One key's states of a micro-batch, in order of seq (T2): the last hash is remembered as long as the key is there."""
-    rows = pd.concat(list(frames)).sort_values("seq", kind="stable")
-    known = state.get[0] if state.exists else None
-    ops = []
-    for hashed, gone in zip(rows["hash"].tolist(), rows["gone"].tolist()):
-        if gone:
-            ops.append("unknown" if known is None else "delete")
-            known = None
-        elif known is None:
-            ops.append("insert")
-            known = hashed
-        elif known == hashed:
-            ops.append("unchanged")  # also what a window that overlaps the last one replays (T4)
-        else:
-            ops.append("update")
-            known = hashed
-    if known is None:
-        if state.exists:
-            state.remove()
-    else:
-        state.update((known,))
-    yield pd.DataFrame({"key": key[0], "seq": rows["seq"].to_numpy(), "op": ops})
-
-
-def classify_stream(rows: DataFrame) -> DataFrame:
-    """key, seq and op of a stream of rows (key, seq, hash, gone).
-
-    The state is the whole key set by design, one hash per key, without a watermark: the index that an incremental
-    run carries forward. A delete of a key that is not there is unknown, not fatal.
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+#: The state store that a stateful processor needs: it keeps states on disk and what changed in the checkpoint.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+KEY = ["dataset", "oid"]
+STATE = "feature_id string, hash string"
+
+
+class Classifier(StatefulProcessor):
+    """What happened to one (dataset, oid) (T2): the state is the feature id and hash under which it is held, while it is there."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.held = handle.getValueState("held", STATE)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        """An entry of the key index; of several of one key the last one given counts."""
+        self.held.update((initialState["feature_id"], initialState["hash"]))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        was = self.held.get() if self.held.exists() else None
+        known = tuple(was) if was is not None else None
+        for row in sorted(rows, key=lambda r: r["seq"]):
+            state, before = row["hash"], known
+            if row["gone"]:
+                op, known = ("unknown" if known is None else "delete"), None
+            elif known is None:
+                op, known = "insert", (row["new_id"], state)
+            elif known[1] == state:
+                op = "unchanged"  # also what a window that overlaps the last one replays (T4)
+            else:
+                op, known = "update", (known[0], state)
+            yield Row(**dict(zip(KEY, key)), seq=row["seq"], op=op, feature_id=(known or before or (None,))[0])
+        if known is None and was is not None:
+            self.held.clear()
+        elif known is not None and known != (tuple(was) if was is not None else None):
+            self.held.update(known)
+
+    def close(self) -> None:
+        pass
+
+
+def classify_stream(rows: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """dataset, oid, seq, op and feature_id of a stream of rows (dataset, oid, seq, hash, gone, new_id).
+
+    The state is the whole key set by design, one entry per key in RocksDB, without a watermark: the index that an incremental
+    run carries forward. index (dataset, oid, feature_id, hash) seeds a stream that starts anew; a checkpoint goes on from its own.
+    A delete of a key that is not there is unknown, not fatal. An insert takes new_id, which is to be derived from what names the row.
     """
-    return rows.groupBy("key").applyInPandasWithState(_classify, RESULT, "hash string", "append", GroupStateTimeout.NoTimeout)
-
-
-def classify_batch(rows: DataFrame) -> DataFrame:
-    """The same answer from a table of all rows, by windows over each key's states."""
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("key").orderBy("seq")
-    before = F.lag(F.struct("hash", "gone")).over(order)
+    spark = rows.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    kinds = rows.schema
+    result = f"dataset {kinds['dataset'].dataType.simpleString()}, oid {kinds['oid'].dataType.simpleString()}, seq {kinds['seq'].dataType.simpleString()}, op string, feature_id string"
+    initial = index.select(*KEY, "feature_id", "hash").groupBy(*KEY) if index is not None else None
+    return rows.groupBy(*KEY).transformWithState(Classifier(), result, "Append", "None", initial)
+
+
+def held_states(spark, checkpoint: str) -> DataFrame:
+    """dataset, oid, feature_id and hash that a classifying stream holds, read from its checkpoint."""
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "held").load()
+    return state.select(*[F.col(f"key.{k}").alias(k) for k in KEY], "value.feature_id", "value.hash")
+
+
+def classify_batch(rows: DataFrame, index: DataFrame | None = None) -> DataFrame:
+    """The same answer from a table of all rows, by windows over each key's states; an index entry is the state before them all."""
+    order = Window.partitionBy(*KEY).orderBy("seq")
+    state = rows
+    if index is not None:
+        first = index.select(*KEY, F.lit(None).cast(rows.schema["seq"].dataType).alias("seq"), "hash", F.lit(False).alias("gone"), F.col("feature_id").alias("new_id"))
+        state = rows.select(*first.columns).unionByName(first)
+    before = F.lag(F.struct("hash", "gone")).over(order)  # a null seq comes first
     there = before.isNotNull() & ~before["gone"]
     op = F.when(F.col("gone"), F.when(there, "delete").otherwise("unknown")).when(~there, "insert").when(before["hash"] == F.col("hash"), "unchanged").otherwise("update")
-    return rows.withColumn("op", op).select("key", "seq", "op")
+    minted = F.last(F.when(F.col("op") == "insert", F.col("new_id")), ignorenulls=True).over(order)
+    named = state.withColumn("op", op).withColumn("feature_id", F.when(F.col("op") != "unknown", minted))
+    return named.where("seq is not null").select(*KEY, "seq", "op", "feature_id")
 
 
 def write_deltas(stream: DataFrame, out_path: str, checkpoint: str):
