@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from .common import materialize, shuffle_partitions
 from .vectors import matrix
 
-#: Rows of a block, zone maps planned at once, and anchors that meet a block or zone maps at once.
+#: Rows of a block, blocks that a task reads one after the other, zone maps planned at once, and anchors that meet these at once.
 BLOCK = 512
+GATHERED = 16
 ZONES = 1024
 ANCHORS = 1024
 #: Bits of each dimension that a place on the curve keeps.
@@ -201,26 +202,34 @@ FOUND_SCHEMA = pa.schema([("uid", pa.int64()), ("nth", pa.int32()), ("vec_id", p
 
 
 def _reader(k: int):
-    """From one block and anchors that read it: the k best rows of each window, ties to smaller ids."""
+    """From some blocks and the anchors that read them: the k best rows of each window, ties to smaller ids."""
+
+    def best(uid: np.ndarray, nth: np.ndarray, ids: np.ndarray, score: np.ndarray) -> list[np.ndarray]:
+        order = np.lexsort((ids, -score, nth, uid))
+        uid, nth, ids, score = uid[order], nth[order], ids[order], score[order]
+        fresh = np.ones(len(uid), bool)
+        fresh[1:] = (uid[1:] != uid[:-1]) | (nth[1:] != nth[:-1])
+        starts = np.flatnonzero(fresh)
+        rank = np.arange(len(uid)) - np.repeat(starts, np.diff(np.append(starts, len(uid))))
+        return [x[rank < k] for x in (uid, nth, ids, score)]
 
     def read(left: pa.Table, right: pa.Table) -> pa.Table:
         out = [np.zeros(0, np.int64)] * 4
-        for i in range(left.num_rows if right.num_rows else 0):
-            ids = np.frombuffer(left.column("ids")[i].as_py(), np.int64)
-            rows = np.frombuffer(left.column("components")[i].as_py(), np.int64).reshape(len(ids), -1)
-            own, uids = right.column("vec_id").to_numpy(), right.column("uid").to_numpy()
-            score = exact_product(matrix(right.column("v"), np.int64), rows)
-            lows, highs = _windows(right)
+        wanted = right.column("block").to_numpy()
+        for block, name, components in zip(*(left.column(c) for c in ("b", "ids", "components"))):
+            asking = right.take(pa.array(np.flatnonzero(wanted == block.as_py())))
+            ids = np.frombuffer(name.as_py(), np.int64)
+            rows = np.frombuffer(components.as_py(), np.int64).reshape(len(ids), -1)
+            own, uids = asking.column("vec_id").to_numpy(), asking.column("uid").to_numpy()
+            score = exact_product(matrix(asking.column("v"), np.int64), rows)
+            lows, highs = _windows(asking)
             other = ids[None, :] != own[:, None]
             for w in range(lows.shape[1]):
                 a, b = np.nonzero(other & (score >= lows[:, w : w + 1]) & (score <= highs[:, w : w + 1]))
-                order = np.lexsort((ids[b], -score[a, b], a))
-                a, b = a[order], b[order]
-                starts = np.flatnonzero(np.diff(a, prepend=-1))
-                rank = np.arange(len(a)) - np.repeat(starts, np.diff(np.append(starts, len(a))))
-                a, b = a[rank < k], b[rank < k]
-                out = [np.concatenate([x, y]) for x, y in zip(out, (uids[a], np.full(len(a), w), ids[b], score[a, b]))]
-        return pa.table([out[0], out[1].astype(np.int32), out[2], out[3]], schema=FOUND_SCHEMA)
+                few = best(uids[a], np.full(len(a), w), ids[b], score[a, b])
+                out = [np.concatenate([x, y]) for x, y in zip(out, few)]
+        uid, nth, ids, score = best(*out)
+        return pa.table([uid, nth.astype(np.int32), ids, score], schema=FOUND_SCHEMA)
 
     return read
 
@@ -248,10 +257,11 @@ def search(anchors: DataFrame, blocks: DataFrame, k: int, same_label: bool, read
         return asked.groupBy("width", "z", "g").cogroup(zones.groupBy("its_width", "its_z", "its_g")).applyInArrow(_chooser(same_label, first), CHOSEN)
 
     def rows_of(windows: DataFrame, pairs: DataFrame) -> DataFrame:
-        needs = pairs.join(windows, "uid").withColumn("g", dealt("uid", anchor_groups))
-        held = pairs.select(F.col("block").alias("b"), dealt("uid", anchor_groups).alias("h")).distinct()
+        together = max(1, -(-counts[0] // GATHERED))
+        needs = pairs.join(windows, "uid").withColumns({"g": dealt("uid", anchor_groups), "some": dealt("block", together)})
+        held = pairs.select(F.col("block").alias("b"), dealt("uid", anchor_groups).alias("h"), dealt("block", together).alias("those")).distinct()
         held = held.join(blocks.select(F.col("block").alias("b"), "ids", "components"), "b")
-        return held.groupBy("b", "h").cogroup(needs.groupBy("block", "g")).applyInArrow(_reader(k), FOUND)
+        return held.groupBy("those", "h").cogroup(needs.groupBy("some", "g")).applyInArrow(_reader(k), FOUND)
 
     nearest = chosen(anchors, True).groupBy("uid", "nth").agg(F.min_by("block", F.struct("away", "block")).alias("block"))
     near = materialize(nearest.select("uid", "block").distinct(), "first-blocks")
