@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,9 +48,6 @@ TYPE_MAP = [
     ("table", "binary", "string", "binary values stay behind"),
 ]
 
-#: Levels of a forest after which a walk is checkpointed, where a folder for that is set.
-STORED_EVERY = 16
-
 #: Field types whose values never enter the properties (P5).
 VALUELESS = ("esriFieldTypeGeometry", "esriFieldTypeBlob", "esriFieldTypeRaster", "Binary", "binary")
 
@@ -149,46 +144,6 @@ def uninterpreted(catalogue: DataFrame, inventoried: DataFrame, kinds: list[str]
     return catalogue.where(~F.col("kind").isin(*kinds)).join(inventoried.select("name"), "name", "left_anti")
 
 
-def container_paths(nodes: DataFrame, deepest: int = 64) -> DataFrame:
-    """id, depth and path, such as A[x]/B[y], of every node of a forest (R1, A21). nodes: id, parent, element, name.
-
-    One join per level of the forest, from the roots down, until a level is empty; nodes that no root reaches (cycles,
-    lost parents) have no row. A forest that is deeper than `deepest` is an error, not a shorter answer.
-    """
-    label = F.concat(F.col("element"), F.lit("["), F.coalesce("name", F.lit("")), F.lit("]"))
-    own = nodes.select("id", "parent", label.alias("label"))
-    level = own.where("parent is null").select("id", F.lit(1).alias("depth"), F.col("label").alias("path"))
-    below = own.where("parent is not null")
-    levels = [level]
-    for depth in range(2, deepest + 2):
-        above = level.select(F.col("id").alias("parent"), F.col("path").alias("_above"))
-        level = below.join(above, "parent").select("id", F.lit(depth).alias("depth"), F.concat_ws("/", "_above", "label").alias("path"))
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, levels)
-        if depth % STORED_EVERY == 0:
-            level = level.checkpoint() if nodes.sparkSession.sparkContext.getCheckpointDir() else level
-        levels.append(level)
-    raise ValueError(f"a forest of more than {deepest} levels")
-
-
-def member_lists(layers: DataFrame, deepest: int = 64) -> DataFrame:
-    """Every group with all layers below it that are no groups (R2), whatever the groups between: group_id, members, n_members.
-
-    layers: id, parent, kind, pos, name. Members come in order of position; a group without any has an empty list.
-    """
-    groups = layers.where("kind = 'group'").select("id", "parent")
-    leaves = layers.where("kind <> 'group'").select(F.col("parent").alias("group_id"), "pos", "name")
-    held = [leaves.where("group_id is not null")]
-    for _ in range(deepest):
-        up = held[-1].join(groups.where("parent is not null"), F.col("group_id") == F.col("id")).select(F.col("parent").alias("group_id"), "pos", "name")
-        if up.isEmpty():
-            break
-        held.append(up)
-    listed = reduce(DataFrame.unionByName, held).groupBy("group_id").agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("_m"), F.count("*").alias("n_members"))
-    both = groups.select(F.col("id").alias("group_id")).join(listed, "group_id", "left")
-    return both.select("group_id", F.coalesce(F.array_join(F.transform("_m", lambda m: m["name"]), ", "), F.lit("")).alias("members"), F.coalesce("n_members", F.lit(0)).cast("long").alias("n_members"))
-
-
 def in_order(layers: DataFrame, tables: DataFrame) -> DataFrame:
     """Layers first, then tables, each in its own order (U1): the rows of both with seq, from 0. Both: pos and the same columns."""
     both = layers.withColumn("_part", F.lit(0)).unionByName(tables.withColumn("_part", F.lit(1)))

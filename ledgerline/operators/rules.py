@@ -37,7 +37,8 @@ TARGETS = {
     "attachments": "attachments",
     "style": "style",
     "metadata": "metadata",
-    "document": "dataset",
+    "document": "metadata",
+    "hierarchy": "dataset",
     "container": "dataset",
     "track": "dataset",
     "service": "source",
@@ -45,6 +46,9 @@ TARGETS = {
     "archive": "source",
     "extended": "schema",
     "style_map": "style",
+    "time": "dataset",
+    "overlay": "raster",
+    "region": "style",
 }
 
 #: Hosted services. layer rows: kind, fields (name, type, alias), geometry_type, code, wkt, ...
@@ -107,27 +111,48 @@ FILE = [
     Rule("entry", UNSUPPORTED, "true", "'nothing reads this kind of entry'"),
 ]
 
-#: Markup documents, over the tallies of their elements.
+#: Markup documents, over the facts that sources/markup_facts.py takes from their elements.
 MARKUP = [
-    Rule("container", LOSS, "depth > 1", "'nesting is kept in names only'"),
-    Rule("container", LOSS, "n_kinds > 1", "'different shapes go to datasets of their own'"),
-    Rule("container", LOSS, "n_no_geometry > 0", "concat(cast(n_no_geometry as string), ' rows get an empty geometry')"),
-    Rule("track", LOSS, "n_samples > 0", "'samples are kept, their clock as text'"),
-    Rule("track", LOSS, "has_model", "'models are not kept'"),
-    Rule("schema", LOSS, "narrow > 0", "'narrow numbers become wide ones'"),
-    Rule("schema", LOSS, "display_names > 0", "'display names are not shown'"),
-    Rule("extended", LOSS, "n_keys > 0 and n_blocks = 0", "'values without a schema become text'"),
-    Rule("style", LOSS, "parts > 0", "'styles are carried as they stand'"),
-    Rule("style", LOSS, "remote_icons > 0", "concat(cast(remote_icons as string), ' icons are named, not fetched')"),
-    Rule("style", LOSS, "chrome > 0", "'balloons and lists are not drawn'"),
-    Rule("style_map", LOSS, "n_states > 1", "'the second state is kept as data only'"),
-    Rule("archive", LOSS, "others > 0", "concat(cast(others as string), ' other members stay behind')"),
-    Rule("style", UNSUPPORTED, "random_colour", "'random colours have no counterpart'"),
-    Rule("time", LOSS, "partial > 0", "'dates without a time stay text'"),
+    Rule("document", UNSUPPORTED, "problem is not null", "concat('the document cannot be read: ', problem)"),
+    Rule("document", LOSS, "described", "'the description is markup for a popup: its text is kept and not shown'"),
+    Rule("hierarchy", LOSS, "true", "'nesting is kept as a path on every row: no group can be switched or moved'"),
+    Rule("hierarchy", LOSS, "true", "'which folders are open or visible is not kept'"),
+    Rule("container", LOSS, "without_shape > 0", "concat(without_shape, ' rows have no shape, and an empty shape means a deletion')"),
+    Rule("container", LOSS, "size(hints) > 0", "concat('heights are kept, but nothing lifts or drapes shapes by ', array_join(hints, ', '))"),
+    Rule("track", LOSS, "true", "'a track has points and a period only: values and style of its row stay on another row'"),
+    Rule("track", LOSS, "true", "'speeds and positions are worked out only where the store has functions for moving points'"),
+    Rule("track", LOSS, "multi", "'parts become tracks of their own, and the gaps between them are not stated'"),
+    Rule("track", LOSS, "altitude", "'heights of samples are dropped'"),
+    Rule("track", LOSS, "angles", "'headings and tilts of samples are dropped'"),
+    Rule("track", LOSS, "arrays", "'values a sample have no column'"),
+    Rule("track", LOSS, "partial", "'dates without a time become moments, and that they were dates is lost'"),
+    Rule("schema", LOSS, "size(narrow) > 0", "concat('declared widths become plain numbers: ', array_join(narrow, ', '))"),
+    Rule("schema", LOSS, "display_names > 0", "'display names are carried and not shown'"),
+    Rule("style", LOSS, "array_contains(drawn, 'LabelStyle')", "'labels are scaled from a size that is not stated'"),
+    Rule("style", LOSS, "remote", "concat('the icon lies on another server: ', icon)"),
+    Rule("style", LOSS, "random_colour", "'random colours are picked at drawing and cannot be kept'"),
+    Rule("chrome", UNSUPPORTED, "part = 'BalloonStyle'", "'popup templates are content, not symbols'"),
+    Rule("chrome", UNSUPPORTED, "part = 'ListStyle'", "'list settings belong to a panel of layers'"),
+    Rule("style_map", LOSS, "true", "'only the normal state becomes a symbol'"),
+    Rule("style_map", LOSS, "not array_contains(states, 'normal')", "'no state is the normal one, so there is no symbol to begin with'"),
+    Rule("time", LOSS, "instants > 0", "'a moment becomes a period that is open at its end'"),
+    Rule("time", LOSS, "partial", "'dates without a time become moments, and that they were dates is lost'"),
     Rule("link", UNSUPPORTED, "true", "'what a link leads to is not read'"),
-    Rule("overlay", UNSUPPORTED, "true", "'images are not rows'"),
-    Rule("region", UNSUPPORTED, "true", "'levels of detail have no counterpart'"),
-    Rule("element", UNSUPPORTED, "true", "concat('no rule for ', cast(n as string), ' elements')"),
+    Rule("overlay", LOSS, "true", "'the image is not fetched, so what it holds is not known'"),
+    Rule("overlay", LOSS, "warped", "'an image between four corners needs to be warped'"),
+    Rule("overlay", LOSS, "rotated", "'a turned image needs to be sampled again'"),
+    Rule("overlay", LOSS, "tinted", "'tints are settings for drawing'"),
+    Rule("overlay", LOSS, "stacked", "'the order of drawing is a rule of the viewer'"),
+    Rule("screen", UNSUPPORTED, "true", "'what is fixed to the screen is no part of the map'"),
+    Rule("region", LOSS, "true", "'levels of detail go by pixels, scales do not: the limits are to be chosen anew'"),
+    Rule("region", LOSS, "true", "'that a region has to be in view cannot be said'"),
+    Rule("archive", LOSS, "true", "'links to the members are to be written anew'"),
+    Rule("element", UNSUPPORTED, "element = 'Model'", "'meshes are no shapes of rows'"),
+    Rule("element", UNSUPPORTED, "element = 'PhotoOverlay'", "'images are laid on the ground, not before a camera'"),
+    Rule("element", UNSUPPORTED, "element = 'Tour'", "'flights are presentation'"),
+    Rule("element", UNSUPPORTED, "element = 'LookAt'", "'viewpoints have no place: maps open on their data'"),
+    Rule("element", UNSUPPORTED, "element = 'Camera'", "'cameras have no place: maps open on their data'"),
+    Rule("element", UNSUPPORTED, "element = 'NetworkLinkControl'", "'instructions for a live link mean nothing without its server'"),
 ]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import catalog, pairing, rules, tally
+from ..operators import catalog, forest, pairing, rules, tally
 from ..session import table
 from .base import derive, plain, query
 
@@ -154,10 +154,14 @@ def uninterpreted_entries(spark, sf_dir):
 
 
 @query("container_path", """
-WITH t AS (SELECT 'r' || r_regionkey AS id, 1 AS depth, 'Region[' || r_name || ']' AS path, r_regionkey AS k FROM region),
+WITH RECURSIVE t AS (SELECT 'r' || r_regionkey AS id, 1 AS depth, 'Region[' || r_name || ']' AS path, r_regionkey AS k FROM region),
 n AS (SELECT 'n' || n_nationkey AS id, 2 AS depth, t.path || '/Nation[' || n_name || ']' AS path, n_nationkey AS k FROM nation JOIN t ON n_regionkey = t.k),
-c AS (SELECT 'c' || c_custkey AS id, 3 AS depth, n.path || '/Customer[' || c_name || ']' AS path FROM customer JOIN n ON c_nationkey = n.k)
-SELECT id, depth, path FROM t UNION ALL SELECT id, depth, path FROM n UNION ALL SELECT id, depth, path FROM c
+c AS (SELECT 'c' || c_custkey AS id, 3 AS depth, n.path || '/Customer[' || c_name || ']' AS path FROM customer JOIN n ON c_nationkey = n.k),
+p AS (SELECT p_partkey AS k, 1 AS depth, 'Part[' || p_name || ']' AS path FROM part WHERE p_partkey % 50 = 0
+  UNION ALL SELECT p_partkey, p.depth + 1, p.path || '/Part[' || p_name || ']' FROM part JOIN p ON p_partkey = p.k + 1 WHERE p_partkey % 50 <> 0)
+SELECT id, depth, path, CAST(NULL AS VARCHAR) AS reason FROM t UNION ALL SELECT id, depth, path, NULL FROM n UNION ALL SELECT id, depth, path, NULL FROM c
+UNION ALL SELECT 'p' || k, depth, path, NULL FROM p
+UNION ALL SELECT 'y' || r_regionkey, NULL, NULL, 'in or below a cycle' FROM region UNION ALL SELECT 's' || s_suppkey, NULL, NULL, CASE WHEN s_suppkey % 2 = 0 THEN 'in or below a cycle' ELSE 'below a parent that is not there' END FROM supplier
 """)
 def container_path(spark, sf_dir):
     nodes = derive(
@@ -165,9 +169,12 @@ def container_path(spark, sf_dir):
         sf_dir,
         """SELECT concat('r', r_regionkey) AS id, CAST(NULL AS STRING) AS parent, 'Region' AS element, r_name AS name FROM {region}
         UNION ALL SELECT concat('n', n_nationkey), concat('r', n_regionkey), 'Nation', n_name FROM {nation}
-        UNION ALL SELECT concat('c', c_custkey), concat('n', c_nationkey), 'Customer', c_name FROM {customer}""",
+        UNION ALL SELECT concat('c', c_custkey), concat('n', c_nationkey), 'Customer', c_name FROM {customer}
+        UNION ALL SELECT concat('p', p_partkey), CASE WHEN p_partkey % 50 <> 0 THEN concat('p', p_partkey - 1) END, 'Part', p_name FROM {part}
+        UNION ALL SELECT concat('y', r_regionkey), concat('y', (r_regionkey + 1) % 5), 'Region', r_name FROM {region}
+        UNION ALL SELECT concat('s', s_suppkey), CASE WHEN s_suppkey % 2 = 0 THEN 'y0' WHEN s_suppkey > 1 THEN concat('s', s_suppkey - 2) ELSE 'nowhere' END, 'Supplier', s_name FROM {supplier}""",
     )
-    return catalog.container_paths(nodes)
+    return forest.container_paths(nodes)
 
 
 ENDS = """

@@ -16,7 +16,7 @@ from .base import query
 BODY = """concat('<kml><Document>',
  repeat('<Placemark><ExtendedData><Data name="a"/><Data name="b"/></ExtendedData></Placemark>', CAST(p_size % 3 AS INT)),
  CASE WHEN p_partkey % 2 = 0 THEN '<Placemark><ExtendedData><Data name="c"/><SchemaData/></ExtendedData><Point/></Placemark>' ELSE '' END,
- CASE WHEN p_size % 4 = 0 THEN concat('<Placemark><Track>', repeat('<when>2020-01-01</when><coord>1 2 3</coord>', CAST(p_size % 5 AS INT)), '<when>2020-01-01T00:00:00Z</when><Model/></Track></Placemark>') ELSE '' END,
+ CASE WHEN p_size % 4 = 0 THEN concat('<Placemark><Track>', repeat('<when>2020-01-01</when><coord>1 2 3</coord>', CAST(p_size % 5 AS INT)), '<when>2020-01-01T00:00:00Z</when><Model/><ExtendedData><Data name="t"/><SchemaData/></ExtendedData></Track></Placemark>') ELSE '' END,
  CASE WHEN p_size % 3 = 1 THEN '<Style><LineStyle/><IconStyle/></Style>' WHEN p_size % 3 = 2 THEN '<Style><BalloonStyle/></Style><StyleMap><Pair><key>normal</key></Pair><Pair><key>highlight</key></Pair></StyleMap>' ELSE '' END,
  CASE WHEN p_partkey % 5 = 0 THEN concat('<Region><Lod/></Region><GroundOverlay><LatLonBox><rotation>', p_size % 2, '</rotation></LatLonBox></GroundOverlay>') ELSE '' END,
  '</Document></kml>')"""
@@ -53,7 +53,7 @@ def markup_overlays(spark, sf_dir):
 
 
 @query("markup_unruled", """
-SELECT element, CAST(SUM(n) AS BIGINT) AS n FROM (SELECT 'Data' AS element, 2 * (p_size % 3) + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END AS n FROM part UNION ALL SELECT 'coord', p_size % 5 FROM part WHERE p_size % 4 = 0
+SELECT element, CAST(SUM(n) AS BIGINT) AS n FROM (SELECT 'Data' AS element, 2 * (p_size % 3) + CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN p_size % 4 = 0 THEN 1 ELSE 0 END AS n FROM part UNION ALL SELECT 'coord', p_size % 5 FROM part WHERE p_size % 4 = 0
   UNION ALL SELECT 'LatLonBox', 1 FROM part WHERE p_partkey % 5 = 0) GROUP BY 1 HAVING SUM(n) > 0
 """)
 def markup_unruled(spark, sf_dir):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import runs
 from ..functions import text
-from ..operators import catalog, pairing, tally
+from ..operators import catalog, forest, pairing, tally
 from ..session import own_place, table
 from ..sources import definitions, landed, logs, sinks
 from .base import derive, plain, query
@@ -262,8 +262,8 @@ def layers_then_tables(spark, sf_dir):
 
 @query("group_tree", """
 WITH s AS (SELECT s_suppkey, s_nationkey, s_name, n_regionkey FROM supplier JOIN nation ON s_nationkey = n_nationkey)
-SELECT 'n' || n_nationkey AS group_id, COALESCE((SELECT string_agg(s_name, ', ' ORDER BY s_suppkey, s_name) FROM s WHERE s_nationkey = n_nationkey), '') AS members, (SELECT COUNT(*) FROM s WHERE s_nationkey = n_nationkey) AS n_members FROM nation
-UNION ALL SELECT 'r' || r_regionkey, COALESCE((SELECT string_agg(s_name, ', ' ORDER BY s_suppkey, s_name) FROM s WHERE n_regionkey = r_regionkey), ''), (SELECT COUNT(*) FROM s WHERE n_regionkey = r_regionkey) FROM region
+SELECT 'n' || n_nationkey AS group_id, COALESCE((SELECT string_agg(s_name, ', ' ORDER BY s_suppkey, s_name) FROM s WHERE s_nationkey = n_nationkey), '') AS members, (SELECT COUNT(*) FROM s WHERE s_nationkey = n_nationkey) AS n_members, CAST(NULL AS VARCHAR) AS reason FROM nation
+UNION ALL SELECT 'r' || r_regionkey, COALESCE((SELECT string_agg(s_name, ', ' ORDER BY s_suppkey, s_name) FROM s WHERE n_regionkey = r_regionkey), ''), (SELECT COUNT(*) FROM s WHERE n_regionkey = r_regionkey), NULL FROM region
 """)
 def group_tree(spark, sf_dir):
     """Suppliers are layers in groups of nations, which are in groups of regions: every group lists all layers below it."""
@@ -274,7 +274,7 @@ def group_tree(spark, sf_dir):
         UNION ALL SELECT concat('n', n_nationkey), concat('r', n_regionkey), 'group', n_nationkey, n_name FROM {nation}
         UNION ALL SELECT concat('s', s_suppkey), concat('n', s_nationkey), 'layer', s_suppkey, s_name FROM {supplier}""",
     )
-    return catalog.member_lists(layers)
+    return forest.member_lists(layers)
 
 
 @query("first_domain_definitions", "SELECT p_brand AS layer, p_type AS domain, arg_min(p_name, p_partkey) AS kind, MIN(p_partkey) AS pos FROM part GROUP BY 1, 2")

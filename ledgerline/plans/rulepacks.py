@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import rules
+from ..session import table
+from ..sources import markup, markup_facts
 from .base import derive, plain, query
 
 FACTS = """
@@ -99,29 +101,58 @@ def file_table_rules(spark, sf_dir):
     return items.select("location", "outcome", F.array_join("losses", "; ").alias("losses"), "reason")
 
 
-TALLIES = """
-SELECT p_partkey AS id, p_size % 3 AS depth, p_size % 4 AS n_kinds, CAST(p_size % 5 AS BIGINT) AS n_no_geometry, p_size % 6 AS n_samples, p_partkey % 7 = 0 AS has_model, p_size % 2 AS narrow, p_size % 7 AS display_names,
-  p_size % 3 AS n_keys, p_partkey % 2 AS n_blocks, p_size % 4 AS parts, p_partkey % 11 = 0 AS random_colour, CAST(p_size % 9 AS BIGINT) AS remote_icons, p_partkey % 3 AS chrome, p_size % 3 AS n_states, p_partkey % 4 AS partial, CAST(p_partkey % 5 AS BIGINT) AS others, CAST(p_size AS BIGINT) AS n FROM {part}
-"""
-MARKUP = [
-    ("container", "dataset", NONE, "concat_ws('; ', CASE WHEN depth > 1 THEN 'nesting is kept in names only' END, CASE WHEN n_kinds > 1 THEN 'different shapes go to datasets of their own' END, CASE WHEN n_no_geometry > 0 THEN n_no_geometry || ' rows get an empty geometry' END)"),
-    ("track", "dataset", NONE, "concat_ws('; ', CASE WHEN n_samples > 0 THEN 'samples are kept, their clock as text' END, CASE WHEN has_model THEN 'models are not kept' END)"),
-    ("schema", None, NONE, "concat_ws('; ', CASE WHEN narrow > 0 THEN 'narrow numbers become wide ones' END, CASE WHEN display_names > 0 THEN 'display names are not shown' END)"),
-    ("extended", "schema", NONE, "CASE WHEN n_keys > 0 AND n_blocks = 0 THEN 'values without a schema become text' ELSE '' END"),
-    ("style", "style", "CASE WHEN random_colour THEN 'unsupported|random colours have no counterpart' END", "concat_ws('; ', CASE WHEN parts > 0 THEN 'styles are carried as they stand' END, CASE WHEN remote_icons > 0 THEN remote_icons || ' icons are named, not fetched' END, CASE WHEN chrome > 0 THEN 'balloons and lists are not drawn' END)"),
-    ("style_map", "style", NONE, "CASE WHEN n_states > 1 THEN 'the second state is kept as data only' ELSE '' END"),
-    ("time", None, NONE, "CASE WHEN partial > 0 THEN 'dates without a time stay text' ELSE '' END"),
-    ("link", None, "'unsupported|what a link leads to is not read'", "''"),
-    ("overlay", None, "'unsupported|images are not rows'", "''"),
-    ("region", None, "'unsupported|levels of detail have no counterpart'", "''"),
-    ("archive", "source", NONE, "CASE WHEN others > 0 THEN others || ' other members stay behind' ELSE '' END"),
-    ("element", None, "'unsupported|no rule for ' || n || ' elements'", "''"),
-]
-
-
-@query("markup_rules", _sql(TALLIES, MARKUP))
+#: A document per part: by its numbers it has folders, heights, tracks, schemas, styles, times, links, overlays and settings for viewers, or is not there.
+BODY = """CASE WHEN p_partkey % 13 <> 5 THEN concat('<kml><Document>',
+ CASE WHEN p_partkey % 4 <> 3 THEN concat('<name>part ', p_partkey, '</name>') ELSE '' END, CASE WHEN p_size % 3 = 0 THEN '<description>d</description>' ELSE '' END,
+ CASE WHEN p_partkey % 3 = 0 THEN concat('<Schema name="s"><SimpleField type="int" name="n">', CASE WHEN p_partkey % 2 = 0 THEN '<displayName>N</displayName>' ELSE '' END, '</SimpleField><SimpleField type="string" name="t"/></Schema>') ELSE '' END,
+ CASE p_size % 3 WHEN 1 THEN '<Style><IconStyle><Icon><href>http://x/i.png</href></Icon><colorMode>random</colorMode></IconStyle><LabelStyle/><BalloonStyle/></Style>'
+   WHEN 2 THEN concat('<Style><LineStyle/></Style><StyleMap>', CASE WHEN p_partkey % 2 = 0 THEN '<Pair><key>normal</key></Pair>' ELSE '' END, '<Pair><key>highlight</key></Pair></StyleMap>') ELSE '' END,
+ CASE WHEN p_size % 5 = 0 THEN '<Folder><name>f</name><Placemark><Point><extrude>0</extrude></Point></Placemark></Folder>' ELSE '' END,
+ repeat('<Placemark><ExtendedData><Data name="a"/></ExtendedData></Placemark>', CAST(p_size % 3 AS INT)),
+ CASE WHEN p_partkey % 2 = 0 THEN '<Placemark><Point><altitudeMode>absolute</altitudeMode><extrude>1</extrude></Point></Placemark>' ELSE '' END,
+ CASE WHEN p_size % 4 = 0 THEN concat('<Placemark>', CASE WHEN p_size % 8 = 0 THEN '<gx:MultiTrack>' ELSE '' END,
+   repeat(concat('<gx:Track><altitudeMode>absolute</altitudeMode><when>2020-01-01', CASE WHEN p_partkey % 2 = 1 THEN 'T00:00:00Z' ELSE '' END, '</when><gx:coord>1 2 ', CASE WHEN p_partkey % 2 = 1 THEN '3' ELSE '0' END, '</gx:coord>',
+     CASE p_partkey % 3 WHEN 0 THEN '<gx:angles>1 2 3</gx:angles>' WHEN 1 THEN '<ExtendedData><SchemaData><gx:SimpleArrayData/></SchemaData><Data name="b"/></ExtendedData>' ELSE '' END, '</gx:Track>'), CASE WHEN p_size % 8 = 0 THEN 2 ELSE 1 END),
+   CASE WHEN p_size % 8 = 0 THEN '</gx:MultiTrack>' ELSE '' END, '</Placemark>') ELSE '' END,
+ CASE p_partkey % 5 WHEN 1 THEN '<TimeStamp><when>1997</when></TimeStamp>' WHEN 2 THEN '<TimeSpan><begin>2020-01-01T00:00:00Z</begin></TimeSpan>' ELSE '' END,
+ CASE WHEN p_partkey % 6 = 0 THEN '<NetworkLink><name>n</name><Link><href>http://y</href><refreshMode>onChange</refreshMode></Link></NetworkLink>' ELSE '' END,
+ CASE WHEN p_partkey % 5 = 0 THEN concat('<GroundOverlay><color>ff</color><Icon><href>g.png</href></Icon><LatLonBox><rotation>', p_size % 2, '</rotation></LatLonBox>', CASE WHEN p_partkey % 10 = 0 THEN '<gx:LatLonQuad/>' ELSE '' END,
+   '<drawOrder>1</drawOrder></GroundOverlay><Region><Lod/></Region><ScreenOverlay/><LookAt/>') ELSE '' END,
+ '</Document></kml>') END"""
+
+
+@query("markup_rules", """
+WITH d AS (SELECT p_partkey AS k, p_size AS z, p_size % 4 = 0 AS tracked, p_size % 8 = 0 AS multi FROM part WHERE p_partkey % 13 <> 5), i AS (
+SELECT k, 'document' AS kind, CASE WHEN k % 4 <> 3 THEN 'part ' || k ELSE 'a description' END AS detail, CAST(NULL AS VARCHAR) AS reason, 'metadata' AS target, [CASE WHEN z % 3 = 0 THEN 'the description is markup for a popup: its text is kept and not shown' END] AS l FROM d WHERE k % 4 <> 3 OR z % 3 = 0
+UNION ALL SELECT p_partkey, 'document', 'there is no document', 'the document cannot be read: there is no document', NULL, [] FROM part WHERE p_partkey % 13 = 5
+UNION ALL SELECT k, 'hierarchy', '1 folders, 1 deep', NULL, 'dataset', ['nesting is kept as a path on every row: no group can be switched or moved', 'which folders are open or visible is not kept'] FROM d WHERE z % 5 = 0
+UNION ALL SELECT k, 'container', '1 rows of Point', NULL, 'dataset', [] FROM d WHERE z % 5 = 0
+UNION ALL SELECT k, 'container', (z % 3 + CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN tracked THEN 1 ELSE 0 END) || ' rows' || CASE WHEN k % 2 = 0 THEN ' of Point' ELSE '' END || CASE WHEN multi THEN ', MultiTrack apart' WHEN tracked THEN ', Track apart' ELSE '' END, NULL, 'dataset',
+  [CASE WHEN z % 3 > 0 THEN (z % 3) || ' rows have no shape, and an empty shape means a deletion' END, CASE WHEN k % 2 = 0 THEN 'heights are kept, but nothing lifts or drapes shapes by altitudeMode, extrude' END] FROM d WHERE z % 3 > 0 OR k % 2 = 0 OR tracked
+UNION ALL SELECT k, 'track', CASE WHEN multi THEN '2 parts, 2 samples' ELSE '1 samples' END, NULL, 'dataset', ['a track has points and a period only: values and style of its row stay on another row', 'speeds and positions are worked out only where the store has functions for moving points',
+  CASE WHEN multi THEN 'parts become tracks of their own, and the gaps between them are not stated' END, CASE WHEN k % 2 = 1 THEN 'heights of samples are dropped' END, CASE WHEN k % 3 = 0 THEN 'headings and tilts of samples are dropped' END, CASE WHEN k % 3 = 1 THEN 'values a sample have no column' END,
+  CASE WHEN k % 2 = 0 THEN 'dates without a time become moments, and that they were dates is lost' END] FROM d WHERE tracked
+UNION ALL SELECT k, 'schema', 's, 2 fields', NULL, NULL, ['declared widths become plain numbers: int', CASE WHEN k % 2 = 0 THEN 'display names are carried and not shown' END] FROM d WHERE k % 3 = 0
+UNION ALL SELECT k, 'extended', (z % 3) || ' rows, 1 keys, 0 blocks', NULL, 'schema', [] FROM d WHERE z % 3 > 0
+UNION ALL SELECT k, 'style', 'IconStyle, LabelStyle; icon http://x/i.png', NULL, 'style', ['labels are scaled from a size that is not stated', 'the icon lies on another server: http://x/i.png', 'random colours are picked at drawing and cannot be kept'] FROM d WHERE z % 3 = 1
+UNION ALL SELECT k, 'chrome', 'BalloonStyle', 'popup templates are content, not symbols', NULL, [] FROM d WHERE z % 3 = 1
+UNION ALL SELECT k, 'style', 'LineStyle', NULL, 'style', [] FROM d WHERE z % 3 = 2
+UNION ALL SELECT k, 'style_map', CASE WHEN k % 2 = 0 THEN 'normal, highlight' ELSE 'highlight' END, NULL, 'style', ['only the normal state becomes a symbol', CASE WHEN k % 2 = 1 THEN 'no state is the normal one, so there is no symbol to begin with' END] FROM d WHERE z % 3 = 2
+UNION ALL SELECT k, 'time', CASE k % 5 WHEN 1 THEN '1 instants, 0 spans' ELSE '0 instants, 1 spans' END, NULL, 'dataset', [CASE WHEN k % 5 = 1 THEN 'a moment becomes a period that is open at its end' END, CASE WHEN k % 5 = 1 THEN 'dates without a time become moments, and that they were dates is lost' END] FROM d WHERE k % 5 IN (1, 2)
+UNION ALL SELECT k, 'link', 'n to http://y (refreshMode=onChange)', 'what a link leads to is not read', NULL, [] FROM d WHERE k % 6 = 0
+UNION ALL SELECT k, 'overlay', 'unnamed shows g.png, in a box' || CASE WHEN k % 10 = 0 THEN ', in a quadrangle' ELSE '' END, NULL, 'raster', ['the image is not fetched, so what it holds is not known', CASE WHEN k % 10 = 0 THEN 'an image between four corners needs to be warped' END,
+  CASE WHEN z % 2 = 1 THEN 'a turned image needs to be sampled again' END, 'tints are settings for drawing', 'the order of drawing is a rule of the viewer'] FROM d WHERE k % 5 = 0
+UNION ALL SELECT k, 'screen', '1 on the screen', 'what is fixed to the screen is no part of the map', NULL, [] FROM d WHERE k % 5 = 0
+UNION ALL SELECT k, 'region', '1 regions, 1 with levels', NULL, 'style', ['levels of detail go by pixels, scales do not: the limits are to be chosen anew', 'that a region has to be in view cannot be said'] FROM d WHERE k % 5 = 0
+UNION ALL SELECT k, 'element', '1 LookAt', 'viewpoints have no place: maps open on their data', NULL, [] FROM d WHERE k % 5 = 0
+), j AS (SELECT *, array_to_string(list_filter(l, lambda x: x IS NOT NULL), '; ') AS losses FROM i)
+SELECT CAST(k AS VARCHAR) AS location, kind, detail, CASE WHEN reason IS NOT NULL THEN 'unsupported' WHEN losses <> '' THEN 'approximated' ELSE 'faithful' END AS outcome, target, losses, reason FROM j
+""")
 def markup_rules(spark, sf_dir):
-    return _judged(spark, sf_dir, TALLIES, [k for k, *_ in MARKUP], rules.MARKUP)
+    """From documents to verdicts: elements, the facts of each kind of item, and the rules over them."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", F.expr(BODY).alias("body"))
+    items = markup_facts.items(markup.element_rows(parts, "p_partkey", "body"))
+    return items.select(F.split("location", "#")[0].alias("location"), "kind", "detail", "outcome", "target", F.array_join("losses", "; ").alias("losses"), "reason")
 
 
 @query("left_behind", """

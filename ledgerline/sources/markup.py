@@ -7,12 +7,12 @@ import zipfile
 from xml.parsers import expat
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ELEMENTS = "doc_id bigint, seq bigint, depth int, parent_seq bigint, element string, parent string, attributes map<string,string>, text string, problem string"
+ELEMENTS = "doc_id bigint, seq bigint, depth int, parent_seq bigint, element string, parent string, attributes map<string,string>, text string, last bigint, problem string"
 _ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("seq", pa.int64()), ("depth", pa.int32()), ("parent_seq", pa.int64()), ("element", pa.string()), ("parent", pa.string()), ("attributes", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("problem", pa.string())]
+    [("doc_id", pa.int64()), ("seq", pa.int64()), ("depth", pa.int32()), ("parent_seq", pa.int64()), ("element", pa.string()), ("parent", pa.string()), ("attributes", pa.map_(pa.string(), pa.string())), ("text", pa.string()), ("last", pa.int64()), ("problem", pa.string())]
 )
 #: Rows of elements sent on at once.
 AT_ONCE = 20_000
@@ -30,7 +30,7 @@ def _elements(doc_id, body: bytes, root: str):
     def start(name, attributes):
         name = name.rpartition(":")[2]
         above = stack[-1] if stack else None
-        row = {"doc_id": doc_id, "seq": len(rows), "depth": len(stack), "parent_seq": above["seq"] if above else None, "element": name, "parent": above["element"] if above else None, "attributes": list(attributes.items()), "text": "", "problem": None}
+        row = {"doc_id": doc_id, "seq": len(rows), "depth": len(stack), "parent_seq": above["seq"] if above else None, "element": name, "parent": above["element"] if above else None, "attributes": list(attributes.items()), "text": "", "last": len(rows), "problem": None}
         if not stack and name != root:
             raise ValueError(f"the root is {name}, not {root}")
         rows.append(row)
@@ -41,20 +41,20 @@ def _elements(doc_id, body: bytes, root: str):
             stack[-1]["text"] += data
 
     parser.StartElementHandler, parser.CharacterDataHandler = start, text
-    parser.EndElementHandler = lambda _: stack.pop()
+    parser.EndElementHandler = lambda _: stack.pop().update(last=len(rows) - 1)
     try:
         if body is None:
             raise ValueError("there is no document")
         parser.Parse(body, True)
     except (expat.ExpatError, ValueError, UnicodeDecodeError) as problem:
-        return [{"doc_id": doc_id, "seq": 0, "depth": 0, "problem": str(problem)}]
+        return [{"doc_id": doc_id, "seq": 0, "depth": 0, "last": 0, "problem": str(problem)}]
     for row in rows:
         row["text"] = row["text"].strip() or None
     return rows
 
 
 def element_rows(documents: DataFrame, id_col: str, body_col: str, root: str = "kml") -> DataFrame:
-    """One row per element of every document, in order (S17, W7): doc_id, seq, depth, parent_seq, element, parent, attributes, text, problem.
+    """One row per element of every document, in order (S17, W7): doc_id, seq, depth, parent_seq, element, parent, attributes, text, last (place of the last element inside), problem.
 
     Documents that are null, truncated, not UTF-8 or of another root have one row with the problem instead.
     """
@@ -144,11 +144,14 @@ def time_tally(elements: DataFrame) -> DataFrame:
 
 
 def extended_data_tally(elements: DataFrame) -> DataFrame:
-    """Per document: rows with extended data, distinct keys, schema blocks."""
-    return elements.groupBy("doc_id").agg(
-        F.count_if((F.col("element") == "ExtendedData") & (F.col("parent") == "Placemark")).alias("rows"),
-        F.countDistinct(F.when(F.col("element") == "Data", F.element_at("attributes", F.lit("name")))).alias("keys"),
-        F.count_if((F.col("element") == "SchemaData") & (F.col("parent") == "ExtendedData")).alias("blocks"),
+    """Per document: rows with extended data, distinct keys, schema blocks, of what lies outside tracks."""
+    order = Window.partitionBy("doc_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    until = F.max(F.when(F.col("element").isin("Track", "MultiTrack"), F.col("last"))).over(order)
+    own = elements.withColumn("_out", F.coalesce(F.col("seq") > until, F.lit(True)))
+    return own.groupBy("doc_id").agg(
+        F.count_if(F.col("_out") & (F.col("element") == "ExtendedData") & (F.col("parent") == "Placemark")).alias("rows"),
+        F.countDistinct(F.when(F.col("_out") & (F.col("element") == "Data"), F.element_at("attributes", F.lit("name")))).alias("keys"),
+        F.count_if(F.col("_out") & (F.col("element") == "SchemaData") & (F.col("parent") == "ExtendedData")).alias("blocks"),
     )
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text
-from ledgerline.operators import batches, catalog, diff, geometry, pairing, rules
+from ledgerline.operators import batches, catalog, diff, forest, geometry, pairing, rules
 from ledgerline.sources import landed, logs, markup
 
 
@@ -118,6 +119,55 @@ def test_batches_close_before_either_limit(spark):
     assert rows(batches.batch_sizes(packed, "shard", "bytes"), "shard", "batch", "n_rows")[-1] == (1, 0, 1)
 
 
+@pytest.mark.parametrize("most_rows, most_bytes, piece", [(5, 60, 37), (500, 2000, 100), (1, 10, 64), (40, 10**9, 50)])
+def test_pieces_of_a_shard_give_the_fold(spark, most_rows, most_bytes, piece):
+    rnd = random.Random(most_rows)
+    sizes = [[rnd.choice([0, 1, 3, 10, 25, 70, 3000]) if k else rnd.randint(0, 3) for _ in range(n)] for k, n in enumerate((700, 900, 1, 120))]
+    frame = spark.createDataFrame([(k, at, size if size else None) for k, own in enumerate(sizes) for at, size in enumerate(own)], "shard int, at int, bytes long")
+    found = batches.greedy_batches(frame, "shard", "at", "bytes", most_rows, most_bytes, piece)
+    expected = []
+    for k, own in enumerate(sizes):
+        batch = n = total = 0
+        for at, size in enumerate(own):
+            if n and (n + 1 > most_rows or total + size > most_bytes):
+                batch, n, total = batch + 1, 0, 0
+            n, total = n + 1, total + size
+            expected.append((k, at, batch))
+    assert rows(found, "shard", "at", "batch") == sorted(expected, key=str)
+
+
+def test_a_piece_follows_its_batches_by_doubling():
+    draw = np.random.default_rng(0)
+    ends = np.concatenate([[0], np.cumsum(draw.integers(0, 3000, 300_000))])
+    following = batches.next_starts(ends, 500, 1 << 20)
+    last, count = batches.runs_from(following, 500)
+    for start in (0, 1, 499):
+        at, n = start, 0
+        while at < len(following):
+            was, at, n = at, int(following[at]), n + 1
+        assert (last[start], count[start]) == (was, n)
+
+
+def test_forests_of_any_depth(spark):
+    chain = [(f"c{k}", f"c{k - 1}" if k else None, "E", str(k)) for k in range(1000)]
+    others = [("x", "y", "E", None), ("y", "x", "E", None), ("z", "x", "E", None), ("own", "own", "E", None), ("l", "nowhere", "E", None), ("m", "l", "E", None), ("alone", None, "E", None)]
+    nodes = spark.createDataFrame(chain + others, "id string, parent string, element string, name string")
+    found = {r["id"]: (r["depth"], r["path"], r["reason"]) for r in forest.container_paths(nodes).collect()}
+    assert len(found) == len(chain) + len(others)
+    for k in (0, 1, 2, 511, 512, 999):
+        assert found[f"c{k}"] == (k + 1, "/".join(f"E[{i}]" for i in range(k + 1)), None)
+    assert {k: v[2] for k, v in found.items() if v[2]} == {"x": forest.CYCLE, "y": forest.CYCLE, "z": forest.CYCLE, "own": forest.CYCLE, "l": forest.LOST, "m": forest.LOST}
+    assert found["alone"] == (1, "E[]", None) and forest.container_paths(nodes.limit(0)).count() == 0
+
+
+def test_members_of_deeply_nested_groups(spark):
+    groups = [(f"g{k}", f"g{k - 1}" if k else None, "group", k, f"G{k}") for k in range(100)]
+    layers = [("a", "g99", "layer", 2, "A"), ("b", "g40", "layer", 1, "B"), ("free", None, "layer", 3, "F"), ("p", "q", "group", 4, "P"), ("q", "p", "group", 5, "Q"), ("in p", "p", "layer", 6, "I"), ("e", None, "group", 7, "E")]
+    found = {r["group_id"]: tuple(r)[1:] for r in forest.member_lists(spark.createDataFrame(groups + layers, "id string, parent string, kind string, pos int, name string")).collect()}
+    assert all(found[f"g{k}"] == ("B, A", 2, None) for k in range(41)) and all(found[f"g{k}"] == ("A", 1, None) for k in range(41, 100))
+    assert found["p"] == found["q"] == (None, None, forest.CYCLE) and found["e"] == ("", 0, None) and len(found) == 103
+
+
 def test_text_functions(spark):
     frame = spark.createDataFrame([("..a b/c..", "\\top\\x", 1743630690000, "1,2,3.5", "2020-01-01"), ("...", "alone", 1743630690007, "1,2", "2020-01-01T00:00:00Z")], "n string, p string, ms long, c string, t string")
     found = frame.select(text.safe_name(F.col("n")).alias("n"), text.path_head(F.col("p")).alias("p"), text.rfc3339(F.col("ms")).alias("ms"), text.has_altitude(F.col("c")).alias("c"), text.is_partial_time(F.col("t")).alias("t"))
