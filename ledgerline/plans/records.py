@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import runs
 from ..functions import text
-from ..operators import catalog, forest, pairing, tally
+from ..operators import catalog, forest, ordering, pairing, tally
 from ..session import own_place, table
 from ..sources import definitions, landed, logs, sinks
 from .base import derive, plain, query
@@ -469,3 +469,35 @@ def run_chain_target(spark, sf_dir):
     chain.next(states[1], ["v"], "run 2", MOST_BYTES)
     chain.compact()
     return chain.target().join(chain.index().select("dataset", "feature_id", "key"), ["dataset", "feature_id"]).select("dataset", "key", F.length("v").alias("n"))
+
+
+RELATIONS = """
+SELECT concat('p', floor(p_partkey / 2)) AS origin, concat('p', p_partkey) AS destination FROM {part} UNION ALL SELECT concat('p', p_partkey - 3), concat('p', p_partkey) FROM {part} WHERE p_partkey % 7 = 0
+UNION ALL SELECT concat('s', s_suppkey), concat('s', (s_suppkey + 1) % 5) FROM {supplier} WHERE s_suppkey < 5 UNION ALL SELECT concat('s', s_suppkey - 5), concat('s', s_suppkey) FROM {supplier}
+"""
+
+
+@query("load_levels", """
+WITH RECURSIVE e AS (SELECT p_partkey // 2 AS a, p_partkey AS b FROM part WHERE p_partkey > 0 UNION SELECT p_partkey - 3, p_partkey FROM part WHERE p_partkey % 7 = 0 AND p_partkey >= 3),
+w AS (SELECT p_partkey AS k, 1 AS level FROM part WHERE p_partkey = 0 UNION SELECT e.b, w.level + 1 FROM w JOIN e ON e.a = w.k), l AS (SELECT k, MAX(level) AS level FROM w GROUP BY 1)
+SELECT 'p' || k AS dataset, level, CAST(NULL AS VARCHAR) AS reason FROM l
+UNION ALL SELECT 's' || s_suppkey, (SELECT MAX(level) + 1 FROM l), 'in or below a cycle' FROM supplier
+""")
+def load_levels(spark, sf_dir):
+    """Parts that wait for others in long chains, and suppliers in and below a cycle."""
+    names = derive(spark, sf_dir, "SELECT concat('p', p_partkey) AS dataset FROM {part} UNION ALL SELECT concat('s', s_suppkey) FROM {supplier}")
+    return ordering.load_levels(names, derive(spark, sf_dir, RELATIONS))
+
+
+@query("bucketed_index_run", """
+WITH f AS (SELECT o_orderstatus AS dataset, o_orderkey AS key, CASE WHEN o_orderkey % 9 = 0 THEN o_custkey + 1 ELSE o_custkey END AS v FROM orders WHERE o_orderkey % 15 <> 0), s AS (SELECT o_orderstatus AS dataset, o_orderkey AS key, o_custkey AS v FROM orders WHERE o_orderkey % 22 <> 0)
+SELECT COALESCE(s.dataset, f.dataset) AS dataset, COALESCE(s.key, f.key) AS key, CASE WHEN f.key IS NULL THEN 'insert' WHEN s.key IS NULL THEN 'delete' ELSE 'update' END AS op
+FROM s FULL OUTER JOIN f ON s.key = f.key WHERE f.key IS NULL OR s.key IS NULL OR s.v <> f.v
+""")
+def bucketed_index_run(spark, sf_dir):
+    """An increment on an index that lies in buckets of its key."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("dataset"), F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("v"))
+    first = orders.where("key % 15 <> 0").withColumn("v", F.when(F.col("key") % 9 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    path = own_place(spark, "bucketed-index")
+    index = logs.write_index(runs.extract(first, ["v"], "run 1").index, f"key_index_{path[-32:]}", path, buckets=8)
+    return runs.increment(index, orders.where("key % 22 <> 0"), ["v"], "run 2").operations.select("dataset", "key", "op")

@@ -62,6 +62,13 @@ def _extraction(judged: DataFrame, rows: DataFrame, columns: list[str]) -> Extra
     return Extraction(ops, entry.where("feature_id is not null"), _counts(judged, rows))
 
 
+def _met(last: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows and index entries by key: the first row of a key meets its entry. Both are dealt out by the key once; an index that lies in buckets of it stays where it is."""
+    old = last.select(F.col("dataset").alias("_dataset"), F.col("key").alias("_key"), F.col("feature_id").alias("_id"), F.col("hash").alias("_hash"))
+    meets = (F.col("dataset") == F.col("_dataset")) & (F.col("key") == F.col("_key")) & (F.col("ordinal") == 1)
+    return _keyed(rows, columns).join(old, meets, "full_outer")
+
+
 def extract(rows: DataFrame, columns: list[str], run: str, largest: int = diff.LARGEST) -> Extraction:
     """A full extraction: one insert per keyed row, all datasets in one plan. rows: dataset, key and columns.
 
@@ -96,9 +103,7 @@ def increment(index: DataFrame, rows: DataFrame, columns: list[str], run: str, l
         gone = (deleted if deleted is not None else touched.limit(0)).select(*keys).where("key is not null").distinct()
         named = stored(asked.unionByName(gone).distinct(), "named-keys")
         read, met, rest = rows.join(asked, keys, "left_semi"), last.join(named, keys, "left_semi"), index.join(named, keys, "left_anti")
-    old = met.select(F.col("dataset").alias("_dataset"), F.col("key").alias("_key"), F.col("feature_id").alias("_id"), F.col("hash").alias("_hash"))
-    meets = (F.col("dataset") == F.col("_dataset")) & (F.col("key") == F.col("_key")) & (F.col("ordinal") == 1)
-    both = _keyed(read, columns).join(old, meets, "full_outer")
+    both = _met(met, read, columns)
     both = both.withColumns({"dataset": F.coalesce("dataset", "_dataset"), "key": F.coalesce("key", "_key"), "ordinal": F.coalesce("ordinal", F.lit(1))})
     op = F.when(F.col("_id").isNull(), "insert").when(F.col("hash").isNull(), "delete").when(F.col("hash") != F.col("_hash"), "update")
     judged = both.withColumn("op", op).withColumn("feature_id", F.coalesce("_id", _new_id(run))).drop("_dataset", "_key")

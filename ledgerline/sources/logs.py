@@ -86,9 +86,14 @@ def write_operations(ops: DataFrame, path: str) -> None:
     ops.repartition("dataset", F.pmod(F.xxhash64("feature_id"), F.lit(16))).write.partitionBy("dataset").json(path)
 
 
-def write_index(index: DataFrame, table: str, buckets: int = 64) -> None:
-    """A key index as a table bucketed by oid (K3): a later diff joins it without moving it."""
-    index.write.partitionBy("dataset").bucketBy(buckets, "oid").sortBy("oid").format("parquet").saveAsTable(table)
+def write_index(index: DataFrame, table: str, path: str, buckets: int = 64) -> DataFrame:
+    """A key index (dataset, key, ...) as a table at a path, bucketed by dataset and key (K3), read back: a later run joins it without moving it.
+
+    Entries of a bucket are sorted and lie in one file where they come from one task, which is why they are dealt out first.
+    """
+    keys = ["dataset", "key"]
+    index.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).format("parquet").option("path", path).mode("overwrite").saveAsTable(table)
+    return index.sparkSession.table(table)
 
 
 def next_cursor(previous: DataFrame, window: DataFrame, mode: str) -> DataFrame:

@@ -37,6 +37,22 @@ def each_commit(commits: DataFrame, send: Callable[[str, int, str], None], shard
     commits.repartition(shard).sortWithinPartitions(shard, "batch").foreachPartition(run)
 
 
+def each_commit_by_level(features: DataFrame, attachments: DataFrame, levels: DataFrame, send: Callable[[str, int, str], None]) -> int:
+    """each_commit level by level (K7, T6): a dataset's features after those of all datasets that it depends on, attachments after all features.
+
+    features, attachments: dataset, batch, body. levels: dataset, level (operators/ordering.py). Gives the number of steps; each
+    is a job, and the next begins when it has ended. A dataset that has no level is an error: nothing is left out.
+    """
+    strays = features.select("dataset").unionByName(attachments.select("dataset")).distinct().join(levels, "dataset", "left_anti").limit(20).collect()
+    if strays:
+        raise ValueError(f"no level of {', '.join(str(r[0]) for r in strays)}")
+    steps = sorted(r[0] for r in levels.select("level").distinct().collect())  # as many as the longest chain of relationships
+    for level in steps:
+        each_commit(features.join(levels.where(F.col("level") == level).select("dataset"), "dataset", "left_semi"), send)
+    each_commit(attachments, send)
+    return len(steps) + 1
+
+
 def keep_originals(rows: DataFrame, path: str, key: str, geometry: str, srid: str, wkt: str) -> DataFrame:
     """The untransformed geometries beside the working copy (K8): key, native_geometry, native_srid, native_wkt of rows that have one."""
     own = rows.where(F.col(geometry).isNotNull()).select(key, F.col(geometry).alias("native_geometry"), F.col(srid).alias("native_srid"), F.col(wkt).alias("native_wkt"))
