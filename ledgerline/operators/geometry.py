@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import struct
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -99,39 +97,125 @@ def decode_vertices(rows: DataFrame, json_col: str, has_z: str, has_m: str) -> D
     return rows.withColumn("nulled", F.when(~F.col("unencodable"), missing)).withColumn("parts", F.when(~F.col("unencodable"), full)).withColumn("has_z", F.col("_z")).withColumn("has_m", F.col("_m")).drop("_g", "_parts", "_z", "_m")
 
 
-def _code(kind: int, width: int, has_z: bool) -> int:
-    return kind + (3000 if width == 4 else 0 if width == 2 else 1000 if has_z else 2000)
-
-
-def encode(kind: str | None, parts: list | None, has_z: bool) -> bytes:
-    """One shape as ISO binary, little-endian: lines and polygons always as multi-shapes, z and m in the type code."""
-    parts = [p for p in parts or [] if len(p)]
-    if kind is None or not parts:
-        return EMPTY
-    width = len(parts[0][0])
-    flat = lambda part: np.asarray(part, "<f8").tobytes()
-    if kind == "point":
-        return struct.pack("<BI", 1, _code(POINT, width, has_z)) + flat(parts[0][:1])
-    if kind == "multipoint":
-        own = struct.pack("<BI", 1, _code(POINT, width, has_z))
-        points = [p for part in parts for p in part]
-        return struct.pack("<BII", 1, _code(MULTI_POINT, width, has_z), len(points)) + b"".join(own + flat([p]) for p in points)
-    if kind == "polyline":
-        own = struct.pack("<BI", 1, _code(LINE, width, has_z))
-        return struct.pack("<BII", 1, _code(MULTI_LINE, width, has_z), len(parts)) + b"".join(own + struct.pack("<I", len(p)) + flat(p) for p in parts)
-    raise ValueError(f"no shape of kind {kind!r}")
-
-
-def encode_polygons(polygons: list, has_z: bool) -> bytes:
-    """Polygons, each a list of closed rings with the outer one first."""
-    if not polygons:
-        return EMPTY
-    width = len(polygons[0][0][0])
-    out = [struct.pack("<BII", 1, _code(MULTI_POLYGON, width, has_z), len(polygons))]
-    for rings in polygons:
-        out.append(struct.pack("<BII", 1, _code(POLYGON, width, has_z), len(rings)))
-        out += [struct.pack("<I", len(ring)) + np.asarray(ring, "<f8").tobytes() for ring in rings]
-    return b"".join(out)
+#: Codes of shapes by kind, and of what they hold (0: nothing of its own).
+_KINDS = {"point": (POINT, 0), "multipoint": (MULTI_POINT, POINT), "polyline": (MULTI_LINE, LINE), "polygon": (MULTI_POLYGON, POLYGON)}
+
+
+def _levels(column: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+    """The offsets of each level of nested lists, outermost first, and the numbers that they hold; null lists are empty."""
+    offsets = []
+    while pa.types.is_list(column.type) or pa.types.is_large_list(column.type):
+        sizes = np.asarray(column.value_lengths().fill_null(0)).astype(np.int64)
+        offsets.append(np.concatenate([[0], np.cumsum(sizes)]))
+        column = column.flatten()
+    return offsets, np.asarray(column.fill_null(0.0) if column.null_count else column, np.float64)
+
+
+def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of values over the runs that offsets give."""
+    total = np.concatenate([[0], np.cumsum(values)])
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def binary_shapes(kinds: list[str | None], parts: pa.Array, has_z: np.ndarray) -> pa.Array:
+    """Shapes of a batch in ISO binary, little-endian: lines and polygons always as multi-shapes, z and m in the type code.
+
+    All headers and all numbers of the batch are laid out at once: the output is a row of segments, each a header and the numbers
+    behind it; a mask over its bytes says which belong to headers. parts: arrays of vertices per shape, or of rings per polygon.
+    A point is its first vertex; parts and polygons without vertices are left out; a null kind or no vertex gives EMPTY.
+    """
+    levels, numbers = _levels(parts)
+    deep = len(levels) == 4
+    unknown = sorted({k for k in kinds if k is not None and (k not in _KINDS or (k == "polygon") != deep)})
+    if unknown:
+        raise ValueError(f"no shape of kind {unknown[0]!r}")
+    shape = np.array([list(_KINDS).index(k) if k is not None else -1 for k in kinds], np.int64)
+    groups, runs, vertices = levels[0], levels[-2], np.diff(levels[-1])  # groups of runs of vertices of numbers
+    if deep:  # a group of rings for each polygon
+        ring_of, polygons = levels[1], groups
+        rings = np.diff(runs)
+        kept_rings = rings > 0
+        row_of_polygon = np.repeat(np.arange(len(kinds)), np.diff(polygons))
+        alive = shape[row_of_polygon] >= 0
+        n_rings = _sums(kept_rings.astype(np.int64), ring_of) * alive
+        kept_polygons = n_rings > 0
+        row_of_run = np.repeat(row_of_polygon, np.diff(ring_of))
+        keep_run = kept_rings & (shape[row_of_run] >= 0)
+    else:
+        row_of_run = np.repeat(np.arange(len(kinds)), np.diff(groups))
+        keep_run = (np.diff(runs) > 0) & (shape[row_of_run] >= 0)
+    sizes = np.diff(runs)
+    row_of_vertex = np.repeat(row_of_run, sizes)
+    keep = np.repeat(keep_run, sizes)
+    is_point = shape == 0
+    if is_point.any():  # only the first vertex that is kept
+        at = np.flatnonzero(keep & is_point[row_of_vertex])
+        first = at[np.unique(row_of_vertex[at], return_index=True)[1]]
+        keep = keep & ~is_point[row_of_vertex]
+        keep[first] = True
+    rows = len(kinds)
+    held = np.bincount(row_of_vertex[keep], minlength=rows)
+    width = np.zeros(rows, np.int64)
+    width[row_of_vertex[keep]] = vertices[keep]
+    if (vertices[keep] != width[row_of_vertex[keep]]).any():
+        raise ValueError("the vertices of a shape have different numbers of ordinates")
+    there = held > 0
+    dimension = np.where(width == 4, 3000, np.where(width == 2, 0, np.where(has_z, 1000, 2000)))
+    codes = np.array([c for c, _ in _KINDS.values()] + [7])[shape] + np.where(there, dimension, 0)
+    codes[~there] = 7
+    inner = np.array([c for _, c in _KINDS.values()] + [0])[shape] + dimension
+    # segments behind the shape's own header: vertices of multipoints, lines, or polygons and their rings
+    line, many = shape == 2, shape == 1
+    per_run = np.where(line[row_of_run] & keep_run, 1, 0) if not deep else keep_run.astype(np.int64)
+    count = np.bincount(row_of_run, per_run, rows).astype(np.int64) if not deep else np.bincount(row_of_polygon[kept_polygons], minlength=rows)
+    count = np.where(many, held, count) * there
+    behind = count + (np.bincount(row_of_run[keep_run], minlength=rows) * there if deep else 0)
+    start = np.concatenate([[0], np.cumsum(1 + behind)])
+    total = int(start[-1])
+    head, length, data = np.zeros((total, 9), np.uint8), np.full(total, 9, np.int64), np.zeros(total, np.int64)
+    code, number, lead = np.zeros(total, np.uint32), np.zeros(total, np.uint32), np.ones(total, np.uint8)
+    own = start[:-1]
+    code[own], number[own] = codes, count
+    length[own[is_point & there]] = 5
+    data[own[is_point & there]] = 8 * width[is_point & there]
+    lengths_of_run = np.where(keep_run, sizes, 0)
+
+    def placed(row_of: np.ndarray) -> np.ndarray:
+        """Segments of things that follow each other in rows, counted from the row's first one."""
+        fresh = np.concatenate([[True], row_of[1:] != row_of[:-1]]) if len(row_of) else np.zeros(0, bool)
+        begin = np.maximum.accumulate(np.where(fresh, np.arange(len(row_of)), 0))
+        return own[row_of] + 1 + np.arange(len(row_of)) - begin
+
+    if deep:
+        # a polygon's header stands before its rings: both in order of their places
+        which = np.flatnonzero(keep_run)
+        polygon_of_run = np.repeat(np.arange(len(row_of_polygon)), np.diff(ring_of))[which]
+        opens = np.concatenate([[True], polygon_of_run[1:] != polygon_of_run[:-1]]) if len(which) else np.zeros(0, bool)
+        row = row_of_run[which]
+        before = np.cumsum(opens)
+        first = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows) + np.bincount(row[opens], minlength=rows))])
+        ring_at = own[row] + 1 + np.arange(len(which)) + before - first[row]
+        at = ring_at[opens] - 1
+        code[at], number[at] = inner[row[opens]], n_rings[polygon_of_run[opens]]
+        number[ring_at], length[ring_at], data[ring_at] = sizes[which], 4, 8 * width[row] * sizes[which]
+    else:
+        which = np.flatnonzero(per_run)
+        at = placed(row_of_run[which])
+        code[at], number[at], data[at] = inner[row_of_run[which]], lengths_of_run[which], 8 * width[row_of_run[which]] * sizes[which]
+        which = np.flatnonzero(keep & many[row_of_vertex])
+        at = placed(row_of_vertex[which])
+        code[at], length[at], data[at] = inner[row_of_vertex[which]], 5, 8 * width[row_of_vertex[which]]
+    head[:, 0] = lead
+    head[:, 1:5] = code.astype("<u4").view(np.uint8).reshape(-1, 4)
+    head[:, 5:9] = number.astype("<u4").view(np.uint8).reshape(-1, 4)
+    place = np.arange(9)[None, :]
+    used = np.where((length == 4)[:, None], place >= 5, place < length[:, None])
+    mask = np.repeat(np.tile([True, False], total), np.stack([length, data], 1).ravel())
+    out = np.empty(len(mask), np.uint8)
+    out[mask] = head[used]
+    out[~mask] = numbers[np.repeat(keep, vertices)].astype("<f8").view(np.uint8)
+    ends = np.concatenate([[0], np.cumsum(length + data)])[start]
+    return pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(out)]).cast(pa.binary())
 
 
 def with_binary(rows: DataFrame, kind: str = "kind", parts: str = "parts", has_z: str = "has_z", out: str = "wkb") -> DataFrame:
@@ -143,8 +227,9 @@ def with_binary(rows: DataFrame, kind: str = "kind", parts: str = "parts", has_z
 
     def pack(batches):
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in (kind, parts, has_z))
-            shapes = [encode_polygons(p or [], bool(z)) if k == "polygon" else encode(k, p, bool(z)) for k, p, z in zip(*columns)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(shapes, pa.binary())], [*batch.schema.names, out])
+            if batch.num_rows:
+                z = np.asarray(batch.column(has_z).fill_null(False))
+                shapes = binary_shapes(batch.column(kind).to_pylist(), batch.column(parts), z)
+                yield pa.RecordBatch.from_arrays([*batch.columns, shapes], [*batch.schema.names, out])
 
     return rows.mapInArrow(pack, schema)

@@ -49,13 +49,52 @@ def hole_assignment(spark, sf_dir):
     return geometry.assign_holes(squares.select("feature", "pos", ring.alias("ring")))
 
 
-@query("wkb_encode")
+#: A 32-bit number and a double as little-endian hexadecimal digits.
+WORD = "printf('%02X%02X0000', {0} & 255, {0} >> 8)"
+REAL = "(SELECT h[15:16] || h[13:14] || h[11:12] || h[9:10] || h[7:8] || h[5:6] || h[3:4] || h[1:2] FROM (SELECT hex(CAST(CAST(CAST({0} AS DOUBLE) AS BIT) AS BLOB)) AS h))"
+VERTICES_SQL = f"""
+WITH o AS (SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings),
+h AS (SELECT vec_id, label, i, hex(CAST(CAST(CAST(x AS DOUBLE) AS BIT) AS BLOB)) AS h FROM o),
+r AS (SELECT vec_id, label, i, h[15:16] || h[13:14] || h[11:12] || h[9:10] || h[7:8] || h[5:6] || h[3:4] || h[1:2] AS d FROM h),
+v AS (SELECT vec_id, label, (i - 1) // 2 AS n, string_agg(d, '' ORDER BY i) AS xy FROM r GROUP BY 1, 2, 3)"""
+
+
+@query("wkb_encode", f"""{VERTICES_SQL}
+SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN '010700000000000000' ELSE '0105000000' || '01000000' || '0102000000' || {WORD.format('COUNT(*)')} || string_agg(xy, '' ORDER BY n) END AS wkb_hex FROM v GROUP BY vec_id
+""")
 def wkb_encode(spark, sf_dir):
     """Embeddings as polylines of 32 vertices in binary form; rows whose id is divisible by 7 have no shape and get the empty one."""
     rows = _rings(spark, sf_dir).select("vec_id", F.when(F.col("vec_id") % 7 != 0, F.lit("polyline")).alias("kind"), F.array("ring").alias("parts"), F.lit(False).alias("has_z"))
     return geometry.with_binary(rows).select("vec_id", F.hex("wkb").alias("wkb_hex"))
 
 
+@query("wkb_kinds", f"""{VERTICES_SQL}, more AS (SELECT {REAL.format(1.5)} AS z, {REAL.format(2.5)} AS m),
+w AS (SELECT v.*, vec_id % 4 AS kind, xy || CASE label % 3 WHEN 0 THEN '' WHEN 1 THEN z ELSE z || m END AS d FROM v, more),
+c AS (SELECT *, CASE label % 3 WHEN 0 THEN 0 WHEN 1 THEN CASE WHEN vec_id % 2 = 0 THEN 1000 ELSE 2000 END ELSE 3000 END AS base FROM w)
+SELECT vec_id, CASE kind
+  WHEN 0 THEN '01' || {WORD.format('(MIN(base) + 1)')} || MIN(CASE WHEN n = 0 THEN d END)
+  WHEN 1 THEN '01' || {WORD.format('(MIN(base) + 4)')} || {WORD.format('COUNT(*)')} || string_agg('01' || {WORD.format('(base + 1)')} || d, '' ORDER BY n)
+  WHEN 2 THEN '01' || {WORD.format('(MIN(base) + 5)')} || '02000000' || '01' || {WORD.format('(MIN(base) + 2)')} || {WORD.format('COUNT(*) FILTER (n < 20)')} || string_agg(CASE WHEN n < 20 THEN d END, '' ORDER BY n)
+    || '01' || {WORD.format('(MIN(base) + 2)')} || {WORD.format('COUNT(*) FILTER (n >= 20)')} || string_agg(CASE WHEN n >= 20 THEN d END, '' ORDER BY n)
+  ELSE '01' || {WORD.format('(MIN(base) + 6)')} || '02000000' || '01' || {WORD.format('(MIN(base) + 3)')} || '02000000' || {WORD.format('COUNT(*) FILTER (n < 20)')} || string_agg(CASE WHEN n < 20 THEN d END, '' ORDER BY n)
+    || {WORD.format('COUNT(*) FILTER (n >= 20)')} || string_agg(CASE WHEN n >= 20 THEN d END, '' ORDER BY n) || '01' || {WORD.format('(MIN(base) + 3)')} || '01000000' || {WORD.format('COUNT(*)')} || string_agg(d, '' ORDER BY n) END AS wkb_hex
+FROM c GROUP BY vec_id, kind
+""")
+def wkb_kinds(spark, sf_dir):
+    """Points, multipoints, lines of two parts with an empty one between, and polygons of two, with z, m, both or neither."""
+    label = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    kind = F.col("vec_id") % 4
+    extra = F.when(F.col("label") % 3 == 0, F.array().cast("array<double>")).when(F.col("label") % 3 == 1, F.array(F.lit(1.5))).otherwise(F.array(F.lit(1.5), F.lit(2.5)))
+    rows = _rings(spark, sf_dir).join(label, "vec_id").withColumn("ring", F.transform("ring", lambda p: F.concat(p, extra)))
+    cut = [F.slice("ring", 1, 20), F.slice("ring", 21, 100)]
+    none = F.array().cast("array<array<double>>")
+    flat = rows.where(kind < 3).select(
+        "vec_id", F.element_at(F.array(F.lit("point"), F.lit("multipoint"), F.lit("polyline")), (kind + 1).cast("int")).alias("kind"), F.when(kind == 2, F.array(cut[0], none, cut[1])).otherwise(F.array("ring")).alias("parts"), (F.col("vec_id") % 2 == 0).alias("has_z")
+    )
+    deep = rows.where(kind == 3).select("vec_id", F.lit("polygon").alias("kind"), F.array(F.array(*cut), F.array("ring"), F.array(none)).alias("parts"), (F.col("vec_id") % 2 == 0).alias("has_z"))
+    return geometry.with_binary(flat).select("vec_id", F.hex("wkb").alias("wkb_hex")).unionByName(geometry.with_binary(deep).select("vec_id", F.hex("wkb").alias("wkb_hex")))
+
+
 @query("vertex_decode", """
 SELECT vec_id, vec_id % 11 = 0 AS unencodable, CAST(CASE WHEN vec_id % 11 <> 0 THEN CASE WHEN vec_id % 2 = 0 THEN 32 ELSE 0 END END AS INTEGER) AS nulled,
   CAST(CASE WHEN vec_id % 11 <> 0 THEN 32 END AS INTEGER) AS vertices FROM embeddings

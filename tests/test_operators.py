@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,15 +192,55 @@ def test_holes_go_to_the_first_outer_ring_and_orphans_adopt(spark):
     assert rows(geometry.assign_holes(frame), "feature", "pos", "polygon") == [(1, 0, 0), (1, 1, 0), (1, 2, 2), (1, 3, 2), (2, 0, 0), (2, 1, 1)]
 
 
-def test_binary_shapes_read_back(spark):
-    point, line = geometry.encode("point", [[[1.0, 2.0]]], False), geometry.encode("polyline", [[[0.0, 0.0, 5.0], [1.0, 1.0, 6.0]]], True)
-    assert point.hex() == "0101000000000000000000f03f0000000000000040"
-    assert line[:9].hex() == "01ed03000001000000" and geometry.encode(None, None, False) == geometry.EMPTY
-    polygon = geometry.encode_polygons([[[[0.0, 0.0], [0.0, 1.0], [1.0, 1.0], [0.0, 0.0]]]], False)
-    assert polygon[:5].hex() == "0106000000" and len(polygon) == 9 + 9 + 4 + 4 * 16
+def plain_binary(kind, parts, has_z):
+    """One shape, written part by part."""
+    own = lambda vertices: b"".join(struct.pack(f"<{len(v)}d", *v) for v in vertices)
+    if kind == "polygon":
+        polygons = [[r for r in rings if r] for rings in parts or []]
+        polygons = [rings for rings in polygons if rings]
+        vertices = [v for rings in polygons for r in rings for v in r]
+    else:
+        lines = [p for p in parts or [] if p]
+        vertices = [v for p in lines for v in p]
+    if kind is None or not vertices:
+        return geometry.EMPTY
+    base = {2: 0, 3: 1000 if has_z else 2000, 4: 3000}[len(vertices[0])]
+    if kind == "point":
+        return struct.pack("<BI", 1, base + 1) + own(vertices[:1])
+    if kind == "multipoint":
+        return struct.pack("<BII", 1, base + 4, len(vertices)) + b"".join(struct.pack("<BI", 1, base + 1) + own([v]) for v in vertices)
+    if kind == "polyline":
+        return struct.pack("<BII", 1, base + 5, len(lines)) + b"".join(struct.pack("<BII", 1, base + 2, len(p)) + own(p) for p in lines)
+    return struct.pack("<BII", 1, base + 6, len(polygons)) + b"".join(struct.pack("<BII", 1, base + 3, len(rings)) + b"".join(struct.pack("<I", len(r)) + own(r) for r in rings) for rings in polygons)
+
+
+@pytest.mark.parametrize("deep", [False, True])
+def test_binary_shapes_of_every_kind(spark, deep):
+    rnd = random.Random(3 + deep)
+    shapes = []
+    for i in range(300):
+        width = rnd.choice([2, 3, 4])
+        line = lambda: [[rnd.uniform(-9, 9) for _ in range(width)] for _ in range(rnd.choice([0, 1, 2, 5]))]  # noqa: E731, B023
+        parts = [[line() for _ in range(rnd.randint(0, 3))] if deep else line() for _ in range(rnd.randint(0, 3))]
+        kind = rnd.choice(["polygon", None] if deep else ["point", "multipoint", "polyline", None])
+        shapes.append((i, kind, rnd.choice([parts, parts, parts, None]), rnd.choice([True, False, None])))
+    depth = "array<array<array<array<double>>>>" if deep else "array<array<array<double>>>"
+    frame = spark.createDataFrame(shapes, f"id int, kind string, parts {depth}, has_z boolean")
+    found = {r["id"]: bytes(r["wkb"]) for r in geometry.with_binary(frame).collect()}
+    assert found == {i: plain_binary(kind, parts, bool(z)) for i, kind, parts, z in shapes}
+    assert geometry.with_binary(frame.limit(0)).count() == 0
     spark.conf.set("spark.sql.geospatial.enabled", "true")
-    frame = spark.createDataFrame([(bytearray(point),), (bytearray(line),), (bytearray(polygon),)], "g binary")
-    assert all(r["g"] == r["back"] for r in frame.selectExpr("g", "st_asbinary(st_geomfromwkb(g)) AS back").collect())
+    some = [(bytearray(v),) for v in found.values() if v != geometry.EMPTY and int.from_bytes(v[1:5], "little") < 7]
+    assert all(r["g"] == r["back"] for r in spark.createDataFrame(some, "g binary").selectExpr("g", "st_asbinary(st_geomfromwkb(g)) AS back").collect())
+
+
+def test_shapes_that_cannot_be_written():
+    one = lambda kind, parts: geometry.binary_shapes([kind], pa.array([parts], pa.list_(pa.list_(pa.list_(pa.float64())))), np.array([False]))
+    with pytest.raises(ValueError, match="no shape of kind 'circle'"):
+        one("circle", [[[1.0, 2.0]]])
+    with pytest.raises(ValueError, match="different numbers"):
+        one("polyline", [[[1.0, 2.0], [1.0, 2.0, 3.0]]])
+    assert one("point", [[[1.0, 2.0]]])[0].as_py().hex() == "0101000000000000000000f03f0000000000000040"
 
 
 def test_vertices_that_do_not_fit(spark):
