@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 #: Operations larger than this many bytes are left out and counted.
 LARGEST = 1 << 20
 
@@ -71,7 +73,10 @@ def operations(previous: DataFrame, current: DataFrame, keys: list[str], columns
 
 
 def apply_operations(base: DataFrame, ops: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """The table after its operations (T7): deletes and updates replace the row of their key, inserts add theirs."""
+    """The table after its operations (T7): deletes and updates replace the row of their key, inserts add theirs.
+
+    ops is read twice; a run stores it anyway (session.stored), so that it is not made twice.
+    """
     touched = ops.where("op in ('update', 'delete')").select(*keys)
     kept = base.select(*keys, *columns).join(touched, keys, "left_anti")
     return kept.unionByName(ops.where("op in ('insert', 'update')").select(*keys, *columns))
@@ -84,12 +89,13 @@ def change_feed_diff(previous: DataFrame, current: DataFrame, touched: DataFrame
     unchanged. Named deletes of keys that are there and not consumed are deletes; of others they are unknown
     (T10). A touched key without a row yields nothing. previous and current have one row per key.
     """
-    distinct = lambda df, flag: df.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
-    named = distinct(touched, "_touched").join(distinct(deleted, "_named"), key, "full_outer")
-    # the tables are reduced to the named keys where they lie, if these are few enough to be broadcast; no join outgrows them
+    flagged = lambda df, mine: df.select(key, F.lit(mine).alias("_touched"), F.lit(not mine).alias("_named")).where(F.col(key).isNotNull())
+    named = flagged(touched, True).unionByName(flagged(deleted, False)).groupBy(key).agg(F.bool_or("_touched").alias("_touched"), F.bool_or("_named").alias("_named"))
+    # the names are used three times, and stored for it; the tables are reduced to the named keys where they lie, if these are few enough to be broadcast; no join outgrows them
+    named = stored(named, "named-keys")
     own = lambda df, state: df.join(named.select(key), key, "left_semi").select(key, F.struct(*columns).alias(state))
     both = named.join(own(current, "_new"), key, "left").join(own(previous, "_old"), key, "left")
-    read = F.coalesce(F.col("_touched"), F.lit(False)) & F.col("_new").isNotNull()
+    read = F.col("_touched") & F.col("_new").isNotNull()
     state = F.when(read, F.when(F.col("_old").isNull(), "insert").when(F.col("_old").eqNullSafe(F.col("_new")), "unchanged").otherwise("update"))
     gone = F.when(F.col("_named"), F.when(F.col("_old").isNotNull() & ~read, "delete").otherwise("unknown"))
     return both.select(key, F.explode(F.array_compact(F.array(state, gone))).alias("op"))
@@ -99,7 +105,7 @@ def roll_index(index: DataFrame, ops: DataFrame, key: str) -> DataFrame:
     """The key index after the written operations (T3): key, feature_id and hash; what was not written keeps its entry.
 
     index: key, feature_id, hash. ops: op, key and, but for deletes, feature_id and hash; at most one per key. The index
-    meets the written keys only, in an anti join that broadcasts them where they are few.
+    meets the written keys only, in an anti join that broadcasts them where they are few. ops is read twice: store it first.
     """
     columns = [key, "feature_id", "hash"]
     kept = index.select(*columns).join(ops.select(key), key, "left_anti")

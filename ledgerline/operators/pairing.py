@@ -67,13 +67,13 @@ def moved(a_size: Column, b_size: Column, a_type: Column, b_type: Column) -> Col
 def attachment_diff(basis: DataFrame, listed: DataFrame, parents: DataFrame) -> DataFrame:
     """What happened to attachments between two listings (J10): oid, name, global_id, op.
 
-    basis and listed: oid, name, global_id, size, content_type. parents: oid of the rows there are now.
-    Stage 1 pairs by global id (of equal ones the last counts), stage 2 the rest by (oid, name): one on each side
+    basis and listed: pos (order of arrival), oid, name, global_id, size, content_type. parents: oid of the rows there are now.
+    Stage 1 pairs by global id (of equal ones the last to arrive counts), stage 2 the rest by (oid, name): one on each side
     pairs, rows on one side only are adds or deletes, anything else is ambiguous. Unnamed rows that stage 1 does not
     pair are refused, as are adds to unknown parents (orphan). Pairs are replace where size or type moved, incomparable
     where they cannot be told, else unchanged.
     """
-    rank = lambda df: df.withColumn("_n", F.row_number().over(Window.partitionBy("global_id").orderBy(F.desc("oid"), F.desc("name"))))
+    rank = lambda df: df.withColumn("_n", F.row_number().over(Window.partitionBy("global_id").orderBy(F.desc("pos"))))
     keyed = lambda df: rank(df.where("global_id is not null")).where("_n = 1").drop("_n")
     old, new = keyed(basis).alias("old"), keyed(listed).alias("new")
     state = moved(F.col("old.size"), F.col("new.size"), F.col("old.content_type"), F.col("new.content_type"))

@@ -10,8 +10,8 @@ from ..session import table
 from ..sources import logs
 from .base import derive, plain, query
 
-BASIS = "SELECT user_id AS oid, event_type AS name, CASE WHEN event_id % 4 = 0 THEN CAST(event_id AS STRING) END AS global_id, CAST(event_id % 97 AS BIGINT) AS size, CASE WHEN event_id % 5 = 0 THEN 'image/png' END AS content_type FROM {events} WHERE event_id % 10 < 3"
-LISTED = "SELECT user_id AS oid, CASE WHEN event_id % 101 = 0 THEN NULL ELSE event_type END AS name, CASE WHEN event_id % 4 = 0 THEN CAST(event_id AS STRING) END AS global_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(event_id % 97 + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) END AS size, CASE WHEN event_id % 5 = 0 THEN 'image/png' END AS content_type FROM {events} WHERE event_id % 10 BETWEEN 1 AND 5"
+BASIS = "SELECT event_id AS pos, user_id AS oid, event_type AS name, CASE WHEN event_id % 4 = 0 THEN CAST(CAST(floor(event_id / 8) AS BIGINT) AS STRING) END AS global_id, CAST(event_id % 97 AS BIGINT) AS size, CASE WHEN event_id % 5 = 0 THEN 'image/png' END AS content_type FROM {events} WHERE event_id % 10 < 3"
+LISTED = "SELECT event_id AS pos, user_id AS oid, CASE WHEN event_id % 101 = 0 THEN NULL ELSE event_type END AS name, CASE WHEN event_id % 4 = 0 THEN CAST(CAST(floor(event_id / 8) AS BIGINT) AS STRING) END AS global_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE CAST(event_id % 97 + CASE WHEN event_id % 7 = 0 THEN 1 ELSE 0 END AS BIGINT) END AS size, CASE WHEN event_id % 5 = 0 THEN 'image/png' END AS content_type FROM {events} WHERE event_id % 10 BETWEEN 1 AND 5"
 
 
 def moved_sql(a: str, b: str, at: str, bt: str) -> str:
@@ -22,8 +22,8 @@ def moved_sql(a: str, b: str, at: str, bt: str) -> str:
 
 @query("attachment_diff", f"""
 WITH b AS ({plain(BASIS)}), l AS ({plain(LISTED)}), parents AS (SELECT DISTINCT user_id AS oid FROM events WHERE user_id % 11 <> 0),
-kb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY oid DESC, name DESC) AS n FROM b WHERE global_id IS NOT NULL) WHERE n = 1),
-kl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY oid DESC, name DESC) AS n FROM l WHERE global_id IS NOT NULL) WHERE n = 1),
+kb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY pos DESC) AS n FROM b WHERE global_id IS NOT NULL) WHERE n = 1),
+kl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY pos DESC) AS n FROM l WHERE global_id IS NOT NULL) WHERE n = 1),
 paired AS (SELECT kl.oid, kl.name, kl.global_id, {moved_sql('kb.size', 'kl.size', 'kb.content_type', 'kl.content_type')} AS m FROM kb JOIN kl ON kb.global_id = kl.global_id),
 rb AS (SELECT * FROM b WHERE global_id IS NULL OR global_id NOT IN (SELECT global_id FROM paired)), rl AS (SELECT * FROM l WHERE global_id IS NULL OR global_id NOT IN (SELECT global_id FROM paired)),
 gb AS (SELECT oid, name, COUNT(*) AS n, MIN(size) AS size, MIN(content_type) AS type, MIN(global_id) AS id FROM rb WHERE name IS NOT NULL AND oid IS NOT NULL GROUP BY 1, 2),

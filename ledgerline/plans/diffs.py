@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import content_hash, feature_id
 from ..operators import batches, diff, tally
-from ..session import own_place, table
+from ..session import own_place, stored, table
 from ..streaming import classify
 from .base import derive, plain, query
 
@@ -50,7 +50,7 @@ def delta_counts(spark, sf_dir):
 @query("delta_apply_roundtrip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def delta_apply_roundtrip(spark, sf_dir):
     previous, current, key = derive(spark, sf_dir, PREVIOUS), table(spark, sf_dir, "orders"), [F.col("o_orderkey")]
-    ops = diff.operations(previous, current, ["o_orderkey"], STATE, key, key)
+    ops = stored(diff.operations(previous, current, ["o_orderkey"], STATE, key, key), "operations")
     return diff.apply_operations(previous, ops, ["o_orderkey"], STATE)
 
 
@@ -114,7 +114,7 @@ def index_rollforward(spark, sf_dir):
     state = lambda word: F.md5(F.concat_ws("-", text, "o_orderstatus", F.lit(word))).alias("hash")
     index = derive(spark, sf_dir, PREVIOUS).select("o_orderkey", identity, state("old"))
     key = [F.col("o_orderkey")]
-    ops = diff.operations(derive(spark, sf_dir, PREVIOUS), table(spark, sf_dir, "orders"), ["o_orderkey"], STATE, key, key)
+    ops = stored(diff.operations(derive(spark, sf_dir, PREVIOUS), table(spark, sf_dir, "orders"), ["o_orderkey"], STATE, key, key), "operations")
     return diff.roll_index(index, ops.select("o_orderkey", "op", identity, state("new")), "o_orderkey")
 
 

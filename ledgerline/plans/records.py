@@ -8,7 +8,7 @@ from .. import runs
 from ..functions import text
 from ..operators import catalog, forest, ordering, pairing, tally
 from ..session import own_place, table
-from ..sources import definitions, landed, logs, sinks
+from ..sources import definitions, landed, logs, sinks, windows
 from .base import derive, plain, query
 
 
@@ -501,3 +501,30 @@ def bucketed_index_run(spark, sf_dir):
     path = own_place(spark, "bucketed-index")
     index = logs.write_index(runs.extract(first, ["v"], "run 1").index, f"key_index_{path[-32:]}", path, buckets=8)
     return runs.increment(index, orders.where("key % 22 <> 0"), ["v"], "run 2").operations.select("dataset", "key", "op")
+
+
+@query("table_catalogue", """
+WITH t AS (SELECT 'part' AS layer, 'p_' AS prefix UNION ALL SELECT 'supplier', 's_' UNION ALL SELECT 'nation', 'n_'),
+n AS (SELECT 'part' AS layer, COUNT(*) AS n_rows FROM part UNION ALL SELECT 'supplier', COUNT(*) FROM supplier UNION ALL SELECT 'nation', COUNT(*) FROM nation)
+SELECT layer, fields, CAST(len(string_split(fields, ', ')) AS BIGINT) AS n_fields, CAST(n_domains AS BIGINT) AS n_domains, n_rows FROM (VALUES
+  ('part', 'p_partkey, p_name, p_brand=Brands, p_type=Types, p_size, p_retailprice', 2), ('supplier', (SELECT string_agg(column_name || CASE column_name WHEN 's_nationkey' THEN '=Nations' ELSE '' END, ', ' ORDER BY column_index) FROM duckdb_columns() WHERE table_name = 'supplier'), 1),
+  ('nation', (SELECT string_agg(column_name || CASE column_name WHEN 'n_nationkey' THEN '=Nations' ELSE '' END, ', ' ORDER BY column_index) FROM duckdb_columns() WHERE table_name = 'nation'), 1)) AS f(layer, fields, n_domains) JOIN n USING (layer)
+""")
+def table_catalogue(spark, sf_dir):
+    """Driver tables with their fields, the domains that these use, and how many rows there are."""
+    tables = {name: table(spark, sf_dir, name) for name in ("part", "supplier", "nation")}
+    uses = [("part", "p_brand", "Brands"), ("part", "p_type", "Types"), ("supplier", "s_nationkey", "Nations"), ("nation", "n_nationkey", "Nations"), ("nation", "nowhere", "Lost")]
+    found = definitions.table_catalogue(definitions.table_fields(spark, tables), spark.createDataFrame(uses, "layer string, name string, domain string"), definitions.counted_rows(tables))
+    names = F.transform("fields", lambda f: F.concat(f["name"], F.coalesce(F.concat(F.lit("="), f["domain"]), F.lit(""))))
+    return found.select("layer", F.array_join(names, ", ").alias("fields"), "n_fields", "n_domains", "n_rows")
+
+
+@query("change_windows", "SELECT CAST(user_id % 3 AS BIGINT) AS layer, CAST(event_id // 3000 AS BIGINT) AS generation, CAST(event_id AS BIGINT) AS id, event_type AS state FROM events WHERE user_id % 3 < 2 AND event_id >= 3000")
+def change_windows(spark, sf_dir):
+    """Events landed as pages of two layers' windows, and what lies behind a cursor, read through the source with its filters."""
+    folder = own_place(spark, "windows")
+    events = table(spark, sf_dir, "events").select((F.col("user_id") % 3).alias("layer"), F.floor(F.col("event_id") / 3000).alias("generation"), F.col("event_id").alias("id"), F.col("event_type").alias("state"))
+    windows.land(events, folder)
+    windows.register(spark)
+    read = spark.read.format("change_windows").schema("layer bigint, generation bigint, id bigint, state string").load(folder)
+    return read.where("layer in (0, 1) and generation > 0")

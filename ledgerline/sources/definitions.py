@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +48,21 @@ def table_fields(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame
     """The field catalogue of Spark tables (S19): layer, pos, name, type, alias, nullable. Only schemas are read."""
     rows = [(layer, pos, f.name, f.dataType.simpleString(), f.metadata.get("alias"), f.nullable) for layer, df in tables.items() for pos, f in enumerate(df.schema)]
     return spark.createDataFrame(rows, "layer string, pos int, name string, type string, alias string, nullable boolean")
+
+
+def table_catalogue(fields: DataFrame, uses: DataFrame, counts: DataFrame) -> DataFrame:
+    """Tables with their fields and rows (S19): layer, fields (in order: name, type, alias, nullable, domain), n_fields, n_domains, n_rows.
+
+    fields: layer, pos, name, type, alias, nullable. uses: layer, name, domain; counts: layer, n_rows (none: not known). A layer without
+    fields has no row; a domain of a field that is not there is passed over.
+    """
+    named = fields.join(uses.select("layer", "name", "domain"), ["layer", "name"], "left")
+    own = F.array_sort(F.collect_list(F.struct("pos", "name", "type", "alias", "nullable", "domain")))
+    listed = named.groupBy("layer").agg(own.alias("fields"), F.count("*").alias("n_fields"), F.countDistinct("domain").alias("n_domains"))
+    return listed.join(counts.select("layer", "n_rows"), "layer", "left").select("layer", "fields", "n_fields", "n_domains", "n_rows")
+
+
+def counted_rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """layer and n_rows of tables: one aggregate each, in one job, which reads no column where the source keeps counts."""
+    each = [df.agg(F.count("*").alias("n_rows")).select(F.lit(layer).alias("layer"), "n_rows") for layer, df in tables.items()]
+    return reduce(DataFrame.unionByName, each)

@@ -69,11 +69,12 @@ def test_oversize_rows_are_split_off(spark):
 
 def test_attachments_pair_or_are_refused(spark):
     schema = "oid long, name string, global_id string, size long, content_type string"
-    basis = spark.createDataFrame(
-        [(1, "grown", "g1", 5, None), (1, "same", "g2", 7, "t"), (1, "gone", "g3", 7, None), (2, "twice", None, 1, None), (2, "twice", None, 2, None), (3, "blind", None, None, None), (4, "by name", None, 9, None), (4, None, None, 1, None)], schema
+    arrived = lambda rows: spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], f"pos int, {schema}")
+    basis = arrived(
+        [(9, "older", "g1", 6, None), (1, "grown", "g1", 5, None), (1, "same", "g2", 7, "t"), (1, "gone", "g3", 7, None), (2, "twice", None, 1, None), (2, "twice", None, 2, None), (3, "blind", None, None, None), (4, "by name", None, 9, None), (4, None, None, 1, None)]
     )
-    listed = spark.createDataFrame(
-        [(1, "grown", "g1", 6, None), (1, "same", "g2", 7, "t"), (2, "twice", None, 1, None), (3, "blind", None, None, None), (4, "by name", None, 9, None), (5, "new", "g9", 1, None), (99, "lost", None, 1, None)], schema
+    listed = arrived(
+        [(1, "grown", "g1", 6, None), (1, "same", "g2", 7, "t"), (2, "twice", None, 1, None), (3, "blind", None, None, None), (4, "by name", None, 9, None), (5, "new", "g9", 1, None), (99, "lost", None, 1, None)]
     )
     parents = spark.createDataFrame([(1,), (2,), (3,), (4,), (5,)], "oid long")
     found = pairing.attachment_diff(basis, listed, parents)

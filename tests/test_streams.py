@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import diff
+from ledgerline.sources import windows
 from ledgerline.streaming import classify
 
 ROWS = "dataset string, oid long, seq long, hash string, gone boolean, new_id string"
@@ -53,3 +55,35 @@ def test_a_window_of_a_seeded_stream_is_the_feed_diff(spark, tmp_path):
     ids = lambda keys: spark.createDataFrame([(k,) for k in keys], "oid long")
     named = diff.change_feed_diff(table(before), table(now), ids([k for k, (_, gone) in edits.items() if not gone]), ids([k for k, (_, gone) in edits.items() if gone]), "oid", ["hash"])
     assert found == {r["oid"]: r["op"] for r in named.select("oid", F.col("op")).collect()}
+
+
+def test_windows_are_read_on_from_where_a_stream_was(spark, tmp_path):
+    folder, schema = str(tmp_path / "windows"), "layer bigint, generation bigint, id bigint, state string"
+    windows.register(spark)
+    edits = lambda generations: spark.createDataFrame([(layer, g, 100 * g + i, f"s{i}") for layer in (0, 1) for g in generations for i in range(5)], schema)
+    windows.land(edits([1, 2]), folder)
+
+    def run(name, **options):
+        source = spark.readStream.format("change_windows").schema(schema).options(**options).load(folder)
+        source.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / f"{name}-state")).trigger(availableNow=True).start(str(tmp_path / name)).awaitTermination()
+        return sorted((r["layer"], r["generation"]) for r in spark.read.schema(schema).parquet(str(tmp_path / name)).select("layer", "generation").collect())
+
+    assert run("all") == sorted((layer, g) for layer in (0, 1) for g in (1, 2) for _ in range(5))
+    windows.land(edits([3]), folder)
+    (tmp_path / "windows" / "layer=0" / "generation=4").mkdir()  # not done yet
+    (tmp_path / "windows" / "layer=0" / "generation=4" / "part.json").write_text('{"id": 1}\n')
+    assert run("all") == sorted((layer, g) for layer in (0, 1) for g in (1, 2, 3) for _ in range(5))  # window 3 once, 1 and 2 not again
+    assert run("some", since='{"0": 2, "1": 3}') == [(0, 3)] * 5
+    read = spark.read.format("change_windows").schema(schema).load(folder)
+    assert read.where("layer = 1 and generation >= 2").count() == 10 and read.where("id = 300").count() == 2
+    assert read.where("layer = 1 and generation = 3").rdd.getNumPartitions() == 1
+
+
+def test_a_page_that_is_wrong_is_an_error(spark, tmp_path):
+    windows.register(spark)
+    (tmp_path / "layer=1" / "generation=1").mkdir(parents=True)
+    (tmp_path / "layer=1" / "generation=1" / "page.json").write_text("{broken\n")
+    (tmp_path / "layer=1" / "generation=1" / "_done").write_text("")
+    with pytest.raises(Exception, match="(?s)Expecting property name"):
+        spark.read.format("change_windows").schema("layer bigint, id bigint").load(str(tmp_path)).collect()
+    assert spark.read.format("change_windows").schema("layer bigint").load(str(tmp_path / "nothing")).count() == 0
