@@ -67,16 +67,25 @@ HOSTED = [
     Rule("domain", UNSUPPORTED, "kind_of_domain not in ('coded', 'range')", "concat('domains of kind ', kind_of_domain, ' have no counterpart')"),
     Rule("domain", LOSS, "n_bindings > 0 and not in_subtypes", "concat('bound by ', cast(n_bindings as string), ' fields, and bindings outside subtypes are not kept')"),
     Rule("subtype", LOSS, "default_code is not null", "'the default code is not kept'"),
+    Rule("subtype", LOSS, "size(domain_names) > 0", "concat('domains are assigned by name and need the ids of loaded ones: ', array_join(array_sort(array_distinct(domain_names)), ', '))"),
     Rule("relationship", UNSUPPORTED, "cardinality = 'many to many'", "'many to many needs a table between'"),
     Rule("relationship", UNSUPPORTED, "destination is null", "'the other side is not here'"),
     Rule("relationship", LOSS, "composite", "'parts do not go with their whole'"),
     Rule("relationship", LOSS, "origin_key is not null", "'the key on the origin side is implied'"),
     Rule("relationship", LOSS, "forward_label is not null or backward_label is not null", "'labels are not kept'"),
     Rule("attachments", LOSS, "keywords > 0", "'keywords are kept as metadata only'"),
+    Rule("attachments", LOSS, "n_large > 0", "concat(cast(n_large as string), ' are larger than a request may be')"),
+    Rule("metadata", NOT_APPLICABLE, "described is not null and not described", "'nothing is described'"),
     Rule("metadata", LOSS, "true", "'descriptions are kept as one text'"),
+    Rule("metadata", LOSS, "n_sections > 0", "concat(cast(n_sections as string), ' other sections of the record have no place')"),
+    Rule("versioning", NOT_APPLICABLE, "not coalesce(versioned, false)", "'there are no versions to carry'"),
+    Rule("versioning", UNSUPPORTED, "gdb_version is not null", "concat('only version ', gdb_version, ' is read, not the tree that it is in')"),
+    Rule("versioning", UNSUPPORTED, "true", "'only the default version is read, not the tree that it is in'"),
     Rule("tracking", NOT_APPLICABLE, "not coalesce(tracked, false)", "'changes are not tracked'"),
     Rule("tracking", LOSS, "true", "'the history of edits stays behind'"),
+    Rule("style", NOT_APPLICABLE, "drawn is not null and not drawn", "'nothing says how it is drawn'"),
     Rule("style", LOSS, "true", "'the style is carried as it stands, not drawn'"),
+    Rule("time", NOT_APPLICABLE, "timed is not null and not timed", "'there are no time settings'"),
     Rule("time", UNSUPPORTED, "true", "'time settings have no counterpart'"),
     Rule("service", LOSS, "versioned", "'only one version is read'"),
     Rule("service", NOT_APPLICABLE, "n_layers = 0", "'nothing to move'"),
@@ -103,10 +112,16 @@ FILE = [
     Rule("relationship", LOSS, "composite", "'parts do not go with their whole'"),
     Rule("relationship", LOSS, "forward_label is not null or backward_label is not null", "'labels are not kept'"),
     Rule("attachments", UNSUPPORTED, "not has_relationship", "'no relationship leads to these attachments'"),
-    Rule("drawn", LOSS, "true", "'drawn text is kept as shapes'"),
+    Rule("attachments", LOSS, "size(other_columns) > 0", "concat('columns beside the bytes are kept as metadata only: ', array_join(other_columns, ', '))"),
+    Rule("attachments", LOSS, "n_large > 0", "concat(cast(n_large as string), ' are larger than a request may be')"),
+    Rule("drawn", LOSS, "feature_type is null or feature_type <> 'esriFTDimension'", "'drawn text is kept as shapes'"),
+    Rule("drawn", LOSS, "feature_type = 'esriFTDimension'", "'drawn measures are kept as shapes'"),
     Rule("subtype", LOSS, "default_code is not null", "'the default code is not kept'"),
     Rule("subtype", LOSS, "n_defaults > 0", "concat(cast(n_defaults as string), ' default values are not kept')"),
+    Rule("metadata", NOT_APPLICABLE, "described is not null and not described", "'nothing is described'"),
     Rule("metadata", LOSS, "true", "'descriptions are kept as one text'"),
+    Rule("metadata", LOSS, "n_sections > 0", "concat(cast(n_sections as string), ' other sections of the record have no place')"),
+    Rule("group", NOT_APPLICABLE, "n_members = 0", "'the group is empty'"),
     Rule("group", LOSS, "true", "'the group is kept in names only'"),
     Rule("entry", UNSUPPORTED, "true", "'nothing reads this kind of entry'"),
 ]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -26,6 +28,18 @@ def row_tally(rows: DataFrame, layer: str, size: Column, largest: int, key: Colu
     )
 
 
+def observed(rows: DataFrame, size: Column, largest: int, key: Column) -> tuple[DataFrame, Observation]:
+    """rows, and what will be known of them when they are written (A3): read, written, oversized, largest and unkeyed, without a second read.
+
+    The numbers are those of row_tally over all layers, taken in the tasks that write. Observation.get waits for the write.
+    """
+    over, keyed = F.coalesce(size, F.lit(0)) > largest, key.isNotNull()
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    return rows.observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(~over & keyed).alias("written"), F.count_if(over & keyed).alias("oversized"), F.max(F.when(over & keyed, size)).cast("long").alias("largest"), F.count_if(~keyed).alias("unkeyed")
+    ), seen
+
+
 def outcome_counts(items: DataFrame) -> DataFrame:
     """faithful, approximated, unsupported and not applicable items in one row (A1)."""
     count = lambda outcome: F.count_if(F.col("outcome") == outcome).alias(outcome)

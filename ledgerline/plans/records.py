@@ -528,3 +528,16 @@ def change_windows(spark, sf_dir):
     windows.register(spark)
     read = spark.read.format("change_windows").schema("layer bigint, generation bigint, id bigint, state string").load(folder)
     return read.where("layer in (0, 1) and generation > 0")
+
+
+@query("observed_tally", """
+SELECT COUNT(*) AS read, COUNT(*) FILTER (n <= 4096 AND k IS NOT NULL) AS written, COUNT(*) FILTER (n > 4096 AND k IS NOT NULL) AS oversized, CAST(MAX(CASE WHEN n > 4096 AND k IS NOT NULL THEN n END) AS BIGINT) AS largest, COUNT(*) FILTER (k IS NULL) AS unkeyed
+FROM (SELECT strlen(text) AS n, CASE WHEN doc_id % 9 <> 0 THEN doc_id END AS k FROM documents)
+""")
+def observed_tally(spark, sf_dir):
+    """Documents that fit are written; what there was is known from the write itself."""
+    rows = table(spark, sf_dir, "documents").select(F.when(F.col("doc_id") % 9 != 0, F.col("doc_id")).alias("key"), "text")
+    size = F.octet_length("text")
+    seen, numbers = tally.observed(rows, size, 4096, F.col("key"))
+    seen.where(size <= 4096).where("key is not null").write.parquet(own_place(spark, "observed"))
+    return spark.createDataFrame([tuple(numbers.get[c] for c in ("read", "written", "oversized", "largest", "unkeyed"))], "read bigint, written bigint, oversized bigint, largest bigint, unkeyed bigint")

@@ -15,7 +15,9 @@ SELECT p_partkey AS id, CASE p_size % 4 WHEN 0 THEN 'many to many' WHEN 1 THEN '
   CASE WHEN p_size % 3 = 0 THEN 'key' END AS origin_key, CASE WHEN p_size % 5 = 0 THEN 'has' END AS forward_label, CASE WHEN p_size % 6 = 0 THEN 'of' END AS backward_label,
   CASE WHEN p_partkey % 2 = 0 THEN 'c' END AS default_code, CAST(p_size % 3 AS BIGINT) AS n_defaults, CAST(p_size % 2 AS BIGINT) AS keywords, p_partkey % 4 = 0 AS tracked, p_partkey % 6 = 0 AS versioned, CAST(p_size % 9 AS BIGINT) AS n_layers,
   p_partkey % 8 <> 0 AS has_relationship, CASE WHEN p_partkey % 9 = 0 THEN 'glob' ELSE 'range' END AS kind_of_domain, CASE WHEN p_size % 4 = 1 THEN 'text' END AS description, CASE WHEN p_size % 7 = 0 THEN 'copy' END AS split_policy, CAST(NULL AS STRING) AS merge_policy,
-  p_partkey % 3 <> 1 AS min_inclusive, CAST(NULL AS BOOLEAN) AS max_inclusive, CAST(CASE WHEN p_size % 8 = 0 THEN 18014398509481984 ELSE p_size END AS BIGINT) AS max_value, CAST(NULL AS BIGINT) AS min_value
+  p_partkey % 3 <> 1 AS min_inclusive, CAST(NULL AS BOOLEAN) AS max_inclusive, CAST(CASE WHEN p_size % 8 = 0 THEN 18014398509481984 ELSE p_size END AS BIGINT) AS max_value, CAST(NULL AS BIGINT) AS min_value,
+  CASE WHEN p_size % 3 = 1 THEN array(p_type, p_brand, p_type) END AS domain_names, CAST(p_size % 4 AS BIGINT) AS n_large, p_partkey % 5 <> 1 AS described, CAST(p_size % 3 AS BIGINT) AS n_sections, CASE WHEN p_partkey % 4 = 0 THEN p_brand END AS gdb_version,
+  p_partkey % 3 <> 2 AS drawn, p_partkey % 5 <> 2 AS timed, CASE WHEN p_size % 2 = 0 THEN array('KEYWORDS', 'TAKEN') END AS other_columns, CASE WHEN p_size % 3 = 0 THEN 'esriFTDimension' END AS feature_type, p_partkey % 6 AS n_members
 FROM {part}
 """
 
@@ -25,13 +27,18 @@ def _judged(spark, sf_dir, facts: str, kinds: list[str], pack: list[rules.Rule])
     return rules.judge_all({kind: rows for kind in kinds}, pack, "id", "id").select("location", "kind", "outcome", "target", F.array_join("losses", "; ").alias("losses"), "reason")
 
 
+def sql_of(facts: str) -> str:
+    """The facts without their arrays, which the rules' SQL states from the part."""
+    return plain(facts).replace("array(p_type, p_brand, p_type)", "1").replace("array('KEYWORDS', 'TAKEN')", "1")
+
+
 def _sql(facts: str, kinds: list[tuple[str, str | None, str, str]]) -> str:
     """kind, target, and in SQL: the reason with its outcome ('outcome|reason' or null), and the losses."""
     each = [
         f"SELECT CAST(id AS VARCHAR) AS location, '{kind}' AS kind, {no} AS no, {losses} AS losses, {'NULL' if target is None else repr(target)} AS target FROM f" for kind, target, no, losses in kinds
     ]
     return f"""
-    WITH f AS ({plain(facts)}), j AS ({' UNION ALL '.join(each)})
+    WITH f AS (SELECT f.*, p_size, p_brand, p_type FROM ({sql_of(facts)}) f JOIN part ON p_partkey = id), j AS ({' UNION ALL '.join(each)})
     SELECT location, kind, CASE WHEN no IS NOT NULL THEN split_part(no, '|', 1) WHEN losses <> '' THEN 'approximated' ELSE 'faithful' END AS outcome, CASE WHEN no IS NULL THEN target END AS target,
       CASE WHEN no IS NULL THEN losses ELSE '' END AS losses, NULLIF(split_part(COALESCE(no, ''), '|', 2), '') AS reason FROM j
     """
@@ -39,18 +46,20 @@ def _sql(facts: str, kinds: list[tuple[str, str | None, str, str]]) -> str:
 
 NONE = "CAST(NULL AS VARCHAR)"
 LABELS = "CASE WHEN forward_label IS NOT NULL OR backward_label IS NOT NULL THEN 'labels are not kept' END"
+SECTIONS = "concat_ws('; ', 'descriptions are kept as one text', CASE WHEN n_sections > 0 THEN n_sections || ' other sections of the record have no place' END)"
 WHOLE = "CASE WHEN composite THEN 'parts do not go with their whole' END"
 
 HOSTED = [
     ("group", None, "'unsupported|groups of layers have no counterpart; their layers are kept'", "''"),
     ("raster", None, "'unsupported|pixels are not rows'", "''"),
     ("annotation", None, NONE, "'placed text is kept as shapes without its drawing'"),
-    ("subtype", "subtype", NONE, "CASE WHEN default_code IS NOT NULL THEN 'the default code is not kept' ELSE '' END"),
+    ("subtype", "subtype", NONE, "concat_ws('; ', CASE WHEN default_code IS NOT NULL THEN 'the default code is not kept' END, CASE WHEN p_size % 3 = 1 THEN 'domains are assigned by name and need the ids of loaded ones: ' || LEAST(p_brand, p_type) || CASE WHEN p_brand = p_type THEN '' ELSE ', ' || GREATEST(p_brand, p_type) END END)"),
     ("relationship", "relationship", "CASE WHEN cardinality = 'many to many' THEN 'unsupported|many to many needs a table between' WHEN destination IS NULL THEN 'unsupported|the other side is not here' END", f"concat_ws('; ', {WHOLE}, CASE WHEN origin_key IS NOT NULL THEN 'the key on the origin side is implied' END, {LABELS})"),
-    ("attachments", "attachments", NONE, "CASE WHEN keywords > 0 THEN 'keywords are kept as metadata only' ELSE '' END"),
-    ("style", "style", NONE, "'the style is carried as it stands, not drawn'"),
-    ("time", None, "'unsupported|time settings have no counterpart'", "''"),
-    ("metadata", "metadata", NONE, "'descriptions are kept as one text'"),
+    ("attachments", "attachments", NONE, "concat_ws('; ', CASE WHEN keywords > 0 THEN 'keywords are kept as metadata only' END, CASE WHEN n_large > 0 THEN n_large || ' are larger than a request may be' END)"),
+    ("style", "style", "CASE WHEN NOT drawn THEN 'not_applicable|nothing says how it is drawn' END", "'the style is carried as it stands, not drawn'"),
+    ("time", "dataset", "CASE WHEN NOT timed THEN 'not_applicable|there are no time settings' ELSE 'unsupported|time settings have no counterpart' END", "''"),
+    ("metadata", "metadata", "CASE WHEN NOT described THEN 'not_applicable|nothing is described' END", SECTIONS),
+    ("versioning", None, "CASE WHEN NOT versioned THEN 'not_applicable|there are no versions to carry' WHEN gdb_version IS NOT NULL THEN 'unsupported|only version ' || gdb_version || ' is read, not the tree that it is in' ELSE 'unsupported|only the default version is read, not the tree that it is in' END", "''"),
     ("tracking", "source", "CASE WHEN NOT tracked THEN 'not_applicable|changes are not tracked' END", "'the history of edits stays behind'"),
     ("service", "source", "CASE WHEN n_layers = 0 THEN 'not_applicable|nothing to move' END", "CASE WHEN versioned THEN 'only one version is read' ELSE '' END"),
 ]
@@ -64,11 +73,11 @@ def hosted_rules(spark, sf_dir):
 FILE = [
     ("domain", "domain", "CASE WHEN kind_of_domain = 'glob' THEN 'unsupported|patterns have no counterpart' END", "concat_ws('; ', CASE WHEN description IS NOT NULL THEN 'the description is not kept' END, CASE WHEN split_policy IS NOT NULL THEN 'split and merge policies are not kept' END, CASE WHEN NOT min_inclusive THEN 'open ends become closed ends' END, CASE WHEN max_value > 9007199254740992 THEN 'ends beyond 53 bits are rounded' END)"),
     ("relationship", "relationship", "CASE WHEN cardinality = 'many to many' THEN 'unsupported|many to many needs a table between' WHEN origin IS NULL OR destination IS NULL THEN 'unsupported|one side is not here' END", f"concat_ws('; ', CASE WHEN cardinality = 'many to one' THEN 'sides are turned around' END, {WHOLE}, {LABELS})"),
-    ("attachments", "attachments", "CASE WHEN NOT has_relationship THEN 'unsupported|no relationship leads to these attachments' END", "''"),
-    ("drawn", None, NONE, "'drawn text is kept as shapes'"),
+    ("attachments", "attachments", "CASE WHEN NOT has_relationship THEN 'unsupported|no relationship leads to these attachments' END", "concat_ws('; ', CASE WHEN p_size % 2 = 0 THEN 'columns beside the bytes are kept as metadata only: KEYWORDS, TAKEN' END, CASE WHEN n_large > 0 THEN n_large || ' are larger than a request may be' END)"),
+    ("drawn", None, NONE, "CASE WHEN feature_type IS NULL THEN 'drawn text is kept as shapes' ELSE 'drawn measures are kept as shapes' END"),
     ("subtype", "subtype", NONE, "concat_ws('; ', CASE WHEN default_code IS NOT NULL THEN 'the default code is not kept' END, CASE WHEN n_defaults > 0 THEN n_defaults || ' default values are not kept' END)"),
-    ("metadata", "metadata", NONE, "'descriptions are kept as one text'"),
-    ("group", None, NONE, "'the group is kept in names only'"),
+    ("metadata", "metadata", "CASE WHEN NOT described THEN 'not_applicable|nothing is described' END", SECTIONS),
+    ("group", None, "CASE WHEN n_members = 0 THEN 'not_applicable|the group is empty' END", "'the group is kept in names only'"),
     ("entry", None, "'unsupported|nothing reads this kind of entry'", "''"),
 ]
 
