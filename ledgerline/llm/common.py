@@ -72,6 +72,23 @@ def dealt_apart(many: DataFrame, few: DataFrame, key: str | list[str], by: list[
     return many.withColumn("__salt", salt).join(copies, [*keys, "__salt"], "left").drop("__salt")
 
 
+#: Rows of one key that a task meets, before they are dealt to several.
+HUB = 50_000
+
+
+def dealt_by_count(many: DataFrame, few: DataFrame, key: str | list[str], by: list[str], most: int = HUB) -> DataFrame:
+    """Join of many rows to the one row of their key in few, whose column n says how many rows the key has; keys with more than `most` are dealt apart.
+
+    Only those keys are copied and broadcast: there are `most` times fewer of them than rows. The others are joined as they are.
+    """
+    keys = [key] if isinstance(key, str) else key
+    parts = F.ceil(F.col("n") / most).cast("int")
+    hubs = F.broadcast(few.where(F.col("n") > most).select(*keys, parts.alias("__parts")))
+    salt = F.when(F.col("__parts").isNull(), 0).otherwise(F.pmod(F.xxhash64(*by) + F.spark_partition_id(), F.col("__parts").cast("long"))).cast("int")
+    copies = few.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))).drop("n")
+    return many.join(hubs, keys, "left").withColumn("__salt", salt).drop("__parts").join(copies, [*keys, "__salt"]).drop("__salt")
+
+
 def removed_at_exit(spark: SparkSession, path: str) -> None:
     """Have the file system of a path remove it when the driver's JVM ends."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 import xxhash
 
 from . import vocabularies
-from .common import dealt_apart, materialize, split_batches
+from .common import dealt_by_count, materialize, split_batches
 
 #: Labelled documents that the classifier is fitted on, at most.
 SAMPLE = 12_000
@@ -206,6 +206,6 @@ def judge(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_col
     below = paths.join(hosts, "host").withColumn("rate", F.col("bad") / F.col("n"))
     strength = prior_strength(below, "rate", "host_rate")
     site_rate = (F.col("bad") + strength * F.col("host_rate")) / (F.col("n") + strength)
-    sites = below.select("host", "path", (F.log(site_rate / (1 - site_rate)) - float(np.log(rate / (1 - rate)))).alias("site"))
+    sites = below.select("host", "path", "n", (F.log(site_rate / (1 - site_rate)) - float(np.log(rate / (1 - rate)))).alias("site"))
     score = 1 / (1 + F.exp(-(F.col("evidence") + F.col("site"))))
-    return dealt_apart(scored, sites, ["host", "path"], ["doc_id"]).select("doc_id", "evidence", "site", score.alias("score"), (score <= REJECT_ABOVE).alias("keep"))
+    return dealt_by_count(scored, sites, ["host", "path"], ["doc_id"]).select("doc_id", "evidence", "site", score.alias("score"), (score <= REJECT_ABOVE).alias("keep"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vocabularies
-from .common import dealt_apart, dropped, materialize, mix, split_batches
+from .common import dealt_apart, dealt_by_count, dropped, materialize, mix, split_batches
 
 #: Reference fingerprints: any fixed values serve.
 PIVOTS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -201,13 +201,13 @@ def components(edges: DataFrame) -> DataFrame:
     edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = _size(edges)
     while before[0]:
-        least = edges.groupBy("a").agg(F.min("b").alias("least"))
-        own = dealt_apart(edges, least, "a", ["b"])
+        least = edges.groupBy("a").agg(F.min("b").alias("least"), F.count("*").alias("n"))
+        own = dealt_by_count(edges, least, "a", ["b"])
         small = own.select(F.col("a"), F.col("least").alias("b")).unionByName(own.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))).distinct()
         small = materialize(small, "edges")
         both = small.unionByName(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        large = dealt_apart(both, least, "a", ["b"]).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"), F.count("*").alias("n"))
+        large = dealt_by_count(both, least, "a", ["b"]).where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = materialize(large.distinct(), "edges")
         dropped(edges, small)
         edges, now = large, _size(large)
@@ -227,8 +227,8 @@ def near_duplicates(docs: DataFrame, words: int = 4, bits: int = 4, id_col: str
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = components(links(distinct.select("fp"), bits, crowd)).withColumnRenamed("a", "fp")
     grouped = distinct.join(rooted, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = dealt_apart(grouped, names, "root", ["fp"]).select("fp", "component_id")
+    names = grouped.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    named = dealt_by_count(grouped, names, "root", ["fp"]).select("fp", "component_id")
     return dealt_apart(prints, named, "fp", ["doc_id"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

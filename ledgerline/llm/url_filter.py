@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dealt_apart, dropped, materialize
+from .common import HUB, dealt_apart, dealt_by_count, dropped, materialize
 
 #: Share of a score that a host passes on each round; rounds end when the scores (a sum of 1 each) change by less than this in all.
 DAMPING = 0.85
@@ -25,9 +25,6 @@ LONGEST_NAME = 253
 #: Weight of the edges between a host and the domain above it; a link has weight 1.
 SITE_WEIGHT = 0.1
 
-#: Edges of one host that a task meets: hosts with more of them are met in parts.
-HUB = 50_000
-
 #: Absolute and protocol-relative links.
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
 
@@ -76,10 +73,10 @@ def propagate(hosts: DataFrame, edges: DataFrame, rounds: int | None = None, dam
     Trust flows from src to dst, distrust from dst to src, in shares of the weight. Mass of hosts without an edge onward is
     lost; scores that are scaled to a sum of 1 are those that sending it back to the seeds would give.
     """
-    out = edges.groupBy("src").agg(F.sum("weight").alias("whole"))
-    back = edges.groupBy("dst").agg(F.sum("weight").alias("whole"))
-    forward = dealt_apart(edges, out, "src", ["dst"]).select(F.col("src").alias("from"), F.col("dst").alias("to"), (F.col("weight") / F.col("whole")).alias("t"), F.lit(0.0).alias("d"))
-    against = dealt_apart(edges, back, "dst", ["src"]).select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("weight") / F.col("whole")).alias("d"))
+    out = edges.groupBy("src").agg(F.sum("weight").alias("whole"), F.count("*").alias("n"))
+    back = edges.groupBy("dst").agg(F.sum("weight").alias("whole"), F.count("*").alias("n"))
+    forward = dealt_by_count(edges, out, "src", ["dst"]).select(F.col("src").alias("from"), F.col("dst").alias("to"), (F.col("weight") / F.col("whole")).alias("t"), F.lit(0.0).alias("d"))
+    against = dealt_by_count(edges, back, "dst", ["src"]).select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("weight") / F.col("whole")).alias("d"))
     shares = forward.unionByName(against).groupBy("from", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
     hubs = materialize(shares.groupBy("from").agg(F.count("*").alias("n")).where(F.col("n") > HUB).select(F.col("from").alias("host"), F.ceil(F.col("n") / HUB).cast("int").alias("parts")), "hubs")
     part = F.pmod(F.xxhash64("to"), F.coalesce("parts", F.lit(1)).cast("long")).cast("int")

@@ -155,6 +155,13 @@ def test_the_plan_is_best_fit_decreasing(seed):
     assert sorted(capacity - sum(length for _, length in own) for own in used.values()) == naive_best_fit(lengths, capacity)
 
 
+@pytest.mark.parametrize("most", [10, 10**4, 10**9])
+def test_the_plan_that_is_broadcast_does_not_grow_with_the_pieces(most):
+    draw = np.random.default_rng(most)
+    plan = packing.best_fit_decreasing({n: int(draw.integers(1, most)) for n in range(1, 2049)}, 2048)
+    assert len(plan) <= 2 * 2048
+
+
 def test_packed_documents(spark):
     rnd = random.Random(3)
     rows = [(k, " ".join(["cat"] * rnd.choice([0, 1, 5, 60, 63, 64, 200]))) for k in range(80)] + [(90, None), (91, ""), (92, None)]
