@@ -79,15 +79,19 @@ def propagate(hosts: DataFrame, edges: DataFrame, rounds: int | None = None, dam
     against = dealt_by_count(edges, back, "dst", ["src"]).select(F.col("dst").alias("from"), F.col("src").alias("to"), F.lit(0.0).alias("t"), (F.col("weight") / F.col("whole")).alias("d"))
     shares = forward.unionByName(against).groupBy("from", "to").agg(F.sum("t").alias("t"), F.sum("d").alias("d"))
     hubs = materialize(shares.groupBy("from").agg(F.count("*").alias("n")).where(F.col("n") > HUB).select(F.col("from").alias("host"), F.ceil(F.col("n") / HUB).cast("int").alias("parts")), "hubs")
-    part = F.pmod(F.xxhash64("to"), F.coalesce("parts", F.lit(1)).cast("long")).cast("int")
-    # a hub has HUB edges, so there are few of them; Spark broadcasts them where they are small enough for it
-    shares = shares.join(hubs.withColumnRenamed("host", "from"), "from", "left").withColumn("part", part).drop("parts")
+    crowded = not hubs.isEmpty()
+    if crowded:
+        part = F.pmod(F.xxhash64("to"), F.coalesce("parts", F.lit(1)).cast("long")).cast("int")
+        # a hub has HUB edges, so there are few of them; Spark broadcasts them where they are small enough for it
+        shares = shares.join(hubs.withColumnRenamed("host", "from"), "from", "left").withColumn("part", part).drop("parts")
     shares = materialize(shares, "host-edges")
     scores, stored, done = hosts.select("host", F.col("trusted").alias("trust"), F.col("blocked").alias("distrust")), None, 0
     while rounds is None or done < rounds:
-        giving = scores.where("trust > 0 or distrust > 0").join(hubs, "host", "left")
-        giving = giving.select(F.col("host").alias("from"), "trust", "distrust", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part"))
-        sent = shares.join(giving, ["from", "part"])
+        giving = scores.where("trust > 0 or distrust > 0").withColumnRenamed("host", "from")
+        if crowded:
+            copies = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+            giving = giving.join(hubs.withColumnRenamed("host", "from"), "from", "left").select("from", "trust", "distrust", copies)
+        sent = shares.join(giving, ["from", "part"] if crowded else ["from"])
         got = sent.groupBy(F.col("to").alias("host")).agg(F.sum(F.col("trust") * F.col("t")).alias("t"), F.sum(F.col("distrust") * F.col("d")).alias("d"))
         was = scores.select("host", F.col("trust").alias("t0"), F.col("distrust").alias("d0"))
         now = hosts.join(was, "host").join(got, "host", "left").select(
