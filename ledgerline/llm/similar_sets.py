@@ -6,9 +6,13 @@ Shingles that are common in a sample come last in the order; the sample moves wo
 exact. Sketches (the parity of the shingles in each of 1024 parts) differ in no more bits than the sets
 differ in shingles, so they discard without loss; large sets have finer ones besides. What is left is decided by the sets themselves.
 
+SimHash fingerprints of the documents come first, linked by their buckets and pivot tables (simhash.links): they find near copies, but
+cannot decide a similarity. In the buckets of shingles the distances of each sketch to fixed reference sketches (the pivots) are
+tabled in turn: two sets that link differ by no more in any column than their sketches may, so the table discards pairs before they are compared.
+
 Buckets never emit all their pairs at once. First each member is paired with the least of its bucket, then,
 in buckets that hold several components still, with its nearest of another component in each block, and last
-all pairs of different components that their sketches leave open are looked at. So what joins is what all
+all pairs of different components that their sketches, the finer ones included, leave open are looked at. So what joins is what all
 links would join.
 """
 
@@ -24,7 +28,8 @@ from pyspark.sql import functions as F
 
 from . import vocabularies
 from .common import BASE, BASE_2, RollingHash, dealt_apart, dropped, materialize, mix, split_batches
-from .simhash import components, shingle_hashes
+from .simhash import components, majority_bits, shingle_hashes
+from .simhash import links as fingerprint_links
 
 #: Documents whose shingles are counted for the order, the count from which one is common, and common ones kept.
 SAMPLE = 4000
@@ -32,6 +37,10 @@ COMMON = 3
 MOST_COMMON = 100_000
 #: 64-bit words of a sketch.
 WORDS = 16
+#: Differing bits at which SimHash fingerprints make a candidate.
+BITS = 4
+#: Reference sketches: any fixed values serve.
+PIVOTS = mix(np.arange(1, 16 * WORDS + 1, dtype=np.uint64) * BASE).reshape(16, WORDS)
 #: Members of a block: a task compares two blocks of a bucket.
 CROWD = 2048
 #: Rows compared at once.
@@ -43,7 +52,7 @@ FEW = 200_000
 #: Rows of a bucket that a task holds before it passes them on.
 GATHERED = 1 << 20
 
-_PRINT = "doc_id bigint, node bigint, n int, sketch array<bigint>, fine array<bigint>, prefix array<bigint>"
+_PRINT = "doc_id bigint, node bigint, fp bigint, n int, sketch array<bigint>, fine array<bigint>, prefix array<bigint>"
 
 
 def _node(own: np.ndarray) -> int:
@@ -178,14 +187,40 @@ def _part_of(key: np.ndarray, node: np.ndarray, low: int) -> pa.RecordBatch:
     return part.set_column(2, "low", pa.array(np.full(part.num_rows, low, np.int64)))
 
 
+def pivot_table(sketches: np.ndarray) -> np.ndarray:
+    """The distances of sketches to the pivots, a row per pivot."""
+    return np.stack([np.bitwise_count(sketches ^ pivot).sum(1, dtype=np.int32) for pivot in PIVOTS])
+
+
+def _fine_apart(left: pa.ListArray, right: pa.ListArray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many bits the fine sketches of pairs differ, the longer one folded to the length of the other (0: one has none)."""
+    apart = np.zeros(len(a), np.int64)
+    sides = []
+    for fine, at in ((left, a), (right, b)):
+        sizes = np.asarray(fine.value_lengths().fill_null(0)).astype(np.int64)
+        starts = np.cumsum(sizes) - sizes
+        sides.append((fine.flatten().to_numpy().view(np.uint64), starts[at], sizes[at]))
+    (x, x_at, x_size), (y, y_at, y_size) = sides
+    for i, j in {*zip(x_size.tolist(), y_size.tolist())}:
+        words = min(i, j)
+        mine = np.flatnonzero((x_size == i) & (y_size == j)) if words else np.zeros(0, np.int64)
+        for part in np.array_split(mine, -(-len(mine) * max(i, j) // (1 << 18)) or 1):
+            rows = [np.bitwise_xor.reduce(flat[at[part, None] + np.arange(size)].reshape(len(part), -1, words), 1) for flat, at, size in ((x, x_at, i), (y, y_at, j))] if len(part) else []
+            if rows:
+                apart[part] = np.bitwise_count(rows[0] ^ rows[1]).sum(1, dtype=np.int64)
+    return apart
+
+
 def open_pairs(left: tuple, right: tuple, share: Fraction, same: bool, every: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places (in left, in right) of pairs of different roots whose sizes and sketches leave open that they link.
+    """Places (in left, in right) of pairs of different roots whose sizes, pivot tables and sketches leave open that they link.
 
-    left, right: sizes, sketches and roots of two blocks (same: one block). Of each left row all such pairs, or the nearest only.
+    left, right: sizes, sketches, roots and, where there are any, fine sketches of two blocks (same: one block). Of each left row all such pairs, or the nearest only.
     """
     p, q = share.numerator, share.denominator
-    (n, x, root), (m, y, other) = left, right
+    (n, x, root, *x_fine), (m, y, other, *y_fine) = left, right
     x, y = x.view(np.uint64), y.view(np.uint64)  # bits of negative numbers would be counted without their sign
+    x_table = pivot_table(x)
+    y_table = x_table if same else pivot_table(y)
     out_a, out_b = [], []
     for at in range(0, len(n), STRIPE):
         rows = slice(at, at + STRIPE)
@@ -194,11 +229,20 @@ def open_pairs(left: tuple, right: tuple, share: Fraction, same: bool, every: bo
             near &= np.arange(len(n))[rows, None] < np.arange(len(m))[None, :]
         a, b = np.nonzero(near)
         a += at
+        for mine, its in zip(x_table, y_table):
+            near = np.abs(mine[a] - its[b]) * (q + p) <= (n[a] + m[b]) * (q - p)
+            few = near.sum() > 0.9 * len(a)
+            a, b = a[near], b[near]
+            if few:  # large sets fill their sketches, and their distances to all pivots are alike: the distance itself decides
+                break
         apart = np.zeros(len(a), np.int64)
         for w in range(WORDS):
             apart += np.bitwise_count(x[a, w] ^ y[b, w])
         left_open = apart * (q + p) <= (n[a] + m[b]) * (q - p)
         a, b, apart = a[left_open], b[left_open], apart[left_open]
+        if x_fine and y_fine:
+            left_open = _fine_apart(x_fine[0], y_fine[0], a, b) * (q + p) <= (n[a] + m[b]) * (q - p)
+            a, b, apart = a[left_open], b[left_open], apart[left_open]
         if not every:
             order = np.lexsort((apart / (n[a] + m[b]), a))
             a, b = a[order], b[order]
@@ -219,6 +263,15 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _fingerprint_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets (node, fp) whose SimHash fingerprints are equal or link: each with the least of its fingerprint, and these with each other."""
+    least = materialize(sets.groupBy("fp").agg(F.min("node").alias("low")), "least-of-fingerprints")
+    equal = dealt_apart(sets, least, "fp", ["node"]).select(F.col("low").alias("a"), F.col("node").alias("b"))
+    sides = [least.select(F.col("fp").alias(f"fp_{c}"), F.col("low").alias(c)) for c in "ab"]
+    near = fingerprint_links(least.select("fp"), BITS).select(F.col("a").alias("fp_a"), F.col("b").alias("fp_b"))
+    return equal.where("a <> b").unionByName(near.join(sides[0], "fp_a").join(sides[1], "fp_b").select("a", "b"))
+
+
 def similar_documents(
     docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", crowd: int = CROWD, sample: int = SAMPLE
 ) -> DataFrame:
@@ -236,24 +289,27 @@ def similar_documents(
         vocabularies.forget()
         for whole in batches:
             for batch in split_batches(whole, "text"):
-                sets = [np.unique(shingle_hashes(t, words)) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+                shingles = [shingle_hashes(t, words) for t in batch.column("text").cast(pa.large_binary()).to_pylist()]
+                sets = [np.unique(own) for own in shingles]
+                bits = np.array([majority_bits(own) for own in shingles]).reshape(-1, 64)
                 long = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id"),
                         pa.array([_node(own) for own in sets], pa.int64()),
+                        pa.array(np.packbits(bits, axis=1, bitorder="little").view("<i8").ravel()),
                         pa.array([len(own) for own in sets], pa.int32()),
                         pa.array([sketch(own) for own in sets], long),
                         pa.array([fine_sketch(own) for own in sets], long),
                         pa.array([prefix(own, common, counts, share).view(np.int64) for own in sets], long),
                     ],
-                    ["doc_id", "node", "n", "sketch", "fine", "prefix"],
+                    ["doc_id", "node", "fp", "n", "sketch", "fine", "prefix"],
                 )
 
     prints = materialize(rows.mapInArrow(hashed, _PRINT), "prints")
     named = prints.select("doc_id", "node")
-    distinct = materialize(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine")), "sets")
-    small = distinct.select("node", "n", "sketch")
+    distinct = materialize(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("fp").alias("fp"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("fine").alias("fine")), "sets")
+    small = distinct.select("node", "n", "sketch", "fine")
 
     # the keys of all prefixes, sorted, so that a task reads bucket after bucket and keeps those of several sets
     dealt = prints.select("node", "prefix").mapInArrow(keys_of_sets, "key bigint, node bigint")
@@ -294,8 +350,9 @@ def similar_documents(
             side = table.column("block").combine_chunks().to_numpy()
             node, n, root = (table.column(c).combine_chunks().to_numpy() for c in ("node", "n", "root"))
             flat = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, WORDS)
+            fine = table.column("fine").combine_chunks() if every else None
             blocks = [(np.flatnonzero(side == b)) for b in (first, second)]
-            left, right = ((n[i].astype(np.int64), flat[i], root[i]) for i in blocks)
+            left, right = ((n[i].astype(np.int64), flat[i], root[i], *([fine.take(pa.array(i))] if every else [])) for i in blocks)
             a, b = open_pairs(left, right, share, first == second, every)
             a, b = blocks[0][a], blocks[1][b]
             if not every and first != second:
@@ -306,7 +363,7 @@ def similar_documents(
         return compare
 
     stars = met.select(F.col("low").alias("a"), F.col("node").alias("b"))
-    links = verified(_ordered(stars))
+    links = verified(_ordered(stars.unionByName(_fingerprint_pairs(distinct.select("node", "fp")))))
     rooted = materialize(components(links), "roots")
     rounds = 0
     while True:
@@ -316,8 +373,9 @@ def similar_documents(
         mixed = mixed.select("key", F.ceil(F.col("size") / crowd).cast("int").alias("blocks"))
         parts = labelled.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
         parts = parts.join(small, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        parts = parts.select("key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "node", "n", "sketch", "root", "block")
         every = rounds >= ROUNDS
+        own = ["node", "n", "sketch", "root", "block", *(["fine"] if every else [])]
+        parts = parts.select("key", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), *own)
         found = verified(_ordered(parts.groupBy("key", "first", "second").applyInArrow(look(every), "a bigint, b bigint")))
         some = not found.isEmpty()
         if some:

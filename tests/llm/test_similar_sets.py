@@ -150,3 +150,39 @@ def test_no_pair_of_the_similarity_is_discarded_in_a_bucket():
     a, b = similar_sets.open_pairs(side, side, similar_sets.Fraction("0.8"), True, True)
     linked = {(i, j) for i in range(120) for j in range(i + 1, 120) if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))}
     assert len(linked) == 40 and linked <= set(zip(a.tolist(), b.tolist())) and len(a) < 60
+
+
+def test_pivots_and_fine_sketches_discard_in_a_bucket_without_loss(monkeypatch):
+    draw = np.random.default_rng(4)
+    sets = []
+    for n in (60, 240, 300, 1000, 1900, 2100):  # of each size copies that link, and two families that nearly do
+        base = draw.integers(0, 1 << 63, n).astype(np.uint64)
+        for k in range(12):
+            share = n * (3, 17, 25)[k % 3] // 100
+            sets.append(np.unique(np.concatenate([base[share:], draw.integers(0, 1 << 63, share).astype(np.uint64)])))
+    fine = [similar_sets.fine_sketch(x) for x in sets]
+    plain = np.array([len(x) for x in sets]), np.array([similar_sets.sketch(x) for x in sets]), np.arange(len(sets))
+    side = *plain, pa.array(fine, pa.list_(pa.int64()))
+    share = similar_sets.Fraction("0.8")
+    linked = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))}
+    coarse = set(zip(*(x.tolist() for x in similar_sets.open_pairs(plain, plain, share, True, True))))
+    found = set(zip(*(x.tolist() for x in similar_sets.open_pairs(side, side, share, True, True))))
+    assert linked <= found <= coarse and len(found - linked) < len(coarse - linked) / 2
+    for i in (0, 40):  # two blocks, one of longer sets
+        cut = [tuple(x[k : k + 30] for x in side[:3]) + (side[3][k : k + 30],) for k in (i, 72 - 30)]
+        pairs = {tuple(sorted((a + i, b + 42))) for a, b in zip(*(x.tolist() for x in similar_sets.open_pairs(*cut, share, False, True))) if a + i != b + 42}
+        assert {(a, b) for a, b in found if i <= a < i + 30 and b >= 42} <= pairs
+    monkeypatch.setattr(similar_sets, "PIVOTS", similar_sets.PIVOTS[:0])
+    monkeypatch.setattr(similar_sets, "pivot_table", lambda x: np.zeros((0, len(x)), np.int32))
+    assert set(zip(*(x.tolist() for x in similar_sets.open_pairs(side, side, share, True, True)))) == found
+
+
+def test_fingerprints_link_near_copies_by_pivot_tables(spark, monkeypatch):
+    calls = []
+    own = similar_sets.fingerprint_links
+    monkeypatch.setattr(similar_sets, "fingerprint_links", lambda *a: calls.append(a) or own(*a))
+    sets = spark.createDataFrame([(5, 0), (6, 0), (7, 15), (8, 1 << 40), (9, -1)], "node long, fp long")
+    assert {tuple(r) for r in similar_sets._fingerprint_pairs(sets).collect()} >= {(5, 6)}
+    joined = {frozenset(r) for r in similar_sets._fingerprint_pairs(sets).collect()}
+    assert {frozenset((5, 7)), frozenset((5, 8))} <= joined and not any(9 in pair for pair in joined)
+    assert calls and calls[0][1] == similar_sets.BITS
