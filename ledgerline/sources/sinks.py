@@ -15,15 +15,15 @@ def commit_batches(ops: DataFrame, path: str, shard: str = "dataset", order: str
     """Operations as one row per commit (K7): dataset, batch, n, bytes and the operations as JSON lines, written and read back.
 
     A commit holds at most so many rows and bytes, in order (of equal orders, by content); one larger operation is a
-    commit of its own. The write is by Spark's committer, so a task that is tried again leaves nothing twice. A shard goes
-    through one task: give a dataset with most of the rows shards of its own, by ranges of the order.
+    commit of its own. The write is by Spark's committer, so a task that is tried again leaves nothing twice. A shard has no folder of
+    its own: shards grow in number with the table, and a file for each would cost more than its rows.
     """
     sized = ops.select(shard, order, F.to_json(F.struct(*ops.columns)).alias("_line"))
     sized = sized.withColumn("_bytes", F.octet_length("_line").cast("long")).withColumn("_order", F.struct(order, "_line"))
     packed = greedy_batches(sized, shard, "_order", "_bytes", most_rows, most_bytes)
     lines = F.transform(F.array_sort(F.collect_list("_order")), lambda x: x["_line"])
     commits = packed.groupBy(shard, "batch").agg(F.count("*").alias("n"), F.sum("_bytes").alias("bytes"), F.array_join(lines, "\n").alias("body"))
-    commits.write.partitionBy(shard).parquet(path)
+    commits.write.parquet(path)
     return ops.sparkSession.read.parquet(path)
 
 
