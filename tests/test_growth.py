@@ -12,3 +12,12 @@ def test_shards_of_commits_have_no_files_of_their_own(spark, tmp_path):
     ops = spark.range(600).select((F.col("id") % 100).cast("string").alias("dataset"), F.col("id").alias("seq"))
     assert sinks.commit_batches(ops, str(tmp_path / "commits"), most_rows=3).agg(F.sum("n")).first()[0] == 600
     assert len(list((tmp_path / "commits").rglob("*.parquet"))) <= 8
+
+
+def test_levels_are_joined_without_a_broadcast(spark, monkeypatch):
+    plans, own = [], ordering.stored
+    monkeypatch.setattr(ordering, "stored", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or own(df, name))
+    edges = spark.createDataFrame([("a", "b"), ("b", "c")], "origin string, destination string")
+    found = ordering.load_levels(spark.createDataFrame([("a",), ("b",), ("c",)], "dataset string"), edges)
+    assert {(r["dataset"], r["level"]) for r in found.collect()} == {("a", 1), ("b", 2), ("c", 3)}
+    assert len(plans) > 6 and not any("Broadcast" in plan for plan in plans)
