@@ -53,7 +53,7 @@ def greedy_batches(rows: DataFrame, shard: str, order: str, size: str, most_rows
     spark = rows.sparkSession
     needed = rows.select(F.col(shard).alias("shard"), F.col(order).alias("at"), F.col(size).alias("size"))
     pieces = max(1, -(-needed.count() // piece))
-    dealt = needed.repartitionByRange(pieces, "shard", "at").sortWithinPartitions("shard", "at") if pieces > 1 else needed.coalesce(1).sortWithinPartitions("shard", "at")
+    dealt = needed.repartitionByRange(pieces, "shard", "at").sortWithinPartitions("shard", "at") if pieces > 1 else needed.repartition(1).sortWithinPartitions("shard", "at")
     placed = stored(dealt.select("*", F.spark_partition_id().alias("piece"), F.monotonically_increasing_id().alias("nth")), "pieces")
     own_kind = placed.schema["shard"].dataType
 

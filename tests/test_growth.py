@@ -21,3 +21,11 @@ def test_levels_are_joined_without_a_broadcast(spark, monkeypatch):
     found = ordering.load_levels(spark.createDataFrame([("a",), ("b",), ("c",)], "dataset string"), edges)
     assert {(r["dataset"], r["level"]) for r in found.collect()} == {("a", 1), ("b", 2), ("c", 3)}
     assert len(plans) > 6 and not any("Broadcast" in plan for plan in plans)
+
+
+def test_a_single_piece_is_gathered_after_sizes_are_known(spark, monkeypatch):
+    plans, own = [], batches.stored
+    monkeypatch.setattr(batches, "stored", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or own(df, name))
+    rows = spark.range(20).repartition(4).select(F.lit(1).alias("shard"), "id", F.lit(5).cast("long").alias("bytes"))
+    assert batches.greedy_batches(rows, "shard", "id", "bytes", most_rows=7).agg(F.max("batch")).first()[0] == 2
+    assert plans and not any("Repartition 1, false" in plan for plan in plans)
