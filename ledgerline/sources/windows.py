@@ -2,7 +2,7 @@
 
 Pages lie in `<folder>/layer=<id>/generation=<n>/<page>.json`, lines of JSON. A generation of a layer is landed once its folder has a file
 `_done`, and is not changed after that. A stream's offset is the last generation read of each layer, which is the cursor of an incremental run:
-its checkpoint keeps it, and the window behind it is what the next batch reads. Each page is a partition.
+its checkpoint keeps it, and the window behind it is what the next batch reads. Pages are packed into partitions by their bytes.
 
     register(spark)
     spark.readStream.format("change_windows").schema(...).load(folder)
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,10 @@ from pyspark.sql.types import LongType, StructType
 
 #: Columns that come from a page's place.
 PLACE = ("layer", "generation")
+#: Bytes of pages in a partition, and what opening a page counts besides.
+PACKED, OPENING = 32 << 20, 256 << 10
+#: Windows that a task writes (about), and folders listed at once.
+WRITTEN, LISTED = 64, 16
 
 
 def register(spark: SparkSession) -> None:
@@ -30,18 +35,35 @@ def register(spark: SparkSession) -> None:
 
 def land(edits: DataFrame, folder: str) -> None:
     """Write edits (layer, generation, ...) as pages of windows: the pages by Spark's committer, then the marks that say a generation is done."""
-    edits.repartition("layer", "generation").write.mode("append").partitionBy("layer", "generation").json(folder)
-    spark = edits.sparkSession
-    for row in edits.select("layer", "generation").distinct().collect():  # one row a window
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/layer={row['layer']}/generation={row['generation']}/_done")
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
+    windows = edits.select("layer", "generation").distinct()
+    tasks = max(1, -(-windows.count() // WRITTEN))  # windows are small and many: their number says how many tasks write them, not their bytes
+    edits.repartition(tasks, "layer", "generation").write.mode("append").partitionBy("layer", "generation").json(folder)
 
+    def mark(rows):
+        place = Windows(folder)
+        for row in rows:
+            place.mark(row["layer"], row["generation"])
 
-class Page(InputPartition):
-    """One page of a generation of a layer."""
+    windows.repartition(tasks, "layer", "generation").foreachPartition(mark)
 
-    def __init__(self, path: str, layer: int, generation: int):
-        self.path, self.layer, self.generation = path, layer, generation
+
+class Pages(InputPartition):
+    """Pages that a task reads: path, layer and generation of each."""
+
+    def __init__(self, pages: list[tuple[str, int, int]]):
+        self.pages = pages
+
+
+def packed(pages: list[tuple[str, int, int, int]]) -> list[Pages]:
+    """Partitions of pages (path, layer, generation, bytes), in order: a partition ends before the page that would bring it over PACKED."""
+    out, own, total = [], [], 0
+    for *page, size in pages:
+        if own and total + size + OPENING > PACKED:
+            out.append(Pages(own))
+            own, total = [], 0
+        own.append(tuple(page))
+        total += size + OPENING
+    return [*out, Pages(own)] if own else out
 
 
 class Windows:
@@ -54,29 +76,27 @@ class Windows:
         found = self.files.get_file_info(fs.FileSelector(path, allow_not_found=True))
         return {int(f.base_name.partition("=")[2]): f.path for f in found if f.type == fs.FileType.Directory and f.base_name.startswith(f"{word}=")}
 
-    def landed(self, layers=None, above=None) -> dict[tuple[int, int], str]:
-        """(layer, generation) and folder of all generations that are done; layers: only these; above: only later generations of a layer."""
-        out = {}
-        for layer, path in self._numbered(self.root, "layer").items():
-            if layers is None or layer in layers:
-                for generation, inner in self._numbered(path, "generation").items():
-                    if generation > (above or {}).get(layer, -1) and self.files.get_file_info(f"{inner}/_done").type == fs.FileType.File:
-                        out[layer, generation] = inner
-        return out
-
-    def pages(self, layer: int, generation: int, folder: str) -> list[Page]:
-        found = self.files.get_file_info(fs.FileSelector(folder))
-        return [Page(f.path, layer, generation) for f in sorted(found, key=lambda f: f.path) if f.base_name.endswith(".json")]
-
-    def rows(self, page: Page | None, schema: StructType) -> Iterator[tuple]:
-        """The rows of a page; Spark reads None where there are no pages."""
-        if page is None:
-            return
-        with self.files.open_input_stream(page.path) as stream:
-            for line in stream.read().decode().splitlines():
-                if line.strip():
-                    row = json.loads(line) | {"layer": page.layer, "generation": page.generation}
-                    yield tuple(row.get(f.name) for f in schema)
+    def mark(self, layer: int, generation: int) -> None:
+        """Say that a generation of a layer is done."""
+        self.files.open_output_stream(f"{self.root}/layer={layer}/generation={generation}/_done").close()
+
+    def landed(self, chosen=lambda layer, generation: True) -> dict[tuple[int, int], list[tuple[str, int, int, int]]]:
+        """(layer, generation) and pages (path, layer, generation, bytes) of the chosen generations that are done; each folder is listed once."""
+        places = [(layer, generation, inner) for layer, path in self._numbered(self.root, "layer").items() for generation, inner in self._numbered(path, "generation").items() if chosen(layer, generation)]
+        with ThreadPoolExecutor(LISTED) as pool:
+            found = list(pool.map(lambda place: self.files.get_file_info(fs.FileSelector(place[2])), places))
+        done = [any(f.base_name == "_done" and f.type == fs.FileType.File for f in inside) for inside in found]
+        pages = [[(f.path, layer, generation, f.size or 0) for f in sorted(inside, key=lambda f: f.path) if f.base_name.endswith(".json")] for (layer, generation, _), inside in zip(places, found)]
+        return {place[:2]: own for place, own, ok in zip(places, pages, done) if ok}
+
+    def rows(self, part: Pages | None, schema: StructType) -> Iterator[tuple]:
+        """The rows of a partition's pages; Spark reads None where there are no pages."""
+        for path, layer, generation in part.pages if part else []:
+            with self.files.open_input_stream(path) as stream:
+                for line in stream.read().decode().splitlines():
+                    if line.strip():
+                        row = json.loads(line) | {"layer": layer, "generation": generation}
+                        yield tuple(row.get(f.name) for f in schema)
 
 
 class WindowReader(DataSourceReader):
@@ -102,11 +122,10 @@ class WindowReader(DataSourceReader):
                 yield f
 
     def partitions(self) -> Sequence[InputPartition]:
-        windows = Windows(self.folder)
-        chosen = {k: v for k, v in windows.landed(self.layers).items() if k[1] >= self.least and (self.only is None or k[1] in self.only)}
-        return [page for (layer, generation), path in sorted(chosen.items()) for page in windows.pages(layer, generation, path)]
+        wanted = lambda layer, generation: (self.layers is None or layer in self.layers) and generation >= self.least and (self.only is None or generation in self.only)
+        return packed([page for _, pages in sorted(Windows(self.folder).landed(wanted).items()) for page in pages])
 
-    def read(self, partition: Page) -> Iterator[tuple]:
+    def read(self, partition: Pages) -> Iterator[tuple]:
         return Windows(self.folder).rows(partition, self.schema)
 
 
@@ -121,17 +140,16 @@ class WindowStream(DataSourceStreamReader):
 
     def latestOffset(self) -> dict:
         last = dict(self.since)
-        for layer, generation in Windows(self.folder).landed():
+        later = lambda layer, generation: generation > last.get(str(layer), -1)
+        for layer, generation in sorted(Windows(self.folder).landed(later)):
             last[str(layer)] = max(generation, last.get(str(layer), -1))
         return last
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        windows = Windows(self.folder)
-        above = {int(layer): generation for layer, generation in start.items()}
-        landed = windows.landed(above=above)
-        return [page for (layer, generation), path in sorted(landed.items()) if generation <= end.get(str(layer), -1) for page in windows.pages(layer, generation, path)]
+        between = lambda layer, generation: start.get(str(layer), -1) < generation <= end.get(str(layer), -1)
+        return packed([page for _, pages in sorted(Windows(self.folder).landed(between).items()) for page in pages])
 
-    def read(self, partition: Page) -> Iterator[tuple]:
+    def read(self, partition: Pages) -> Iterator[tuple]:
         return Windows(self.folder).rows(partition, self.schema)
 
     def commit(self, end: dict) -> None:

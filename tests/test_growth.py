@@ -29,3 +29,14 @@ def test_a_single_piece_is_gathered_after_sizes_are_known(spark, monkeypatch):
     rows = spark.range(20).repartition(4).select(F.lit(1).alias("shard"), "id", F.lit(5).cast("long").alias("bytes"))
     assert batches.greedy_batches(rows, "shard", "id", "bytes", most_rows=7).agg(F.max("batch")).first()[0] == 2
     assert plans and not any("Repartition 1, false" in plan for plan in plans)
+
+
+def test_small_pages_share_a_task(spark, tmp_path):
+    windows.register(spark)
+    schema = "layer bigint, generation bigint, id bigint"
+    windows.land(spark.range(300).selectExpr("id % 2 AS layer", "id DIV 6 AS generation", "id"), str(tmp_path))
+    read = spark.read.format("change_windows").schema(schema).load(str(tmp_path))
+    assert read.count() == 300 and read.rdd.getNumPartitions() == 1
+    assert read.where("layer = 1 and generation > 40").count() == 27
+    pages = windows.packed([("a", 0, 1, windows.PACKED), ("b", 0, 2, 5), ("c", 0, 3, 5)])
+    assert [[page[0] for page in part.pages] for part in pages] == [["a"], ["b", "c"]]
