@@ -6,9 +6,9 @@ is a first copy, and where two or more are it is refused. What is taken is gone
 
 That order is stated in sets. A row is taken by its id at the first add of that id; of a name's rows all but
 the one that is taken last this way are sure to go then. Between the last but one and the last, one row is left, and the
-first nameless add in that gap takes it. The add that comes for it by id later is then found by its name in turn: such
-adds join the others until there are no more of them. A round only adds to them, and what it adds
-lies behind what caused it, so the rounds end with what the order gives.
+first nameless add in that gap takes it. The add that comes for it by id later is then found by its name in turn, and may
+take a row from another. Each add can take a row from one other at most, which lies behind it, so these steps are known
+before any is made: every add meets its rows once, and what follows from what is found by pointer doubling over the steps.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ from ..session import stored
 
 NEVER = 1 << 62
 ENTRY = ["dataset", "global_id", "oid", "name", "feature_id", "size", "content_type"]
-#: Parts into which the rows of one name are dealt before their last two are taken.
-PARTS = 16
+ID = ["dataset", "global_id"]
+NAME = ["dataset", "oid", "name"]
 
 
 @dataclass
@@ -41,48 +41,71 @@ def moved_since(size: Column, content_type: Column, held_size: Column, held_type
     return F.when(comparable, differs(size, held_size) | differs(content_type, held_type))
 
 
-def _last_two(rows: DataFrame) -> DataFrame:
-    """Per (dataset, oid, name): when its last row is taken by id, when the last but one is (-1: there is none), and that last row's place."""
-    key = ["dataset", "oid", "name"]
-    near = Window.partitionBy(*key, F.pmod("pos", F.lit(PARTS))).orderBy(F.desc("taken"), F.desc("pos"))
-    whole = Window.partitionBy(*key).orderBy(F.desc("taken"), F.desc("pos"))
-    few = rows.withColumn("nth", F.row_number().over(near)).where("nth <= 2").withColumn("nth", F.row_number().over(whole)).where("nth <= 2")
+def _hashed(rows: DataFrame) -> DataFrame:
+    """rows of one to a key, to be joined by hashing: the many rows that meet them need no sorting, and no key fills a task's memory."""
+    return rows.hint("shuffle_hash")
+
+
+def _by_id(basis: DataFrame, adds: DataFrame, edits: DataFrame) -> DataFrame:
+    """The last row held of each id that adds or edits name, with the first add that names it (`taken`; null: only edits do)."""
+    named = adds.select(*ID, F.col("seq").alias("taken")).unionByName(edits.select(*ID, F.lit(None).cast("long").alias("taken")))
+    named = named.where("global_id is not null").groupBy(*ID).agg(F.min("taken").alias("taken"))
+    last = basis.where("global_id is not null").groupBy(*ID).agg(F.max_by(F.struct("pos", *ENTRY[2:]), "pos").alias("row"))
+    return stored(last.join(_hashed(named), ID).select(*ID, "taken", "row.*"), "rows-by-id")
+
+
+def _last_two(basis: DataFrame, taken: DataFrame, adds: DataFrame) -> DataFrame:
+    """Per name that adds have: when its last row is taken by id, when the last but one is (-1: there is none), and that last row's place."""
+    rows = basis.where("oid is not null and name is not null").select(*NAME, "pos").join(taken.select("dataset", "pos", "taken"), ["dataset", "pos"], "left")
+    rows = rows.withColumn("taken", F.coalesce("taken", F.lit(NEVER)))
+    # a task passes on two rows of a name at most, however many it has
+    two = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*NAME).orderBy(F.desc("taken"), F.desc("pos")))).where("nth <= 2")
     pick = lambda n, c: F.max(F.when(F.col("nth") == n, F.col(c)))
-    return few.groupBy(*key).agg(pick(1, "taken").alias("last"), F.coalesce(pick(2, "taken"), F.lit(-1)).alias("last_but_one"), pick(1, "pos").alias("pos"))
-
-
-def _paired(basis: DataFrame, adds: DataFrame) -> DataFrame:
-    """adds (with a parent) with `pos`, the held row that each takes, and `refused`."""
-    name_key, id_key = ["dataset", "oid", "name"], ["dataset", "global_id"]
-    named = adds.where("oid is not null and name is not null").select(*name_key).distinct()
-    asked = adds.where("global_id is not null").select(*id_key).distinct()
-    by_name = basis.join(named, name_key, "left_semi")
-    by_id = basis.where("global_id is not null").groupBy(*id_key).agg(F.max("pos").alias("pos")).join(asked, id_key, "left_semi")
-    first = adds.groupBy(*id_key).agg(F.min("seq").alias("taken"))
-    taken = stored(by_id.join(first, id_key), "taken-by-id")
-    held = by_name.select(*name_key, "pos").join(taken.select("dataset", "pos", "taken"), ["dataset", "pos"], "left")
-    groups = stored(_last_two(held.withColumn("taken", F.coalesce("taken", F.lit(NEVER)))), "last-two-of-a-name")
-    own = adds.join(taken.select(*id_key, F.col("pos").alias("own_pos"), F.col("taken").alias("seq")), [*id_key, "seq"], "left")
-    own = stored(own.select("dataset", "seq", "oid", "name", "own_pos"), "adds-by-id")
-    by_turn = own.where("own_pos is null").select("dataset", "seq", "oid", "name")
-    lost = None
-    while True:
-        asking = by_turn if lost is None else by_turn.unionByName(lost.join(own, ["dataset", "seq"]).select("dataset", "seq", "oid", "name"))
-        meeting = asking.join(groups, name_key)
-        takers = meeting.where("seq > last_but_one and seq < last").groupBy("dataset", "pos", F.col("last").alias("lost_seq")).agg(F.min("seq").alias("seq"))
-        takers = stored(takers, "takers-by-name")
-        losing = takers.where(F.col("lost_seq") < NEVER).select("dataset", F.col("lost_seq").alias("seq"))
-        more = losing if lost is None else losing.join(lost, ["dataset", "seq"], "left_anti")
-        if more.isEmpty():
-            break
-        lost = stored(losing, "found-taken")
-    kept = own.where("own_pos is not null")
-    if lost is not None:
-        kept = kept.join(lost, ["dataset", "seq"], "left_anti")
-    crowded = meeting.where("seq < last_but_one").select("dataset", "seq", F.lit(True).alias("refused"))
-    pairs = kept.select("dataset", "seq", F.col("own_pos").alias("pos")).unionByName(takers.select("dataset", "seq", "pos"))
-    both = pairs.join(crowded, ["dataset", "seq"], "full_outer")
-    return adds.join(both, ["dataset", "seq"], "left").withColumn("refused", F.coalesce("refused", F.lit(False)))
+    groups = two.groupBy(*NAME).agg(pick(1, "taken").alias("last"), F.coalesce(pick(2, "taken"), F.lit(-1)).alias("last_but_one"), pick(1, "pos").alias("pos"))
+    return groups.join(adds.select(*NAME), NAME, "left_semi")
+
+
+def _reached(start: DataFrame, steps: DataFrame) -> DataFrame:
+    """start (dataset, seq) and all that steps (dataset, seq, next) lead to from there, in as many rounds as the longest way has bits."""
+    reached, steps = start, stored(steps, "steps")
+    while not steps.isEmpty():
+        onward = reached.join(steps, ["dataset", "seq"]).select("dataset", F.col("next").alias("seq"))
+        reached = stored(reached.unionByName(onward).distinct(), "reached")
+        further = steps.select("dataset", F.col("seq").alias("next"), F.col("next").alias("then"))
+        steps = stored(steps.join(further, ["dataset", "next"]).select("dataset", "seq", F.col("then").alias("next")), "steps")
+    return reached
+
+
+def _paired(basis: DataFrame, ids: DataFrame, adds: DataFrame) -> DataFrame:
+    """adds (with a parent) with `held`, the row that each takes (pos and entry), and `refused`."""
+    turn, row = ["dataset", "seq"], F.struct("pos", *ENTRY[1:])
+    own = ids.where("taken is not null").withColumnRenamed("taken", "seq")
+    groups = _last_two(basis, own.withColumnRenamed("seq", "taken"), adds)
+    met = adds.select("seq", *NAME).join(_hashed(groups), NAME).withColumn("in_gap", (F.col("seq") > F.col("last_but_one")) & (F.col("seq") < F.col("last")))
+    met = met.where("in_gap or seq < last_but_one").select(*turn, "in_gap", "last", "pos")
+    met = met.join(_hashed(own.select(*turn, F.lit(True).alias("by_id"))), turn, "left").withColumn("by_id", F.col("by_id").isNotNull())
+    met = stored(met, "adds-met")
+    losing = met.where(f"in_gap and last < {NEVER}")
+    start = losing.where("not by_id").select("dataset", F.col("last").alias("seq")).distinct()
+    lost = stored(_reached(start, losing.where("by_id").select(*turn, F.col("last").alias("next"))), "found-taken")
+    asking = met.where("not by_id").unionByName(met.where("by_id").join(lost, turn, "left_semi"))
+    takers = asking.where("in_gap").groupBy("dataset", "pos").agg(F.min("seq").alias("seq"))
+    found = basis.join(takers, ["dataset", "pos"]).select(*turn, row.alias("found"))
+    refused = asking.where("not in_gap").select(*turn, F.lit(True).alias("refused"))
+    by_name = found.unionByName(refused, allowMissingColumns=True)
+    judged = adds.join(_hashed(own.select(*turn, row.alias("own"))), turn, "left").join(_hashed(by_name), turn, "left").join(_hashed(lost.withColumn("lost", F.lit(True))), turn, "left")
+    held = F.coalesce(F.when(F.col("lost").isNull(), F.col("own")), F.col("found"))
+    return judged.select("seq", *ENTRY, held.alias("held"), F.col("refused").isNotNull().alias("refused"))
+
+
+def _last_entries(held: DataFrame, entries: DataFrame, columns: list[str]) -> DataFrame:
+    """Per id what was written last, else what is held (the last of its id), unless it moved to another id."""
+    before = held.where("global_id is not null").select(F.lit(0).alias("rank"), F.col("pos").alias("turn"), *ID, *columns)
+    moved = entries.where("stale is not null").select(F.lit(1).alias("rank"), "dataset", F.col("stale").alias("global_id"))
+    written = entries.where("global_id is not null").select(F.lit(2).alias("rank"), F.col("seq").alias("turn"), *ID, *columns)
+    rows = before.unionByName(moved, allowMissingColumns=True).unionByName(written)
+    last = rows.groupBy(*ID).agg(F.max_by(F.struct("rank", *columns), F.struct("rank", "turn")).alias("row"))
+    return last.where("row.rank <> 1").select(*ID, *[f"row.{c}" for c in columns])
 
 
 def attachment_feed(basis: DataFrame, adds: DataFrame, updates: DataFrame, deletes: DataFrame, without_ids: DataFrame | None = None) -> FeedWindow:
@@ -106,15 +129,15 @@ def attachment_feed(basis: DataFrame, adds: DataFrame, updates: DataFrame, delet
         refused = refuse(adds.join(gone, "dataset", "left_semi"), "adds").unionByName(refuse(updates.join(gone, "dataset", "left_semi"), "updates")).unionByName(refuse(deletes.join(gone, "dataset", "left_semi"), "deletes"))
         adds, updates, deletes = (df.join(gone, "dataset", "left_anti") for df in (adds, updates, deletes))
     whole = basis.select("pos", *ENTRY)
-    last = Window.partitionBy("dataset", "global_id").orderBy(F.desc("pos"))
-    known = adds.where("feature_id is not null")
-    held = whole.select("dataset", "pos", *[F.col(c).alias(f"held_{c}") for c in ENTRY[1:]])
-    judged = _paired(whole, known).join(held, ["dataset", "pos"], "left")
+    known = adds.where("feature_id is not null").select("seq", *ENTRY)
+    edits = updates.select("dataset", F.lit("updates").alias("phase"), "seq", "global_id", "name").unionByName(deletes.select("dataset", F.lit("deletes").alias("phase"), "seq", "global_id", _none("name")))
+    ids = _by_id(whole, known, edits)
+    judged = _paired(whole, ids, known).select("*", *[F.col(f"held.{c}").alias(f"held_{c}") for c in ENTRY[1:]]).withColumn("took", F.col("held").isNotNull()).drop("held")
     moved = moved_since(F.col("size"), F.col("content_type"), F.col("held_size"), F.col("held_content_type"))
-    op = F.when(F.col("refused"), "ambiguous").when(F.col("pos").isNull(), "add").when(moved.isNull(), "replace_unseen").when(moved, "replace").otherwise("repeat")
+    op = F.when(F.col("refused"), "ambiguous").when(~F.col("took"), "add").when(moved.isNull(), "replace_unseen").when(moved, "replace").otherwise("repeat")
     judged = stored(judged.withColumn("op", op), "adds")
     said = F.coalesce("name", "global_id", F.lit("unnamed"))
-    took, repeat = F.col("pos").isNotNull(), F.col("op") == "repeat"
+    took, repeat = F.col("took"), F.col("op") == "repeat"
     keep = lambda c: F.when(took, F.col(f"held_{c}")).otherwise(F.col(c))
     name = F.when(took, F.col("held_name")).otherwise(said)
     added = judged.select("dataset", F.lit("adds").alias("phase"), "seq", "op", "global_id", keep("feature_id").alias("feature_id"), name.alias("name"), (took & (said != F.col("held_name"))).alias("renamed"))
@@ -125,28 +148,22 @@ def attachment_feed(basis: DataFrame, adds: DataFrame, updates: DataFrame, delet
         keep("feature_id").alias("feature_id"), F.when(repeat, F.col("held_size")).otherwise(F.col("size")).alias("size"), F.when(repeat, F.col("held_content_type")).otherwise(F.col("content_type")).alias("content_type"),
         F.when(F.col("held_global_id") != F.coalesce("global_id", "held_global_id"), F.col("held_global_id")).alias("stale"),
     )
-    written = entry.where("global_id is not null").groupBy("dataset", "global_id").agg(*[F.max_by(c, "seq").alias(c) for c in ENTRY[2:]])
-    stale = entry.where("stale is not null").select("dataset", F.col("stale").alias("global_id")).unionByName(written.select("dataset", "global_id")).distinct()
-    before = whole.where("global_id is not null").withColumn("nth", F.row_number().over(last)).where("nth = 1").select(*ENTRY)
-    index = before.join(stale, ["dataset", "global_id"], "left_anti").unionByName(written.select(*ENTRY))
-    edited = updates.select("dataset", "global_id").unionByName(deletes.select("dataset", "global_id")).where("global_id is not null").distinct()
-    met = stored(index.join(edited, ["dataset", "global_id"], "left_semi"), "entries-edited")
-
-    entries = met.select("dataset", "global_id", F.col("name").alias("held_name"), "feature_id", F.lit(True).alias("there"))
-    both = updates.join(entries, ["dataset", "global_id"], "left")
-    op = F.when(F.col("global_id").isNull(), "no_id").when(F.col("there").isNull(), "unknown").otherwise("replace")
-    updated = both.select("dataset", F.lit("updates").alias("phase"), "seq", op.alias("op"), "global_id", "feature_id", F.col("held_name").alias("name"), F.coalesce(F.col("name") != F.col("held_name"), F.lit(False)).alias("renamed"))
-    once = F.row_number().over(Window.partitionBy("dataset", "global_id").orderBy("seq"))
-    both = deletes.withColumn("nth", once).join(entries, ["dataset", "global_id"], "left")
-    op = F.when(F.col("there") & (F.col("nth") == 1), "delete").otherwise("unknown")
-    goes = op == "delete"
-    deleted = both.select("dataset", F.lit("deletes").alias("phase"), "seq", op.alias("op"), "global_id", F.when(goes, F.col("feature_id")).alias("feature_id"), F.when(goes, F.col("held_name")).alias("name"), F.lit(False).alias("renamed"))
+
+    entries = _last_entries(ids, entry, ["name", "feature_id"]).select(*ID, F.col("name").alias("held_name"), "feature_id", F.lit(True).alias("there"))
+    update = F.col("phase") == "updates"
+    nth = F.row_number().over(Window.partitionBy(*ID, "phase").orderBy("seq"))
+    goes = F.col("there").isNotNull() & (update | (F.col("nth") == 1))
+    op = F.when(~goes, "unknown").when(update, "replace").otherwise("delete")
+    shown = lambda c: F.when(goes, F.col(c))
+    met = edits.where("global_id is not null").join(_hashed(entries), ID, "left").withColumn("nth", nth)
+    edited = met.select("dataset", "phase", "seq", op.alias("op"), "global_id", shown("feature_id").alias("feature_id"), shown("held_name").alias("name"), F.coalesce(goes & (F.col("name") != F.col("held_name")), F.lit(False)).alias("renamed"))
+    unnamed = edits.where("global_id is null").select("dataset", "phase", "seq", F.when(update, "no_id").otherwise("unknown").alias("op"), "global_id", _none("feature_id"), _none("name"), F.lit(False).alias("renamed"))
 
     newest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("seq"))).alias(f"new_{c}")
     fresh = updates.where("global_id is not null").groupBy("dataset", "global_id").agg(newest("size"), newest("content_type"))
-    after = index.join(deletes.where("global_id is not null").select("dataset", "global_id").distinct(), ["dataset", "global_id"], "left_anti")
+    after = _last_entries(whole, entry, ENTRY[2:]).join(deletes.where("global_id is not null").select("dataset", "global_id").distinct(), ["dataset", "global_id"], "left_anti")
     after = after.join(fresh, ["dataset", "global_id"], "left").withColumns({c: F.coalesce(f"new_{c}", c) for c in ("size", "content_type")})
-    results = added.unionByName(orphans).unionByName(updated).unionByName(deleted)
+    results = added.unionByName(orphans).unionByName(edited).unionByName(unnamed)
     return FeedWindow(results if refused is None else results.unionByName(refused), after.select(*ENTRY))
 
 

@@ -106,3 +106,27 @@ def test_datasets_without_global_ids_are_left_alone(spark):
     assert sorted((r["dataset"], r["size"]) for r in window.index.collect()) == [(1, 5), (2, 7)]
     assert feed.attachment_feed(*(df.limit(0) for df in (basis, adds, updates, deletes))).results.count() == 0
     assert window.results.agg(F.count("*")).first()[0] == 3
+
+
+def nothing(spark):
+    return spark.createDataFrame([], UPDATES), spark.createDataFrame([], DELETES)
+
+
+def test_a_chain_of_lost_rows_takes_as_many_rounds_as_it_has_bits(spark, monkeypatch):
+    n, stores, own = 40, [], feed.stored
+    monkeypatch.setattr(feed, "stored", lambda df, name: stores.append(name) or own(df, name))
+    basis = [(1, k, f"g{k}", 1, f"n{k}", f"f{k}", 5, None) for k in range(n)]
+    adds = [(1, k, f"g{k - 1}" if k else None, 1, f"n{k}", "p", 5, None) for k in range(n + 1)]
+    window = feed.attachment_feed(spark.createDataFrame(basis, BASIS), spark.createDataFrame(adds, ADDS), *nothing(spark))
+    found = {r["seq"]: (r["op"], r["feature_id"]) for r in window.results.collect()}
+    assert found == {k: ("repeat", f"f{k}") for k in range(n)} | {n: ("add", "p")}
+    assert len(stores) <= 20
+
+
+def test_adds_meet_their_rows_unsorted_and_names_are_reduced_before_they_move(spark, monkeypatch):
+    plans, own = {}, feed.stored
+    monkeypatch.setattr(feed, "stored", lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or own(df, name))
+    basis, adds, updates, deletes = case(random.Random(1), 1)
+    feed.attachment_feed(spark.createDataFrame(basis, BASIS), spark.createDataFrame(adds, ADDS), *nothing(spark))
+    met = plans["adds"].split("ShuffledHashJoin")
+    assert len(met) == 4 and "Sort" not in "".join(met[:3]) and "WindowGroupLimit" in plans["adds-met"]
