@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ..session import stored
 
 NEVER = 1 << 62
+#: Adds of which the names are broadcast, so that no other names are met.
+FEW = 100_000
 ENTRY = ["dataset", "global_id", "oid", "name", "feature_id", "size", "content_type"]
 ID = ["dataset", "global_id"]
 NAME = ["dataset", "oid", "name"]
@@ -55,14 +57,16 @@ def _by_id(basis: DataFrame, adds: DataFrame, edits: DataFrame) -> DataFrame:
 
 
 def _last_two(basis: DataFrame, taken: DataFrame, adds: DataFrame) -> DataFrame:
-    """Per name that adds have: when its last row is taken by id, when the last but one is (-1: there is none), and that last row's place."""
-    rows = basis.where("oid is not null and name is not null").select(*NAME, "pos").join(taken.select("dataset", "pos", "taken"), ["dataset", "pos"], "left")
+    """Per name (where adds are few, of theirs only): when its last row is taken by id, when the last but one is (-1: there is none), and that last row's place."""
+    named, asked = (df.where("oid is not null and name is not null") for df in (basis, adds))
+    if asked.count() <= FEW:
+        named = named.join(F.broadcast(asked.select(*NAME).distinct()), NAME, "left_semi")
+    rows = named.select(*NAME, "pos").join(taken.select("dataset", "pos", "taken"), ["dataset", "pos"], "left")
     rows = rows.withColumn("taken", F.coalesce("taken", F.lit(NEVER)))
     # a task passes on two rows of a name at most, however many it has
     two = rows.withColumn("nth", F.row_number().over(Window.partitionBy(*NAME).orderBy(F.desc("taken"), F.desc("pos")))).where("nth <= 2")
     pick = lambda n, c: F.max(F.when(F.col("nth") == n, F.col(c)))
-    groups = two.groupBy(*NAME).agg(pick(1, "taken").alias("last"), F.coalesce(pick(2, "taken"), F.lit(-1)).alias("last_but_one"), pick(1, "pos").alias("pos"))
-    return groups.join(adds.select(*NAME), NAME, "left_semi")
+    return two.groupBy(*NAME).agg(pick(1, "taken").alias("last"), F.coalesce(pick(2, "taken"), F.lit(-1)).alias("last_but_one"), pick(1, "pos").alias("pos"))
 
 
 def _reached(start: DataFrame, steps: DataFrame) -> DataFrame:

@@ -130,3 +130,13 @@ def test_adds_meet_their_rows_unsorted_and_names_are_reduced_before_they_move(sp
     feed.attachment_feed(spark.createDataFrame(basis, BASIS), spark.createDataFrame(adds, ADDS), *nothing(spark))
     met = plans["adds"].split("ShuffledHashJoin")
     assert len(met) == 4 and "Sort" not in "".join(met[:3]) and "WindowGroupLimit" in plans["adds-met"]
+
+
+def test_few_adds_meet_their_names_only(spark, monkeypatch):
+    plans, own, frames = {}, feed.stored, [spark.createDataFrame([], BASIS), spark.createDataFrame([], ADDS)]
+    monkeypatch.setattr(feed, "stored", lambda df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or own(df, name))
+    feed.attachment_feed(*frames, *nothing(spark))
+    few = plans["adds-met"]
+    monkeypatch.setattr(feed, "FEW", -1)
+    feed.attachment_feed(*frames, *nothing(spark))
+    assert "LeftSemi" in few and few.index("WindowGroupLimit") < few.index("LeftSemi") and "LeftSemi" not in plans["adds-met"]
