@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import types as T
@@ -161,6 +163,63 @@ def test_a_character_stays_with_any_of_its_bytes(spark):
     assert found == {k: raw.decode() for (k, _), raw in zip(rows, cut)} and found[2] == chr(0x4DFE) + chr(0x4E7E)
 
 
+def most_memory(run):
+    """What run() gives, and the most bytes that it held at once."""
+    tracemalloc.start()
+    out = run()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return out, most
+
+
+def test_a_cut_holds_a_few_copies_of_its_batch():
+    rnd = random.Random(3)
+    passage = "".join(rnd.choices("abcdé ", k=4000))
+    texts = ["".join(rnd.choices("abcdé ", k=3000)) + passage[i % 7 :] for i in range(600)]
+    table = pa.table({"doc_id": pa.array(range(600)), "text": texts})
+    places = suffix_dedup.Places(table, 250)
+    doc, row, at = places.order_of(places.place)
+    asked = lookups.first_records(places.a, places.b, doc, 0, row, at).tobytes()
+    got = {suffix_dedup.CLASSES: [r.column("data")[0].as_py() for r in lookups.answer_first(suffix_dedup.CLASSES, [0], [asked])]}
+    cut, most = most_memory(lambda: list(suffix_dedup._cut(0, table, got, 250, True, suffix_dedup.HOT, True)))
+    assert sum(cut[0].column("n_removed").to_pylist()) > 500 * len(passage) and most < 16 * len(places.raw)
+
+
+def test_runs_are_united_within_documents():
+    rnd = random.Random(5)
+    for _ in range(200):
+        sizes = [rnd.choice([0, 1, 7, 30]) for _ in range(6)]
+        offsets = np.cumsum([0, *sizes])
+        runs = [sorted(rnd.sample(range(a, b + 1), 2)) for a, b in zip(offsets.tolist(), offsets[1:].tolist()) if b > a for _ in range(rnd.randrange(4))]
+        rnd.shuffle(runs)
+        first, stop = suffix_dedup._united(np.array([a for a, _ in runs], np.int64), np.array([b for _, b in runs], np.int64), offsets)
+        expected = []
+        for a, b in zip(offsets.tolist(), offsets[1:].tolist()):
+            covered = [any(x <= i < y for x, y in runs) for i in range(a, b)]
+            expected += [(a + m.start(), a + m.end()) for m in re.finditer("1+", "".join("01"[c] for c in covered))]
+        assert list(zip(first.tolist(), stop.tolist())) == expected
+
+
+def test_answers_in_parts_are_those_of_one_part(monkeypatch):
+    rnd = np.random.default_rng(7)
+    asked = []
+    for batch in range(40):
+        a = rnd.integers(0, 150_000, 5000).astype(np.uint64)
+        asked.append(lookups.first_records(a, a % np.uint64(3), np.arange(5000), batch, np.zeros(5000, np.int64), np.arange(5000)).tobytes())
+
+    def told():
+        out = {}
+        for replies in lookups.answer_first(1, list(range(40)), asked):
+            for who, data in zip(replies.column("batch").to_pylist(), replies.column("data").to_pylist()):
+                out.setdefault(who, []).append(np.frombuffer(data, lookups.FIRST))
+        return {who: np.sort(np.concatenate(x)).tolist() for who, x in out.items()}
+
+    parts, most = most_memory(lambda: sum(r.num_rows for r in lookups.answer_first(1, list(range(40)), asked)))
+    in_parts = told()
+    monkeypatch.setattr(lookups, "RECORDS_AT_ONCE", 1 << 30)
+    assert in_parts == told() and parts > 40 and most < 3 * sum(map(len, asked))
+
+
 def test_suffix_dedup_takes_all_copies_and_torn_characters(spark):
     text = "".join(chr(0x4E00 + i) for i in range(200))
     rows = [(None, text), (1, text), (1, text), (2, "a" + text[:150] + "b" + text[:150])]
