@@ -21,7 +21,7 @@ from .vocabularies import word_encoder
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
 #: Bytes of text encoded at once.
-ENCODED_AT_ONCE = 4 << 20
+ENCODED_AT_ONCE = 1 << 20
 PLAN = "length bigint, first bigint, n bigint, per_sequence bigint, sequence bigint, at bigint"
 
 

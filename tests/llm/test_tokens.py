@@ -183,3 +183,22 @@ def test_packed_documents(spark):
     assert all(len(whole[s]) == sum(n for _, n in own) for s, own in sequences.items())
     assert packing.pack_documents(frame(spark, []), WORDS).count() == 0
     assert packing.pack_documents(frame(spark, [(None, "a"), (1, "b"), (1, "b")]), WORDS).count() == 3
+
+
+def test_packing_encodes_little_at_once():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from ledgerline.llm.common import split_batches
+    from ledgerline.llm.vocabularies import WordEncoder
+
+    words = [f"w{i % 997}" for i in range(900)]
+    whole = pa.record_batch({"text": [" ".join(words[i % 50 :]) for i in range(1000)]})
+    encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    tracemalloc.start()
+    for batch in split_batches(whole, "text", packing.ENCODED_AT_ONCE):
+        encoder.encode_column(batch.column("text"), 0)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert whole.nbytes > 4_000_000 and most < 40_000_000, most
